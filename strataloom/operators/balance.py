@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import RFormula
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import null_safe_join
+from .joins import null_safe_join, require_keys
 
 
 def _patterns(df: DataFrame, covariates: Sequence[str], treated: str, weight) -> DataFrame:
@@ -87,28 +87,35 @@ def numeric_balance(df: DataFrame, value: str, treated: str, weight=None) -> Dat
 
 
 def propensity(df: DataFrame, covariates: Sequence[str], treated: str, to: str = "distance",
-               max_iter: int = 100, tol: float = 1e-10) -> DataFrame:
-    """Add the probability of being treated, by logistic regression on categorical covariates.
+               max_iter: int = 25, tol: float = 1e-8) -> DataFrame:
+    """Add the probability of being treated, by logistic regression (re-weighted least squares).
 
-    The score is a function of the covariates, so the model is fitted to covariate patterns with
-    row counts as weights: the iterations run over patterns, however many rows there are.
+    The covariates are categories, so the score has one value per covariate pattern, and the
+    model is fitted to patterns with row counts as weights, however many rows there are.
+    Covariates with one level carry nothing and are left out, as in any model with an intercept.
     """
     covariates = list(covariates)
-    patterns = df.groupBy(*covariates).agg(
-        F.sum(F.col(treated).cast("double")).alias("__t"), F.count(F.lit(1)).cast("double").alias("__n")
-    ).cache()
-    try:
-        rows = patterns.select(
-            *covariates, F.explode(F.array(F.struct(F.lit(1.0).alias("__label"), F.col("__t").alias("__w")),
-                                           F.struct(F.lit(0.0).alias("__label"),
-                                                    (F.col("__n") - F.col("__t")).alias("__w")))).alias("__case")
-        ).select(*covariates, "__case.*").where("__w > 0")
-        formula = RFormula(formula="__label ~ " + " + ".join(covariates), featuresCol="__x", labelCol="__y")
-        fit = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__w", regParam=0.0,
-                                 maxIter=max_iter, tol=tol, probabilityCol="__p", rawPredictionCol="__raw",
-                                 predictionCol="__hat", standardization=False)
-        model = Pipeline(stages=[formula, fit]).fit(rows)
-    finally:
-        patterns.unpersist()
-    scored = model.transform(rows).groupBy(*covariates).agg(F.max(vector_to_array("__p")[1]).alias(to))
-    return null_safe_join(df, scored, covariates, "left")
+    sides = F.array(
+        F.struct(F.lit(1.0).alias("label"), F.col("hits").alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("hits")).alias("weight")),
+    )
+    patterns = (
+        require_keys(df, covariates, "propensity")
+        .groupBy(*[F.col(c).cast("string").alias(f"x{i}") for i, c in enumerate(covariates)])
+        .agg(F.sum(F.col(treated).cast("double")).alias("hits"), F.count(F.lit(1)).cast("double").alias("n"))
+        .withColumn("side", F.explode(sides))
+        .select(*[f"x{i}" for i in range(len(covariates))], "side.*")
+        .where("weight > 0")
+        .cache()
+    )
+    levels = patterns.agg(*[F.count_distinct(f"x{i}") for i in range(len(covariates))]).first()
+    terms = [f"x{i}" for i, n in enumerate(levels) if n > 1] or ["1"]
+    formula = RFormula(formula="label ~ " + " + ".join(terms), featuresCol="features", labelCol="y")
+    fit = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features", labelCol="y",
+                                      weightCol="weight", predictionCol="p", maxIter=max_iter, tol=tol)
+    scored = Pipeline(stages=[formula, fit]).fit(patterns).transform(patterns)
+    keys = [f"x{i}" for i in range(len(covariates))]
+    table = scored.groupBy(*keys).agg(F.max("p").alias(to))
+    named = table.withColumnsRenamed({f"x{i}": f"__x_{c}" for i, c in enumerate(covariates)})
+    same = reduce(lambda a, b: a & b, [F.col(c).cast("string") == F.col(f"__x_{c}") for c in covariates])
+    return df.join(named, same, "left").drop(*[f"__x_{c}" for c in covariates])

@@ -34,12 +34,12 @@ def moments(df: DataFrame, value: str, prefix: str = "") -> DataFrame:
 def stretch(df: DataFrame, value: str, to: str, target: DataFrame, target_value: str) -> DataFrame:
     """Scale the spread of a column to that of another sample; its own mean stays.
 
-    The three moments are scalar subqueries, so the rows themselves are not shuffled or joined.
+    The moments are scalar subqueries, so the rows themselves are not shuffled or joined.
     """
-    own_mean = df.agg(F.avg(value)).scalar()
-    own_sd = df.agg(F.stddev_samp(value)).scalar()
+    own = moments(df, value).select(F.struct("mean", "sd")).scalar()
     target_sd = target.agg(F.stddev_samp(target_value)).scalar()
-    return df.withColumn(to, (F.col(value) - own_mean) / own_sd * target_sd + own_mean)
+    mean = own.getField("mean")
+    return df.withColumn(to, (F.col(value) - mean) / own.getField("sd") * target_sd + mean)
 
 
 def first_by(df: DataFrame, by: Sequence[str], value: str, order: Column | str) -> DataFrame:

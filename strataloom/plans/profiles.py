@@ -107,7 +107,7 @@ def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: d
     figures = [measure, f"{measure}_low", f"{measure}_upp"]
     keyed = persons.select(
         "Synthea_ID", "MEPS_ID", "FIRST", "AGE_GRP_9", F.col("GENDER").alias("SEX_DSC"),
-        F.col("RACETHX").alias("RACETHX_DSC"), F.lit("18+").alias("cut"),
+        F.col("RACETHX").alias("RACETHX_DSC"),
     )
 
     def label(*parts) -> Column:
@@ -117,13 +117,14 @@ def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: d
                  ") and race/ethnicity group (", F.col("RACETHX_DSC"), ") as ", F.col("FIRST"))
     gender = label("...all US residents who are the same gender (", F.col("SEX_DSC"), ") and general age (",
                    F.col("AGE_GRP_9"), ") as ", F.col("FIRST"))
-    everybody = means["all"].select(F.lit("18+").alias("cut"), *figures)
+    overall = means["all"].select(F.struct(*figures)).scalar()
     cuts = [
         peers(keyed, means["age_race"].select("AGE_GRP_9", "RACETHX_DSC", *figures),
               ["AGE_GRP_9", "RACETHX_DSC"], race, 1),
         peers(keyed, means["age_gender"].select("AGE_GRP_9", "SEX_DSC", *figures),
               ["AGE_GRP_9", "SEX_DSC"], gender, 2),
-        peers(keyed, everybody, ["cut"], F.lit(EVERYBODY), 3),
+        keyed.withColumns({"breakout": F.lit(EVERYBODY), "position": F.lit(3),
+                           **{f: overall.getField(f) for f in figures}}),
     ]
     values = own.select(F.col("ID").alias("MEPS_ID"), F.col(own_value).alias("own_value"))
     return pool(*[c.select("Synthea_ID", "MEPS_ID", "position", "breakout", *figures) for c in cuts]).join(

@@ -25,9 +25,14 @@ def hot_groups(df: DataFrame, keys: Sequence[str], target_rows: int = TARGET_ROW
     tables per group and per part may be broadcast. The limit drops no data: a group that is not
     listed is merely left in one part, and holds less than 1/MAX_GROUPS of all rows.
     """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return largest_groups(sizes, keys, "__rows", target_rows)
+
+
+def largest_groups(sizes: DataFrame, keys: Sequence[str], rows: str, target_rows: int) -> DataFrame:
+    """`hot_groups` from group sizes that are known already."""
     largest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
+        sizes.select(*keys, F.col(rows).alias("__rows"))
         .where(F.col("__rows") > target_rows)
         .orderBy(F.col("__rows").desc(), *keys)
         .limit(MAX_GROUPS)

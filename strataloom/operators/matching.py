@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw32
-from .hot import TARGET_ROWS
-from .joins import join_suffix, require_keys
+from .hot import TARGET_ROWS, largest_groups
+from .joins import require_keys
 from .running import running_totals
 
 
@@ -28,11 +29,18 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
     stratum key is an error.
     """
     strata = list(strata)
+    rows = require_keys(df, strata, "stratum_match")
+    flag = F.col(treated).cast("long")
+    # One grouped table tells the oversized strata and the numbers of matched rows.
+    sizes = rows.groupBy(*strata).agg(F.sum(flag).alias("__t"), F.sum(F.lit(1) - flag).alias("__c"))
+    hot = largest_groups(sizes.withColumn("__rows", F.col("__t") + F.col("__c")), strata, "__rows", target_rows)
+    scale = sizes.agg(
+        F.sum(F.least(F.col("__c"), F.lit(ratio) * F.col("__t"))) / F.sum(F.least("__t", "__c"))
+    ).scalar()
+
     ranked = running_totals(
-        require_keys(df, strata, "stratum_match").withColumn("__order", draw32(seed, unit)),
-        strata, "__order", [unit],
-        {"__t": F.col(treated).cast("long"), "__c": F.lit(1) - F.col(treated).cast("long")},
-        target_rows,
+        rows.withColumn("__order", draw32(seed, unit)), strata, "__order", [unit],
+        {"__t": flag, "__c": F.lit(1) - flag}, hot=hot,
     )
     n_t, n_c = F.col("__t_total"), F.col("__c_total")
     used = F.least(n_c, F.lit(ratio) * n_t)
@@ -42,9 +50,6 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
         F.when(is_treated, F.col("__slot") < F.col("__used")).otherwise(F.col("__c_before") < F.col("__used"))
     )
     per_slot = F.floor((F.col("__used") - 1 - F.col("__slot")) / F.col("__t_total")) + 1
-    scale = matched_counts(df, strata, treated, ratio).select(
-        F.col("controls") / F.col("treated")
-    ).scalar()
     return matched.select(
         *df.columns,
         F.concat_ws("|", *strata, F.col("__slot").cast("string")).alias("subclass"),
@@ -52,19 +57,26 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
     )
 
 
-def matched_counts(df: DataFrame, strata: Sequence[str], treated: str, ratio: int) -> DataFrame:
-    """One row: how many treated and control rows the match keeps."""
-    sizes = df.groupBy(*strata).agg(
-        F.sum(F.col(treated).cast("long")).alias("t"), F.sum(F.lit(1) - F.col(treated).cast("long")).alias("c")
-    )
-    return sizes.agg(
-        F.sum(F.least("t", "c")).alias("treated"),
-        F.sum(F.least(F.col("c"), F.lit(ratio) * F.col("t"))).alias("controls"),
+def matched_pairs(matched: DataFrame, treated: str, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+    """One row per matched control (suffix x) with its treated row (suffix y).
+
+    A subclass has one treated row and at most `ratio` controls, so the treated row is handed to
+    the controls inside the subclass, and the matched rows are read and shuffled once.
+    """
+    names = [c for c in matched.columns if c != "subclass"]
+    partner = F.max(F.when(F.col(treated) == 1, F.struct(*names))).over(W.partitionBy("subclass"))
+    rows = matched.withColumn("__partner", partner).where(F.col(treated) == 0)
+    return rows.select(
+        "subclass",
+        *[F.col(c).alias(c + suffixes[0]) for c in names],
+        *[F.col("__partner").getField(c).alias(c + suffixes[1]) for c in names],
     )
 
 
-def matched_pairs(matched: DataFrame, treated: str, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
-    """One row per matched control (suffix x) with its treated row (suffix y)."""
-    return join_suffix(
-        matched.where(F.col(treated) == 0), matched.where(F.col(treated) == 1), ["subclass"], "left", suffixes
-    )
+def first_control(matched: DataFrame, treated: str, unit: str, treated_as: str, control_as: str) -> DataFrame:
+    """One row per matched treated unit with the control of its subclass that comes first by name."""
+    is_treated = F.col(treated) == 1
+    return matched.groupBy("subclass").agg(
+        F.max(F.when(is_treated, F.col(unit))).alias(treated_as),
+        F.min(F.when(~is_treated, F.col(unit))).alias(control_as),
+    ).drop("subclass")

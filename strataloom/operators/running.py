@@ -13,20 +13,22 @@ from .joins import null_safe_join
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[str],
-                   values: dict[str, Column], target_rows: int | None = TARGET_ROWS) -> DataFrame:
+                   values: dict[str, Column], target_rows: int | None = TARGET_ROWS,
+                   hot: DataFrame | None = None) -> DataFrame:
     """Per row, the sum of each value over the rows before it in its group, and over the group.
 
     Rows are ordered by a uniform `draw` column and then by `ties`. Groups above `target_rows`
     are cut into equal slices of the draw: each slice is one window partition, and slice totals
     (bounded, see `hot_groups`) carry the sums across slices. Adds `<name>_before`
     and `<name>_total` for every entry of `values`. `target_rows=None` is for inputs that are
-    known to be small: every group is then one window partition.
+    known to be small: every group is then one window partition. `hot` gives the oversized groups
+    where the caller knows them.
     """
     for name, value in values.items():
         df = df.withColumn(name, value)
     if target_rows is None:
         return _within(df, keys, [draw, *ties], list(values))
-    cut = split_hot(df, keys, draw, hot_groups(df, keys, target_rows))
+    cut = split_hot(df, keys, draw, hot_groups(df, keys, target_rows) if hot is None else hot)
 
     slices = (
         cut.where(F.col(PARTS).isNotNull())

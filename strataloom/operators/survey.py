@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import t_multiplier
+from ..session import materialize
 from .joins import null_safe_join, require_keys
 
 
@@ -33,8 +34,9 @@ def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, b
     `lonely_psu` says what a stratum with one cluster does: "fail", "remove" it, or "adjust" by its
     distance from the overall mean. A missing measure in a cut makes that cut's figures NULL.
 
-    The rows are read for cluster totals only, with partial aggregation; means, residuals and
-    variances are taken from the cluster totals, so no row is joined back to its mean.
+    The rows are read once, for totals per cut and cluster, with partial aggregation. These totals
+    are written to the shared folder; means, residuals and variances are taken from them, so no row
+    is joined back to its mean.
     """
     if lonely_psu not in ("fail", "remove", "adjust"):
         raise ValueError(f"unknown lonely_psu: {lonely_psu}")
@@ -50,14 +52,14 @@ def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, b
         inside.alias("__in"),
     )
 
-    cells = rows.where("__in").groupBy(*by, "__h", "__i").agg(
+    totals_per_cluster = materialize(rows.groupBy(*by, "__h", "__i", "__in").agg(
         F.sum("__w").alias("__w"),
+        F.max(F.coalesce(F.col("__w") > 0, F.lit(False))).alias("__active"),
         *[F.sum(F.col("__w") * F.col(f"__y_{m}")).alias(f"__s_{m}") for m in names],
         *[F.max(F.col(f"__y_{m}").isNull()).alias(f"__gap_{m}") for m in names],
-    )
-    clusters = rows.groupBy("__h", "__i").agg(
-        F.max(F.when(F.col("__in") & (F.col("__w") > 0), 1).otherwise(0)).alias("__active")
-    )
+    ))
+    cells = totals_per_cluster.where("__in")
+    clusters = totals_per_cluster.groupBy("__h", "__i").agg(F.max("__active").cast("int").alias("__active"))
     strata = clusters.groupBy("__h").agg(
         F.count(F.lit(1)).alias("__n"), F.sum("__active").alias("__active")
     )

@@ -13,6 +13,7 @@ from ..functions.text import code_prefix, drop_first_punctuation, squish
 from ..operators.choice import fill_settings, weighted_choice
 from ..operators.columns import pool
 from ..operators.joins import natural_join
+from ..session import materialize
 from ..sources import lookups as L
 from ..sources.schemas import CONDITION_FLAGS
 
@@ -71,7 +72,9 @@ def complete_codes(conditions: DataFrame, candidates: DataFrame, seed: int | str
     A condition without setting, or whose category its setting cannot complete, is drawn from all
     settings together (`round` 2). What no setting knows stays open, with NULL codes.
     """
-    filled = fill_settings(candidates, "setting", ["year", *CATEGORY], CODE, "TotalDiag", SETTINGS, NO_SETTING)
+    filled = materialize(
+        fill_settings(candidates, "setting", ["year", *CATEGORY], CODE, "TotalDiag", SETTINGS, NO_SETTING)
+    )
     return weighted_choice(
         conditions, filled, ["year", "setting", *CATEGORY], "ICD10CM", "TotalDiag",
         ["year", "DUPERSID", "CONDN"], seed, keep_open,
@@ -107,5 +110,5 @@ def diagnoses(files: Mapping[int, DataFrame], frequencies: DataFrame, crosswalk:
               seed: int | str) -> tuple[DataFrame, DataFrame]:
     """(completed conditions, diagnosis detail) for the condition files of several years."""
     conditions = pool(*[clean_conditions(df, year) for year, df in files.items()])
-    completed = complete_codes(conditions, candidate_codes(frequencies, crosswalk), seed)
+    completed = materialize(complete_codes(conditions, candidate_codes(frequencies, crosswalk), seed))
     return completed, diagnosis_detail(completed, crosswalk, chronic_table(chronic))

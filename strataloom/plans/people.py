@@ -12,12 +12,13 @@ from ..functions.dates import covers, drawn_day, years_between
 from ..functions.nulls import if_known
 from ..functions.recode import band, first_rule, recode, top_code
 from ..functions.text import title_case
-from ..operators.aggregates import first_by, proportional, shares, stretch
+from ..operators.aggregates import proportional, shares, stretch
 from ..operators.balance import propensity
 from ..operators.columns import any_column, confident, harmonize_year, pool, relocate, tag_year
-from ..operators.joins import dimension_roles, join_suffix
-from ..operators.matching import matched_pairs, stratum_match
+from ..operators.joins import dimension_roles
+from ..operators.matching import first_control, matched_pairs, stratum_match
 from ..operators.ranks import percent_rank
+from ..session import materialize
 from ..sources import lookups as L
 from ..sources.schemas import PERSON_COLUMNS
 
@@ -199,10 +200,7 @@ def match_images(pairs: DataFrame, images: DataFrame, seed: int | str) -> DataFr
     people = pairs.select("Synthea_ID", *IMAGE_KEYS, F.lit(1).alias("final_database"))
     files = images.select(F.col("filename").alias("Synthea_ID"), *IMAGE_KEYS, F.lit(0).alias("final_database"))
     matched = stratum_match(pool(people, files), IMAGE_KEYS, "final_database", "Synthea_ID", IMAGE_RATIO, seed)
-    both = join_suffix(
-        matched.where("final_database = 1"), matched.where("final_database = 0"), ["subclass"], "inner"
-    ).select(F.col("Synthea_ID_x").alias("Synthea_ID"), F.col("Synthea_ID_y").alias("filename"))
-    return first_by(both, ["Synthea_ID"], "filename", "filename")
+    return first_control(matched, "final_database", "Synthea_ID", "Synthea_ID", "filename")
 
 
 def person_table(files: DataFrame, pairs: DataFrame, respondents: DataFrame, patients: DataFrame,
@@ -234,6 +232,31 @@ def person_table(files: DataFrame, pairs: DataFrame, respondents: DataFrame, pat
     )
 
 
+def build_persons(files: Mapping[int, DataFrame], patients: DataFrame, transitions: DataFrame, payers: DataFrame,
+                  regions: DataFrame, attributes: DataFrame, seed: int | str) -> DataFrame:
+    """The whole job, from survey files, synthetic people and image attributes to the person table.
+
+    Tables that several steps use are written once in between.
+    """
+    payers_now = payer_on(transitions, payers)
+    respondents = materialize(respondent_input(respondent_pool(files), seed))
+    synthetic = people_input(conform_people(patients, region_table(regions)), payers_now)
+    matched = materialize(match_people(materialize(matchable(synthetic)), respondents, seed))
+    pairs = materialize(matchup(matched))
+    images = materialize(usable_images(attributes, actual_ages(matched)))
+    return person_table(match_images(pairs, images, seed), pairs, respondents, patients, payers_now)
+
+
+def matchable(df: DataFrame) -> DataFrame:
+    """Rows with all match keys. Others have no stratum, and the match refuses them."""
+    return df.dropna(subset=PEOPLE_KEYS)
+
+
+def unmatchable(df: DataFrame) -> DataFrame:
+    """How many rows lack each match key."""
+    return df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in PEOPLE_KEYS])
+
+
 def state_allocation(population: DataFrame, people: int = 80_000) -> DataFrame:
     """People to simulate per state, in proportion to population."""
     return proportional(population.where(F.col("state") != "Puerto Rico"), "pop", people, "simulate")

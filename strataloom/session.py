@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +23,26 @@ def local_session(cpus: int | str = 8, app: str = "strataloom", memory: str = "8
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage and read it back, so several uses share one run.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediate tables: `spark.checkpoint.dir` of the session.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; only where that is unset
-    and no folder was set on the context (tests, laptops) is a fresh local one made.
+    Only a local session that sets none gets a fresh folder on this machine.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        if shared is None and not sc.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strataloom-checkpoint-"))
-    return df.checkpoint()
+        folder = tempfile.mkdtemp(prefix="strataloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write `df` once as a table in the shared folder and read it back.
+
+    For a result that several later steps use: the work before it is done once, survives the loss
+    of executors, and later steps prune its columns and know its size.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/strataloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

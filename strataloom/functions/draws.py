@@ -18,7 +18,8 @@ def draw32(seed: int | str, *keys: Column | str) -> Column:
     """A whole-number draw in [0, 2**32). NULL keys take part as the text `\\N`."""
     parts = [F.coalesce(as_col(k).cast("string"), F.lit("\\N")) for k in keys]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.coalesce(number, F.lit(0))  # never NULL, and so known to the optimizer
 
 
 def uniform(seed: int | str, *keys: Column | str) -> Column:

@@ -103,7 +103,7 @@ def t_quantiles(level: float, up_to: int = T_TABLE) -> tuple[float, ...]:
 def t_multiplier(df: Column, level: float = 0.95) -> Column:
     """Half-width multiplier of a two-sided t interval. NULL below one degree of freedom."""
     z = NormalDist().inv_cdf((1 + level) / 2)
-    table = F.array(*[F.lit(t) for t in t_quantiles(level)])
+    table = F.expr("array(" + ", ".join(f"{t!r}D" for t in t_quantiles(level)) + ")")
     inverse = F.lit(1.0) / df
     # Cornish-Fisher terms of the t quantile in powers of 1/df.
     series = _horner(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import SPAN, draw32
 from ..functions.nulls import strict_sum
-from .hot import MAX_GROUPS, PART, PARTS, TARGET_ROWS, hot_groups, part_of
+from .hot import MAX_GROUPS, MAX_PARTS, PART, PARTS, TARGET_ROWS, hot_groups, part_of
 from .joins import null_safe_join
 from .running import running_totals
 
@@ -55,7 +55,7 @@ def wide_categories(candidates: DataFrame, category: Sequence[str]) -> DataFrame
         .where(F.col("__codes") > WIDE)
         .orderBy(F.col("__codes").desc(), *category)
         .limit(MAX_GROUPS)
-        .select(*category, F.ceil(F.col("__codes") / F.lit(WIDE)).cast("long").alias(PARTS))
+        .select(*category, F.least(F.ceil(F.col("__codes") / F.lit(WIDE)), F.lit(MAX_PARTS)).cast("long").alias(PARTS))
     )
 
 

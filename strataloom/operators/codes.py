@@ -41,8 +41,8 @@ def prefix_flags(df: DataFrame, key: str, code: str, classes: Mapping[str, Seque
     found = df.select(key, code)
     for length, table in prefix_table(df, classes).items():
         table = table.withColumnsRenamed({"prefix": "__prefix", **{f"bits{w}": f"__b{length}_{w}" for w in words}})
-        found = found.join(
-            table, F.substring(F.col(code), 1, length) == F.col("__prefix"), "left"
+        found = found.join(  # a literal table: its size is the number of prefixes given
+            F.broadcast(table), F.substring(F.col(code), 1, length) == F.col("__prefix"), "left"
         ).drop("__prefix")
     marks = found.groupBy(key).agg(*[
         F.bit_or(_either([c for c in found.columns if c.startswith("__b") and c.endswith(f"_{w}")])).alias(f"__w{w}")

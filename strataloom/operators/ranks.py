@@ -26,10 +26,8 @@ def value_ranks(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
     )
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(counts.approxQuantile("__v", steps, 0.5 / buckets)))
-    bounds = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-    bucketed = counts.withColumn("__range", F.expr("0")).withColumn(
-        "__range", F.size(F.filter(bounds, lambda b: b <= F.col("__v"))) if cuts else F.lit(0)
-    )
+    bounds = F.expr("array(" + ", ".join(f"{c!r}D" for c in cuts) + ")") if cuts else F.expr("array(0D)")
+    bucketed = counts.withColumn("__range", F.size(F.filter(bounds, lambda b: b <= F.col("__v"))))
     ranges = bucketed.groupBy("__range").agg(F.sum("copies").alias("__in_range"))
     upto = W.partitionBy().orderBy("__range").rowsBetween(W.unboundedPreceding, W.currentRow)
     # At most `buckets` rows from here on.
@@ -55,15 +53,19 @@ def percent_rank(df: DataFrame, value: str, to: str, buckets: int = BUCKETS) ->
     return df.join(ranks, F.col(value).cast("double") == F.col("__rv"), "left").drop("__rv")
 
 
-def normal_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+def normal_points(df: DataFrame, value: str, buckets: int = BUCKETS, block: int = 10_000) -> DataFrame:
     """Sample value against theoretical normal quantile, one row per row of the input.
 
-    Copies of a value get neighbouring positions, as after a sort.
+    Copies of a value get neighbouring positions, as after a sort. A value with very many copies
+    is cut into blocks that are spread over the tasks before they are written out.
     """
-    ranks = value_ranks(df, value, buckets)
+    blocks = value_ranks(df, value, buckets).withColumn(
+        "first", F.explode(F.expr(f"sequence(1L, copies, {block}L)"))
+    ).repartition("before", "first")
+    last = F.least(F.col("copies"), F.col("first") + F.lit(block - 1))
+    points = blocks.withColumn("copy", F.explode(F.sequence("first", last)))
     place = F.col("before") + F.col("copy")
-    spread = ranks.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return spread.select(
+    return points.select(
         F.col(value).alias("sample"), place.alias("position"),
         normal_quantile(plotting_position(place, F.col("rows"))).alias("theoretical"),
     )

@@ -52,9 +52,12 @@ def respondent_pool(files: Mapping[int, DataFrame]) -> DataFrame:
 
 
 def conform_people(patients: DataFrame, regions: DataFrame) -> DataFrame:
-    """Synthetic adults with region, income rank (among all ages), age, race group and marital code."""
-    ranked = percent_rank(patients.join(regions, F.col("STATE") == F.col("state_name"), "left"),
-                          "INCOME", "INCOME_PCT")
+    """Synthetic adults with region, income rank (among all ages), age, race group and marital code.
+
+    `regions` is the literal table of 51 states.
+    """
+    placed = patients.join(F.broadcast(regions), F.col("STATE") == F.col("state_name"), "left")
+    ranked = percent_rank(placed, "INCOME", "INCOME_PCT")
     aged = ranked.withColumn(
         "AGELAST", top_code(years_between("BIRTHDATE", F.lit(YEAR_END)), float(TOP_AGE))
     )
@@ -160,7 +163,7 @@ def representativeness(people: DataFrame, respondents: DataFrame,
 
 def match_people(people: DataFrame, respondents: DataFrame, seed: int | str, score: bool = False) -> DataFrame:
     """Matched rows of both sides: up to three synthetic people per respondent in each stratum."""
-    both = pool(people, respondents)
+    both = materialize(pool(people, respondents))
     if score:
         both = propensity(both, PEOPLE_KEYS, "MEPS_respondent")
     return stratum_match(both, PEOPLE_KEYS, "MEPS_respondent", "Id", PEOPLE_RATIO, seed)
@@ -199,7 +202,7 @@ def match_images(pairs: DataFrame, images: DataFrame, seed: int | str) -> DataFr
     """One file per person: of up to twenty images matched to the person, the first by name."""
     people = pairs.select("Synthea_ID", *IMAGE_KEYS, F.lit(1).alias("final_database"))
     files = images.select(F.col("filename").alias("Synthea_ID"), *IMAGE_KEYS, F.lit(0).alias("final_database"))
-    matched = stratum_match(pool(people, files), IMAGE_KEYS, "final_database", "Synthea_ID", IMAGE_RATIO, seed)
+    matched = stratum_match(materialize(pool(people, files)), IMAGE_KEYS, "final_database", "Synthea_ID", IMAGE_RATIO, seed)
     return first_control(matched, "final_database", "Synthea_ID", "Synthea_ID", "filename")
 
 
@@ -241,7 +244,7 @@ def build_persons(files: Mapping[int, DataFrame], patients: DataFrame, transitio
     payers_now = payer_on(transitions, payers)
     respondents = materialize(respondent_input(respondent_pool(files), seed))
     synthetic = people_input(conform_people(patients, region_table(regions)), payers_now)
-    matched = materialize(match_people(materialize(matchable(synthetic)), respondents, seed))
+    matched = materialize(match_people(matchable(synthetic), respondents, seed))
     pairs = materialize(matchup(matched))
     images = materialize(usable_images(attributes, actual_ages(matched)))
     return person_table(match_images(pairs, images, seed), pairs, respondents, patients, payers_now)

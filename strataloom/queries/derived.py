@@ -20,7 +20,7 @@ STATE_OF_NATION = "CASE c_nationkey " + " ".join(
 
 
 def select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(e).alias(c) for c, e in columns.items()])
+    return df.selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
 
 
 def select_sql(source: str, columns: dict[str, str]) -> str:
@@ -122,7 +122,7 @@ def _files(source: DataFrame, day: str, wanted: list[str], exprs: dict[str, str]
                  for c in wanted}
         start, end = f"TIMESTAMP '{year - 20}-01-01'", f"TIMESTAMP '{year - 19}-01-01'"
         rows = source.where(f"{day} >= {start} AND {day} < {end}")
-        files[year] = rows.select(*[F.expr(exprs.get(c, "CAST(NULL AS INT)")).alias(names[c]) for c in wanted])
+        files[year] = select(rows, {names[c]: exprs.get(c, "CAST(NULL AS INT)") for c in wanted})
     return files
 
 

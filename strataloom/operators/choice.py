@@ -13,7 +13,7 @@ from .hot import MAX_GROUPS, MAX_PARTS, PART, PARTS, TARGET_ROWS, hot_groups, pa
 from .joins import null_safe_join
 from .running import running_totals
 
-WIDE = 64  # candidates of one category that one part of the draw range may hold
+WIDE = 8  # candidates of one category that one part of the draw range may hold
 SMALL_ROWS = 500_000  # candidate tables up to this counted size are broadcast
 
 

@@ -55,7 +55,7 @@ def harmonize_year(df: DataFrame, year: int, columns: Iterable[str]) -> DataFram
     name the file holds as it stands (a birth year `DOBYY`) is kept.
     """
     present = set(df.columns)
-    return df.select(*[F.col(_year_name(c, year, present)).alias(c) for c in columns])
+    return df.selectExpr(*[f"`{_year_name(c, year, present)}` AS `{c}`" for c in columns])
 
 
 def _year_name(column: str, year: int, present: set[str]) -> str:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,9 +28,9 @@ def value_ranks(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counts.approxQuantile("__v", steps, 0.5 / buckets)))
-    bounds = F.expr("array(" + ", ".join(f"{c!r}D" for c in cuts) + ")") if cuts else F.expr("array(0D)")
-    bucketed = counts.withColumn("__range", F.size(F.filter(bounds, lambda b: b <= F.col("__v"))))
+    cuts = [c for c in counts.approxQuantile("__v", steps, 0.5 / buckets) if math.isfinite(c)]
+    edges = [float("-inf"), *sorted({c + 0.0 for c in cuts}), float("inf")]
+    bucketed = Bucketizer(splits=edges, inputCol="__v", outputCol="__range", handleInvalid="keep").transform(counts)
     ranges = bucketed.groupBy("__range").agg(F.sum("copies").alias("__in_range"))
     upto = W.partitionBy().orderBy("__range").rowsBetween(W.unboundedPreceding, W.currentRow)
     # At most `buckets` rows from here on.

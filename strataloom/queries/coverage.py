@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import dates, draws, nulls, quantiles, recode, text
 from ..operators import (aggregates, balance, choice, codes, columns, joins, matching, ranks, reshape, running,
                          sampling, survey)
+from ..session import shared_folder
+from ..sources import readers, writers
 from .registry import draw_sql, query
 
 PART_TYPE = {"click": "ECONOMY", "view": "LARGE", "purchase": "SMALL", "signup": "PROMO", "error": "STANDARD"}
@@ -520,7 +523,7 @@ def _horner_sql(coefficients, x):
     return out
 
 
-def _quantile_sql():
+def quantile_sql():
     def ratio(pair, x):
         return f"{_horner_sql(pair[0], x)} / {_horner_sql(pair[1], x)}"
 
@@ -534,7 +537,7 @@ WITH o AS (SELECT c_acctbal AS sample, row_number() OVER (ORDER BY c_acctbal) AS
            FROM customer),
 p AS (SELECT *, (position - 0.5::DOUBLE) / n AS p FROM o),
 q AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM p)
-SELECT sample, position, round({_quantile_sql()}, 9) AS theoretical FROM q
+SELECT sample, position, round({quantile_sql()}, 9) AS theoretical FROM q
 """)
 def qq_points(t):
     points = ranks.normal_points(t.customer, "c_acctbal")
@@ -794,7 +797,11 @@ def title_squish_text(t):
     )
 
 
-@query()
+@query("""
+SELECT doc_id, regexp_replace(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')),
+                                             '(.{1,50})(?:\\s+|$)', '\\1' || chr(10), 'g'), '\\n$', '') AS wrapped
+FROM documents
+""")
 def wrapped_text(t):
     """Line breaks in whole texts."""
     return t.documents.select("doc_id", text.wrap(text.squish("text"), 50).alias("wrapped"))
@@ -810,3 +817,59 @@ def parameter_pick(t):
     return t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_partkey", "p_type").agg(
         F.sum("l_quantity").cast("long").alias("qty")
     )
+
+
+# ---- sources and sinks -------------------------------------------------------------------------
+
+@query("SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment, c_name, c_acctbal FROM customer")
+def csv_round_trip(t):
+    """Written with a header and "NA" for missing, read with a schema in another column order."""
+    path = new_path(t)
+    rows = t.customer.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("MACHINERY")))
+    writers.write_table(rows, path, csv=True)
+    return readers.read_csv(t.spark, path, "c_custkey long, c_mktsegment string, c_name string, c_acctbal double")
+
+
+def new_path(t) -> str:
+    return f"{shared_folder(t.spark)}/strataloom-{uuid.uuid4().hex}"
+
+
+@query("""
+SELECT 'P' || p_partkey AS code, nullif(trim(CASE WHEN p_size > 40 THEN ' ' ELSE p_type END), '') AS kind FROM part
+""")
+def quoted_scan(t):
+    """Values in single quotes below two title lines, with spaces in the column names."""
+    names = ["THE CODE", "THE NAME", "THE KIND"]
+    head = t.spark.createDataFrame([("Code table,,",), ("Version 1,,",), ("'THE CODE','THE NAME','THE KIND'",)],
+                                   "value string")
+    kind = F.when(F.col("p_size") > 40, F.lit(" ")).otherwise(F.col("p_type"))
+    lines = t.part.select(F.concat(F.lit("'P"), F.col("p_partkey").cast("string"), F.lit("','"), F.col("p_name"),
+                                   F.lit("','"), kind, F.lit("'")).alias("value"))
+    path = new_path(t)
+    head.coalesce(1).unionByName(lines).write.text(path)
+    return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, preamble=2)
+
+
+@query("""
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE o_orderstatus = 'O'
+""")
+def partitioned_source(t):
+    """A table by kind and year; each year is read by itself, from its own folder, and pooled."""
+    path = new_path(t)
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("kind"), F.year("o_orderdate").alias("year"))
+    writers.write_table(rows, path, partition_by=["kind", "year"])
+    return columns.pool(*[
+        readers.read_partition(t.spark, path, "o_orderkey long", kind="O", year=y).withColumn("year", F.lit(y))
+        for y in YEARS
+    ])
+
+
+@query("SELECT n_nationkey AS key, n_name AS name FROM nation UNION ALL SELECT c_custkey, c_name FROM customer")
+def append_batches(t):
+    """The first batch replaces the table, the next one is appended."""
+    path = new_path(t)
+    writers.write_batches([
+        t.nation.select(F.col("n_nationkey").cast("long").alias("key"), F.col("n_name").alias("name")),
+        t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")),
+    ], path)
+    return t.spark.read.schema("key long, name string").parquet(path)

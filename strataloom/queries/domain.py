@@ -9,7 +9,7 @@ from ..plans import diagnoses, drugs, people, profiles, risk
 from ..session import materialize
 from ..sources import lookups as L
 from . import derived as D
-from .coverage import BANDS_SQL, TITLE_SQL
+from .coverage import BANDS_SQL, TITLE_SQL, quantile_sql
 from .registry import draw_sql, query
 
 # ---- people ------------------------------------------------------------------------------------
@@ -244,9 +244,14 @@ def person_table(t):
     return people.person_table(files, pairs, respondents, D.patients(t), payers)
 
 
-@query()
+@query(f"""
+WITH o AS (SELECT "age" AS sample, row_number() OVER (ORDER BY "age") AS position, count(*) OVER () AS n
+           FROM ({D.IMAGES_SQL}) WHERE "age" >= 18),
+q AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM (SELECT *, (position - 0.5::DOUBLE) / n AS p FROM o))
+SELECT sample, position, round({quantile_sql()}, 9) AS theoretical FROM q
+""")
 def image_age_points(t):
-    """Normal quantile points of the stretched image ages."""
+    """Normal quantile points of the image ages."""
     images = D.images(t).where("age >= 18")
     return normal_points(images, "age").withColumn("theoretical", F.round("theoretical", 9))
 
@@ -377,7 +382,6 @@ def comorbidity_detail(t):
 
 # ---- drugs -------------------------------------------------------------------------------------
 
-WHOLE_BANDS_SQL = BANDS_SQL  # whole ages: closed and half-open bands agree
 PERSON_DRUGS_SQL = f"""
     SELECT "DUPERSID" || CAST("YEAR" AS VARCHAR) AS "ID", "DUPERSID", "RXTOTYY", "RXEXPYY", "RXSLFYY", "PSU9621", "STRA9621",
            "PERWTYYF" / 7 AS "POOLWTYY", "RACETHX", "AGEYYX", "SEX", "YEAR" AS "MEPS_DATA_YEAR",

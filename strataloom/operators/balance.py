@@ -11,6 +11,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import null_safe_join, require_keys
 
 
@@ -99,14 +100,13 @@ def propensity(df: DataFrame, covariates: Sequence[str], treated: str, to: str =
         F.struct(F.lit(1.0).alias("label"), F.col("hits").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("hits")).alias("weight")),
     )
-    patterns = (
+    patterns = materialize(
         require_keys(df, covariates, "propensity")
         .groupBy(*[F.col(c).cast("string").alias(f"x{i}") for i, c in enumerate(covariates)])
         .agg(F.sum(F.col(treated).cast("double")).alias("hits"), F.count(F.lit(1)).cast("double").alias("n"))
         .withColumn("side", F.explode(sides))
         .select(*[f"x{i}" for i in range(len(covariates))], "side.*")
         .where("weight > 0")
-        .cache()
     )
     levels = patterns.agg(*[F.count_distinct(f"x{i}") for i in range(len(covariates))]).first()
     terms = [f"x{i}" for i, n in enumerate(levels) if n > 1] or ["1"]

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.draws import SPAN, draw32
 from ..functions.nulls import strict_sum
 from .hot import MAX_GROUPS, MAX_PARTS, PART, PARTS, TARGET_ROWS, hot_groups, part_of
-from .joins import null_safe_join
+from .joins import SMALL_ROWS, null_safe_join
 from .running import running_totals
 
 WIDE = 8  # candidates of one category that one part of the draw range may hold
-SMALL_ROWS = 500_000  # candidate tables up to this counted size are broadcast
 
 
 def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str, weight: str,

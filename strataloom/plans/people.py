@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import covers, drawn_day, years_between
@@ -151,13 +152,13 @@ def representativeness(people: DataFrame, respondents: DataFrame,
                        categories=("SEX", "RACETHX", "MARITAL", "INSURCYY", "AGE_GRP_9")) -> DataFrame:
     """Share of each category in both sources, one line per (category, level, source)."""
     both = pool(people.withColumn("source", F.lit("synthetic")), respondents.withColumn("source", F.lit("survey")))
-    # The five categories are counted from one grouped table, not from five scans.
+    # All categories are counted from one grouped table; a window over the few levels gives totals.
     folded = both.groupBy("source", *categories).agg(F.count(F.lit(1)).alias("n"))
     levels = folded.unpivot(["source", "n"], list(categories), "category", "level")
     counts = levels.groupBy("source", "category", "level").agg(F.sum("n").alias("n"))
-    totals = folded.groupBy("source").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "source").where("level IS NOT NULL").select(
-        "category", "level", "source", "n", (F.col("n") / F.col("total")).alias("share")
+    total = F.sum("n").over(W.partitionBy("source", "category"))
+    return counts.withColumn("share", F.col("n") / total).where("level IS NOT NULL").select(
+        "category", "level", "source", "n", "share"
     )
 
 

@@ -61,7 +61,7 @@ def _of(persons: DataFrame, rows: DataFrame, person: str) -> DataFrame:
 
 
 def _sentence(persons: DataFrame, rows: DataFrame, none: str, one: str, many: str, lead: str) -> DataFrame:
-    counts = count_or_zero(persons, rows, "MEPS_ID", "__n")
+    counts = count_or_zero(persons, _of(persons, rows, "MEPS_ID"), "MEPS_ID", "__n")
     some = F.concat(F.col("FIRST"), F.lit(lead), F.col("__n").cast("string"), F.lit(" unique "))
     text = counted("__n", F.concat(F.col("FIRST"), F.lit(none)), F.concat(some, F.lit(one)),
                    F.concat(some, F.lit(many)))
@@ -126,7 +126,7 @@ def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: d
         keyed.withColumns({"breakout": F.lit(EVERYBODY), "position": F.lit(3),
                            **{f: overall.getField(f) for f in figures}}),
     ]
-    values = own.select(F.col("ID").alias("MEPS_ID"), F.col(own_value).alias("own_value"))
+    values = _of(persons, own.select(F.col("ID").alias("MEPS_ID"), F.col(own_value).alias("own_value")), "MEPS_ID")
     return pool(*[c.select("Synthea_ID", "MEPS_ID", "position", "breakout", *figures) for c in cuts]).join(
         values, "MEPS_ID", "left"
     )

@@ -38,8 +38,9 @@ def stretch(df: DataFrame, value: str, to: str, target: DataFrame, target_value:
     """
     own = moments(df, value).select(F.struct("mean", "sd")).scalar()
     target_sd = target.agg(F.stddev_samp(target_value)).scalar()
-    mean = own.getField("mean")
-    return df.withColumn(to, (F.col(value) - mean) / own.getField("sd") * target_sd + mean)
+    known = df.withColumns({"__own": own, "__target": target_sd})
+    mean, sd = F.col("__own.mean"), F.col("__own.sd")
+    return known.withColumn(to, (F.col(value) - mean) / sd * F.col("__target") + mean).drop("__own", "__target")
 
 
 def first_by(df: DataFrame, by: Sequence[str], value: str, order: Column | str) -> DataFrame:

@@ -60,9 +60,10 @@ def balance(df: DataFrame, matched: DataFrame, covariates: Sequence[str], treate
 def numeric_balance(df: DataFrame, value: str, treated: str, weight=None) -> DataFrame:
     """Weighted means, standardised difference and variance ratio of one numeric covariate."""
     w = F.lit(1.0) if weight is None else F.col(weight)
-    x = F.col(value).cast("double")
-    centre = F.coalesce(df.agg(F.avg(value)).scalar(), F.lit(0.0))
-    d = x - centre  # moments about the overall mean keep the sums small
+    # Moments about the overall mean keep the sums small.
+    rows = df.withColumn("__centre", F.coalesce(df.agg(F.avg(value)).scalar(), F.lit(0.0)))
+    rows = rows.withColumn("__d", F.col(value).cast("double") - F.col("__centre"))
+    d = F.col("__d")
     sides = {}
     for name, flag in (("t", 1), ("c", 0)):
         on = F.col(treated) == flag
@@ -70,7 +71,8 @@ def numeric_balance(df: DataFrame, value: str, treated: str, weight=None) -> Dat
             f"{name}w": F.sum(F.when(on, w)), f"{name}w2": F.sum(F.when(on, w * w)),
             f"{name}s": F.sum(F.when(on, w * d)), f"{name}q": F.sum(F.when(on, w * d * d)),
         }
-    sums = df.agg(*[c.alias(n) for n, c in sides.items()])
+    sums = rows.agg(F.max("__centre").alias("__centre"), *[c.alias(n) for n, c in sides.items()])
+    centre = F.col("__centre")
 
     def mean(s):
         return F.col(f"{s}s") / F.col(f"{s}w")

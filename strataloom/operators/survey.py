@@ -97,19 +97,23 @@ def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, b
         *[F.sum(spread(f"__cs_{m}", f"__ms_{m}", "__mw")).alias(f"__qsw_{m}") for m in names],
         *[F.max(f"__gap_{m}").alias(f"__gap_{m}") for m in names],
     )
-    multiplier = _multiplier(strata, df_t, level)
-
+    # One step per quantity, so that each is worked out once.
+    w_all = F.col("__w")
+    means = totals.withColumn("__t", _multiplier(strata, df_t, level)).withColumns({
+        m: F.when(~F.col(f"__gap_{m}"), F.col(f"__s_{m}") / F.nullif(w_all, F.lit(0.0))) for m in names
+    })
+    errors = means.withColumns({
+        f"{m}_se": F.when(F.col(m).isNotNull(), F.sqrt(F.greatest(F.lit(0.0), (
+            F.col(f"__qss_{m}") - 2 * F.col(m) * F.col(f"__qsw_{m}") + F.col(m) * F.col(m) * F.col("__qww")
+        ))) / w_all) for m in names
+    })
     out = list(by)
     for m in names:
-        mean = F.when(~F.col(f"__gap_{m}"), F.col(f"__s_{m}") / F.nullif(F.col("__w"), F.lit(0.0)))
-        square = F.col(f"__qss_{m}") - 2 * mean * F.col(f"__qsw_{m}") + mean * mean * F.col("__qww")
-        se = F.sqrt(F.greatest(square, F.lit(0.0))) / F.col("__w")
-        se = F.when(mean.isNotNull(), se)
-        out += [mean.alias(m), se.alias(f"{m}_se"),
-                (mean - multiplier * se).alias(f"{m}_low"), (mean + multiplier * se).alias(f"{m}_upp")]
+        half = F.col("__t") * F.col(f"{m}_se")
+        out += [m, f"{m}_se", (F.col(m) - half).alias(f"{m}_low"), (F.col(m) + half).alias(f"{m}_upp")]
         if rse:
-            out.append((se / mean).alias(f"{m}_rse"))
-    return totals.select(*out)
+            out.append((F.col(f"{m}_se") / F.col(m)).alias(f"{m}_rse"))
+    return errors.select(*out)
 
 
 def _multiplier(strata: DataFrame, df_t: str | float, level: float) -> Column:
@@ -118,7 +122,7 @@ def _multiplier(strata: DataFrame, df_t: str | float, level: float) -> Column:
     if df_t != "design":
         return t_multiplier(F.lit(float(df_t)), level)
     degrees = strata.agg((F.sum("__active") - F.sum((F.col("__active") > 0).cast("long"))).alias("degrees"))
-    return t_multiplier(degrees.scalar(), level)
+    return degrees.select(t_multiplier(F.col("degrees"), level)).scalar()
 
 
 def cell_sizes(df: DataFrame, by: Sequence[str], least: int = 60) -> DataFrame:

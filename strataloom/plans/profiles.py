@@ -123,8 +123,9 @@ def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: d
               ["AGE_GRP_9", "RACETHX_DSC"], race, 1),
         peers(keyed, means["age_gender"].select("AGE_GRP_9", "SEX_DSC", *figures),
               ["AGE_GRP_9", "SEX_DSC"], gender, 2),
-        keyed.withColumns({"breakout": F.lit(EVERYBODY), "position": F.lit(3),
-                           **{f: overall.getField(f) for f in figures}}),
+        keyed.withColumns({"breakout": F.lit(EVERYBODY), "position": F.lit(3), "overall": overall}).select(
+            "*", *[F.col(f"overall.{f}") for f in figures]
+        ),
     ]
     values = _of(persons, own.select(F.col("ID").alias("MEPS_ID"), F.col(own_value).alias("own_value")), "MEPS_ID")
     return pool(*[c.select("Synthea_ID", "MEPS_ID", "position", "breakout", *figures) for c in cuts]).join(

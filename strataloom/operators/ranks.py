@@ -29,7 +29,7 @@ def value_ranks(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
     )
     steps = [i / buckets for i in range(1, buckets)]
     cuts = [c for c in counts.approxQuantile("__v", steps, 0.5 / buckets) if math.isfinite(c)]
-    edges = [float("-inf"), *sorted({c + 0.0 for c in cuts}), float("inf")]
+    edges = [float("-inf"), *(sorted({c + 0.0 for c in cuts}) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=edges, inputCol="__v", outputCol="__range", handleInvalid="keep").transform(counts)
     ranges = bucketed.groupBy("__range").agg(F.sum("copies").alias("__in_range"))
     upto = W.partitionBy().orderBy("__range").rowsBetween(W.unboundedPreceding, W.currentRow)

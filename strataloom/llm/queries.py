@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_chat, queries_mixing, queries_packing, queries_pii, queries_quality, queries_rules  # noqa: F401
+from . import queries_chat, queries_embeddings, queries_mixing, queries_packing, queries_pii, queries_quality, queries_rules  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -12,7 +12,7 @@ Equal vectors are folded first. Fitting uses at most `SAMPLE` distinct vectors;
 indexed and every vector visits. Cells of any size are cut into blocks, so no cell is one task.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
-with nothing, nor do rows with a null id, whose component is null; vectors of different lengths do
+with nothing, nor do rows with a null id, whose component is null and which are kept; vectors of different lengths do
 not link; equal vectors link; rows that share an id share a component; an empty table gives an
 empty table; columns other than id and vector are not read.
 """
@@ -187,7 +187,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     good = members.join(groups, members["id"] == groups["node"], "left").select(
         F.col("id").alias(id_col), "n_links", F.coalesce("component", "id").alias("component_id"))
     bad = vectors.where(~fine).select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"))
-    return good.unionByName(bad).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
+    return good.unionByName(bad).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def _links(classes: DataFrame, dim: int, count: int, cosine: float, target_recall: float) -> DataFrame:

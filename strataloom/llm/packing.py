@@ -19,6 +19,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -31,52 +32,108 @@ from ..session import materialize
 CAPACITY = 4096
 RANKED_TOGETHER = 100_000
 
+MOST_KNOWN = 1_000_000
+
+_TAIL = ".,!?;:&%$#*|"
 _GAPS = re.compile(r"[\x20\x09-\x0D]+")
 _ODD = re.compile(r"[\x1c-\x1f]")  # gaps for str.split, but not for tokenizers
 
 
+class WordIds:
+    """Token ids of words as bytes. A word without its closing punctuation is encoded once, most of them in one go."""
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_str(vocabulary)
+        entries = self.encoder.get_vocab()
+        self.closes = np.zeros(max(entries.values(), default=0) + 1, bool)
+        self.closes[[i for token, i in entries.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.words) > MOST_KNOWN:  # bounds the memory of a task; known words are only a cache
+            self.words.clear()
+            self.parts = {"": b""}
+        new = words.difference(self.words)
+        split = {}
+        for word in new:
+            part = word.rstrip(_TAIL)
+            if part[-1:].isalpha() and len(part[-1].lower()) == 1:
+                split[word] = (part.lower() if part.isascii() else part, word[len(part):])
+            else:
+                split[word] = (word, "")
+        self._encode({x for pair in split.values() for x in pair}.difference(self.parts))
+        parts = self.parts
+        for word, (part, tail) in split.items():
+            self.words[word] = parts[part] + parts[tail] if tail else parts[part]
+
+    def _encode(self, parts: set[str]) -> None:
+        # Words of letters are one unit of the tokenizer each, which ends with a closing token.
+        letters = sorted(x for x in parts if x.isalpha() and is_normalized("NFC", x))
+        for at in range(0, len(letters), 20_000):
+            some = letters[at:at + 20_000]
+            ids = np.array(self.encoder.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):
+                self._one_by_one(some)
+                continue
+            raw = ids.tobytes()
+            start = 0
+            for word, end in zip(some, ends.tolist()):
+                self.parts[word] = raw[4 * start:4 * end]
+                start = end
+        self._one_by_one([x for x in parts if x not in self.parts])
+
+    def _one_by_one(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 10_000):
+            some = parts[at:at + 10_000]
+            for word, found in zip(some, self.encoder.encode_batch_fast(some, add_special_tokens=False)):
+                self.parts[word] = np.array(found.ids, dtype="<u4").tobytes()
+
+
+def _spans(texts, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive texts of together about `most` characters."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        size += len(text)
+        if size > most:
+            yield start, at + 1
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
                      id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """Pieces of at most `capacity` token ids: id, `piece`, `start`, `length`, `ids_crc32` and, if wanted, `ids`.
 
     `tokenizer` is the path of a `tokenizers` file on the driver, whose content (a vocabulary, of
-    fixed size) is sent to the executors. Its words end at white space, so each distinct word of
-    a batch is encoded once.
+    fixed size) is sent to the executors. Its words end at white space and before punctuation, so
+    parts of words are encoded once and put together.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_str(vocabulary.value)
-        known: dict[str, bytes] = {}
-        gaps, odd = _GAPS, _ODD
+        known = WordIds(vocabulary.value)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            rows = []
-            for key, text in zip(batch["__id"], batch["__text"]):
-                words = list(filter(None, gaps.split(text))) if odd.search(text) else text.split()
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) > 1_000_000:  # bounds the memory of a task; known words are only a cache
-                        known.clear()
-                        new = list(set(words))
-                    for at in range(0, len(new), 10_000):
-                        some = new[at:at + 10_000]
-                        for word, found in zip(some, encoder.encode_batch_fast(some, add_special_tokens=False)):
-                            known[word] = np.array(found.ids, dtype="<u4").tobytes()
-                ids = b"".join(map(known.__getitem__, words)) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    body = ids[at:at + 4 * capacity]
-                    row = (key, piece, at // 4, len(body) // 4, zlib.crc32(body))
-                    rows.append((*row, np.frombuffer(body, dtype="<u4").astype(np.int32)) if keep_ids else row)
-                if len(rows) >= 2000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
+            keys, texts = batch["__id"].tolist(), batch["__text"].tolist()
+            for a, b in _spans(texts):
+                words = [list(filter(None, _GAPS.split(t))) if _ODD.search(t) else t.split() for t in texts[a:b]]
+                known.learn(set().union(*words))
+                look, rows = known.words.__getitem__, []
+                for key, some in zip(keys[a:b], words):
+                    ids = b"".join(map(look, some)) + end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        body = ids[at:at + 4 * capacity]
+                        row = (key, piece, at // 4, len(body) // 4, zlib.crc32(body))
+                        rows.append((*row, np.frombuffer(body, dtype="<u4").astype(np.int32)) if keep_ids else row)
+                yield pd.DataFrame(rows, columns=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"__id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids

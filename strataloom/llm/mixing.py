@@ -31,7 +31,7 @@ SHARD_SLOTS = 4096
 SHARDS = 10_000
 ROUNDS = 12
 BUCKETS = 4096
-RANKED_TOGETHER = 50_000
+RANKED_TOGETHER = 4_000
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_PASSES) -> DataFrame:

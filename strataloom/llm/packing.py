@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 CAPACITY = 4096
-RANKED_TOGETHER = 100_000
+RANKED_TOGETHER = 4_000
 
 MOST_KNOWN = 1_000_000
 

@@ -7,7 +7,7 @@ control strings that occur inside roles and texts get one backslash after their
 (one more, where some stand there already), which reading back takes out again.
 
 Defined results: a null role or text is empty; turns come by number, a null number first, and
-equal numbers by their formatted text; repeated rows are turns each; a null conversation id is a
+equal numbers by a digest of their formatted text; repeated rows are turns each; a null conversation id is a
 conversation of its own; an empty table gives an empty table; columns other than the four named
 are not read. Turns of one conversation may lie in many partitions: places are running sums within
 partitions plus the sums of the partitions before.
@@ -32,6 +32,8 @@ from ..session import materialize
 BEGIN, HEAD, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 CONTROLS = (BEGIN, HEAD, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 
+TOGETHER = 200  # turns that are encoded or decoded in one go
+
 _TAILS = {c: "|".join(re.escape(x[1:]) for x in CONTROLS if x[0] == c) for c in "<["}
 _PLAIN = re.compile("|".join(rf"{re.escape(c)}(?=\\*(?:{tails}))" for c, tails in _TAILS.items()))
 _MARKED = re.compile("|".join(rf"(?<={re.escape(c)})\\(?=\\*(?:{tails}))" for c, tails in _TAILS.items()))
@@ -72,21 +74,23 @@ def format_turns(conversations: DataFrame, tokenizer: str, trained_role: str = "
         encoder = _encoder(vocabulary.value)
         reserved = encoder.get_vocab_size(with_added_tokens=True)
         for batch in batches:
-            roles = [escape(x) for x in batch["role"]]
-            texts = [escape(x) for x in batch["text"]]
-            heads = encoder.encode_batch(roles, add_special_tokens=False)
-            bodies = encoder.encode_batch(texts, add_special_tokens=False)
-            ids, masks = [], []
-            for role, head, body in zip(batch["role"], heads, bodies):
-                ids.append([reserved, *head.ids, reserved + 1, *body.ids, reserved + 2])
-                step = np.zeros(len(ids[-1]) + 1, np.int8)
-                if role == trained_role:
-                    step[len(head.ids) + 2] += 1
-                    step[-1] -= 1
-                masks.append(np.cumsum(step[:-1], dtype=np.int8))
-            yield pd.DataFrame({
-                "conv_id": batch["conv_id"], "turn": batch["turn"], "ids": ids, "loss_mask": masks,
-                "formatted": [BEGIN + r + HEAD + t + END for r, t in zip(roles, texts)]})
+            for at in range(0, len(batch), TOGETHER):
+                some = batch.iloc[at:at + TOGETHER]
+                roles, texts = [escape(x) for x in some["role"]], [escape(x) for x in some["text"]]
+                heads = encoder.encode_batch_fast(roles, add_special_tokens=False)
+                bodies = encoder.encode_batch_fast(texts, add_special_tokens=False)
+                ids, masks = [], []
+                for role, head, body in zip(some["role"], heads, bodies):
+                    head, body = head.ids, body.ids
+                    ids.append(np.array([reserved, *head, reserved + 1, *body, reserved + 2], np.int32))
+                    step = np.zeros(len(ids[-1]) + 1, np.int8)
+                    if role == trained_role:
+                        step[len(head) + 2] += 1
+                        step[-1] -= 1
+                    masks.append(np.cumsum(step[:-1], dtype=np.int8))
+                yield pd.DataFrame({
+                    "conv_id": some["conv_id"], "turn": some["turn"], "ids": ids, "loss_mask": masks,
+                    "formatted": [BEGIN + r + HEAD + t + END for r, t in zip(roles, texts)]})
 
     turns = conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
@@ -97,24 +101,24 @@ def format_turns(conversations: DataFrame, tokenizer: str, trained_role: str = "
 
 
 def format_conversations(conversations: DataFrame, tokenizer: str, trained_role: str = "assistant") -> DataFrame:
-    """`format_turns` with `position`, the number of ids of the conversation before the turn; a written table.
+    """`format_turns` with `position`, the number of ids of the conversation before the turn.
 
     The turns of a conversation, by position, are its token sequence and mask.
     """
-    turns = format_turns(conversations, tokenizer, trained_role)
-    order = [F.col("conv_id"), F.col("turn"), F.col("formatted")]
+    turns = materialize(format_turns(conversations, tokenizer, trained_role).withColumns({
+        "__n": F.size("ids").cast("long"), "__tie": F.sha2("formatted", 256), "__row": F.monotonically_increasing_id()}))
+    order = [F.col("conv_id"), F.col("turn"), F.col("__tie")]
     ordered = materialize(
-        turns.repartitionByRange(*order).withColumns({
-            "__part": F.spark_partition_id(), "__n": F.size("ids").cast("long"), "__row": F.monotonically_increasing_id()}))
-    within = W.partitionBy("__part", "conv_id").orderBy("turn", "formatted", "__row").rowsBetween(W.unboundedPreceding, -1)
+        turns.select(*order, "__n", "__row").repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    within = W.partitionBy("__part", "conv_id").orderBy("turn", "__tie", "__row").rowsBetween(W.unboundedPreceding, -1)
     sums = ordered.groupBy("conv_id", "__part").agg(F.sum("__n").alias("__sum"))
     before = W.partitionBy("conv_id").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(F.col("conv_id").alias("__conv"), F.col("__part").alias("__p"),
                          F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
     placed = ordered.withColumn("__inner", F.coalesce(F.sum("__n").over(within), F.lit(0)))
     placed = placed.join(starts, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("__part") == F.col("__p")))
-    return placed.select("conv_id", "turn", (F.col("__before") + F.col("__inner")).alias("position"),
-                         "ids", "loss_mask", "formatted")
+    position = placed.select("__row", (F.col("__before") + F.col("__inner")).alias("position"))
+    return turns.join(position, "__row").select("conv_id", "turn", "position", "ids", "loss_mask", "formatted")
 
 
 def read_back(formatted: DataFrame, tokenizer: str) -> DataFrame:
@@ -131,26 +135,29 @@ def read_back(formatted: DataFrame, tokenizer: str) -> DataFrame:
         marks = len(BEGIN) + len(HEAD) + len(END)
         now, state, done = None, None, []
         for batch in batches:
-            parts = []
-            for ids, mask in zip(batch["ids"], batch["loss_mask"]):
-                ids, mask = np.asarray(ids), np.asarray(mask)
-                begin, head, end = np.flatnonzero(ids >= reserved)
-                if begin or end != len(ids) - 1 or list(ids[[begin, head, end]]) != [reserved, reserved + 1, reserved + 2]:
-                    raise ValueError("a turn without its marks")
-                parts += [ids[1:head], ids[head + 1:end], ids[(mask == 1) & (ids < reserved)]]
-            texts = encoder.decode_batch([p.tolist() for p in parts], skip_special_tokens=False)
-            for i, (conv, missing) in enumerate(zip(batch["__conv"], batch["__missing"])):
-                if (conv, missing) != now:
-                    if state:
-                        done.append(_closed(now, state))
-                    now, state = (conv, missing), [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text, trained = texts[3 * i:3 * i + 3]
-                state[4] += marks + len(role) + len(text)
-                state[0] += 1
-                state[1].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
-                trained = unescape(trained)
-                state[2] += len(trained)
-                state[3].update(trained.encode())
+            for at in range(0, len(batch), TOGETHER):
+                some = batch.iloc[at:at + TOGETHER]
+                parts = []
+                for ids, mask in zip(some["ids"], some["loss_mask"]):
+                    ids, mask = np.asarray(ids), np.asarray(mask)
+                    places = np.flatnonzero(ids >= reserved)
+                    if (ids[places] - reserved).tolist() != [0, 1, 2] or places[0] or places[2] != len(ids) - 1:
+                        raise ValueError("a turn without its marks")
+                    head = places[1]
+                    parts += [ids[1:head], ids[head + 1:-1], ids[(mask == 1) & (ids < reserved)]]
+                texts = encoder.decode_batch([p.tolist() for p in parts], skip_special_tokens=False)
+                for i, (conv, missing) in enumerate(zip(some["__conv"], some["__missing"])):
+                    if (conv, missing) != now:
+                        if state:
+                            done.append(_closed(now, state))
+                        now, state = (conv, missing), [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    role, text, trained = texts[3 * i:3 * i + 3]
+                    state[4] += marks + len(role) + len(text)
+                    state[0] += 1
+                    state[1].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
+                    trained = unescape(trained)
+                    state[2] += len(trained)
+                    state[3].update(trained.encode())
             yield pd.DataFrame(done, columns=names).astype({"conv_id": object})
             done = []
         if state:

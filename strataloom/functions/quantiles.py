@@ -82,6 +82,40 @@ def _t_central(t: float, df: int) -> float:
     return math.sin(theta) * total
 
 
+def _t_within(t: float, df: float) -> float:
+    """P(|T| < t) for any degrees of freedom: a regularised incomplete beta function by its continued fraction."""
+    x, a, b = t * t / (df + t * t), 0.5, df / 2
+
+    def fraction(a: float, b: float, x: float) -> float:
+        c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
+        d = 1 / d
+        value = d
+        for m in range(1, 1000):
+            for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                         -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1 / (1 + step * d), 1 + step / c
+                value *= d * c
+            if abs(d * c - 1) < 1e-15:
+                break
+        return value
+
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1) / (a + b + 2):
+        return front * fraction(a, b, x) / a
+    return 1 - front * fraction(b, a, 1 - x) / b
+
+
+def t_quantile(level: float, df: float) -> float:
+    """Two-sided quantile for any positive degrees of freedom, by bisection."""
+    low, high = 1e-9, 1.0
+    while _t_within(high, df) < level:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _t_within(middle, df) < level else (low, middle)
+    return (low + high) / 2
+
+
 @lru_cache(maxsize=None)
 def t_quantiles(level: float, up_to: int = T_TABLE) -> tuple[float, ...]:
     """Two-sided quantiles for 1..up_to degrees of freedom (Newton's method from the left)."""
@@ -100,8 +134,13 @@ def t_quantiles(level: float, up_to: int = T_TABLE) -> tuple[float, ...]:
     return tuple(out)
 
 
-def t_multiplier(df: Column, level: float = 0.95) -> Column:
-    """Half-width multiplier of a two-sided t interval. NULL below one degree of freedom."""
+def t_multiplier(df: Column | float, level: float = 0.95) -> Column:
+    """Half-width multiplier of a two-sided t interval. NULL below one degree of freedom.
+
+    A number may have any fraction; a column holds whole numbers, others are an error.
+    """
+    if not isinstance(df, Column):
+        return F.lit(t_quantile(level, df) if df >= 1 else None).cast("double")
     z = NormalDist().inv_cdf((1 + level) / 2)
     table = F.expr("array(" + ", ".join(f"{t!r}D" for t in t_quantiles(level)) + ")")
     inverse = F.lit(1.0) / df
@@ -116,4 +155,6 @@ def t_multiplier(df: Column, level: float = 0.95) -> Column:
         ),
         inverse,
     )
-    return F.when(df > T_TABLE, series).when(df >= 1, F.element_at(table, df.cast("int")))
+    whole = F.when(df != F.floor(df), F.raise_error(F.lit("t_multiplier: degrees of freedom are not whole")).cast("int"))
+    place = whole.otherwise(df.cast("int"))
+    return F.when(df > T_TABLE, series).when(df >= 1, F.element_at(table, place))

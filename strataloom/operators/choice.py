@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import SPAN, draw32
 from ..functions.nulls import strict_sum
-from .hot import MAX_GROUPS, MAX_PARTS, PART, PARTS, TARGET_ROWS, hot_groups, part_of
-from .joins import SMALL_ROWS, null_safe_join
+from ..session import materialize
+from .hot import PART, PARTS, TARGET_ROWS, hot_groups, part_of
+from .joins import null_safe_join
 from .running import running_totals
 
 WIDE = 8  # candidates of one category that one part of the draw range may hold
@@ -21,13 +22,16 @@ def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str,
     """Give each candidate its half-open slice [draw_from, draw_to) of the draw range [0, 2**32).
 
     Slices are worked out once per category, not once per drawing row. Candidates stand in the
-    order of a hash of their code. Weights are whole numbers. A category with a missing weight, or
-    with nothing but zeros, gets no slices at all.
+    order of a hash of their code. Weights are whole numbers; others are an error. A category with
+    a missing weight, or with nothing but zeros, gets no slices at all.
     """
+    whole = F.col(weight).cast("long")
+    broken = F.raise_error(F.lit("choice_intervals: a weight is not a whole number")).cast("long")
+    checked = F.when(F.col(weight) != whole, broken).otherwise(F.coalesce(whole, F.lit(0)))
     placed = running_totals(
         candidates.withColumn("__place", draw32("order", code)),
         category, "__place", [code, weight],
-        {"__w": F.coalesce(F.col(weight).cast("long"), F.lit(0)),
+        {"__w": checked,
          "__gap": F.when(F.col(weight).isNull(), 1).otherwise(0)},
         target_rows,
     )
@@ -47,41 +51,34 @@ def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str,
 
 
 def wide_categories(candidates: DataFrame, category: Sequence[str]) -> DataFrame:
-    """Categories with many candidates, at most MAX_GROUPS of them, and their number of parts."""
+    """Categories with many candidates and their number of parts."""
     return (
         candidates.groupBy(*category)
         .agg(F.count(F.lit(1)).alias("__codes"))
         .where(F.col("__codes") > WIDE)
-        .orderBy(F.col("__codes").desc(), *category)
-        .limit(MAX_GROUPS)
-        .select(*category, F.least(F.ceil(F.col("__codes") / F.lit(WIDE)), F.lit(MAX_PARTS)).cast("long").alias(PARTS))
+        .select(*category, F.ceil(F.col("__codes") / F.lit(WIDE)).cast("long").alias(PARTS))
     )
 
 
 def weighted_choice(rows: DataFrame, candidates: DataFrame, category: Sequence[str], code: str, weight: str,
                     row_key: Sequence[str], seed: int | str, keep_open: bool = False,
-                    target_rows: int = TARGET_ROWS, small_rows: int = SMALL_ROWS) -> DataFrame:
+                    target_rows: int = TARGET_ROWS) -> DataFrame:
     """Attach to each row one candidate of its category, drawn in proportion to the weights.
 
     `row_key` names the row for its draw and must be unique. Category keys may be NULL and then
     match NULL. Rows without a usable category are dropped, or kept with NULLs by `keep_open`.
 
-    The candidates are counted first. Up to `small_rows` they are broadcast and the rows are not
-    shuffled at all. Above, both sides are shuffled by category, and categories with many rows are
-    cut along the draw range. In both ways the draw range of categories with many candidates is
-    cut too, so a row is compared with some of the candidates of its category, not with all.
+    Categories with many rows or many candidates are cut along the draw range, so a row is compared
+    with some of the candidates of its category, not with all. The cuts and the intervals are
+    written first: Spark then knows their bytes, and broadcasts what its own limit allows.
     """
     category = list(category)
-    small = candidates.limit(small_rows + 1).count() <= small_rows
-    split = wide_categories(candidates, category)
-    if not small:
-        split = split.unionByName(hot_groups(rows, category, target_rows))
-        split = split.groupBy(*category).agg(F.max(PARTS).alias(PARTS))
-    split = F.broadcast(split)  # at most 2 * MAX_GROUPS rows
+    split = wide_categories(candidates, category).unionByName(hot_groups(rows, category, target_rows))
+    split = materialize(split.groupBy(*category).agg(F.max(PARTS).alias(PARTS)))
 
     drawn = null_safe_join(rows, split, category, "left").withColumn("__draw", draw32(seed, *row_key))
     drawn = drawn.withColumn(PART, part_of(F.col("__draw"), F.col(PARTS))).drop(PARTS)
-    intervals = choice_intervals(candidates, category, code, weight, None if small else target_rows)
+    intervals = choice_intervals(candidates, category, code, weight, target_rows)
     spread = null_safe_join(intervals, split, category, "left").withColumn(
         PART,
         F.explode(F.sequence(part_of(F.col("draw_from"), F.col(PARTS)),
@@ -89,11 +86,10 @@ def weighted_choice(rows: DataFrame, candidates: DataFrame, category: Sequence[s
     ).drop(PARTS)
 
     clash = [c for c in spread.columns if c in set(rows.columns) and c not in category]
-    spread = spread.drop(*clash)
+    spread = materialize(spread.drop(*clash))
     inside = (F.col("__draw") >= F.col("draw_from")) & (F.col("__draw") < F.col("draw_to"))
     return null_safe_join(
-        drawn, F.broadcast(spread) if small else spread, [*category, PART],
-        "left" if keep_open else "inner", inside,
+        drawn, spread, [*category, PART], "left" if keep_open else "inner", inside
     ).drop("__draw", "draw_from", "draw_to", PART)
 
 

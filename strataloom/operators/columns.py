@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.nulls import as_value
+from ..functions.nulls import as_value, strict_sum
 
 
 def relocate(df: DataFrame, *moved: str, before: str | None = None, after: str | None = None) -> DataFrame:
@@ -86,9 +86,9 @@ def pooled_weight(weight: Column, years: int) -> Column:
 def total_row(df: DataFrame, label: str, text="Total", by: Iterable[str] = ()) -> DataFrame:
     """Append one row per group (or one row) with the sums of all numeric columns.
 
-    The label column of the new rows holds `text`; other non-numeric columns are NULL.
+    A sum with a missing part is missing. The label column of the new rows holds `text`; other non-numeric columns are NULL.
     """
     by = list(by)
-    sums = [F.sum(c).alias(c) for c in numeric_columns(df, exclude=by)]
+    sums = [strict_sum(f"`{c}`").alias(c) for c in numeric_columns(df, exclude=by)]
     totals = df.groupBy(*by).agg(*sums).withColumn(label, as_value(text))
     return pool(df, totals, fill=True)

@@ -1,7 +1,7 @@
 """Joins in which a missing key matches a missing key, and joins that keep both copies of a column.
 
-A broadcast hint is given only to a side whose bound is proven or whose rows were counted; Spark
-checks the size of every other side itself, and splits skewed sort-merge partitions at run time.
+A broadcast hint is given only to literal tables; Spark checks the size of every other side itself,
+and splits skewed sort-merge partitions at run time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 _RIGHT = "__right_"
-SMALL_ROWS = 500_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
@@ -29,11 +28,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return out if how in ("left_semi", "left_anti") else out.drop(*[_RIGHT + c for c in on])
 
 
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast when it is counted to hold at most `rows` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all columns the two sides share; NULL keys match each other."""
     on = [c for c in left.columns if c in set(right.columns)]
@@ -77,8 +71,11 @@ def dimension_roles(fact: DataFrame, dimension: DataFrame, key: str,
 
 
 def peers(df: DataFrame, means: DataFrame, on: Sequence[str], label: Column, position: int) -> DataFrame:
-    """Attach the mean row of each row's own cut, with a label and its place among the cuts."""
-    return null_safe_join(df, means, on).withColumns({"breakout": label, "position": F.lit(position)})
+    """Attach the mean row of each row's own cut, with a label and its place among the cuts.
+
+    A row or cut with a missing key has no peers.
+    """
+    return df.join(means, list(on)).withColumns({"breakout": label, "position": F.lit(position)})
 
 
 def require_keys(df: DataFrame, keys: Iterable[str], what: str) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw32
-from .hot import TARGET_ROWS, largest_groups
+from .hot import TARGET_ROWS, parts_of_sizes
 from .joins import require_keys
 from .running import running_totals
 
@@ -33,7 +33,7 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
     flag = F.col(treated).cast("long")
     # One grouped table tells the oversized strata and the numbers of matched rows.
     sizes = rows.groupBy(*strata).agg(F.sum(flag).alias("__t"), F.sum(F.lit(1) - flag).alias("__c"))
-    hot = largest_groups(sizes.withColumn("__rows", F.col("__t") + F.col("__c")), strata, "__rows", target_rows)
+    hot = parts_of_sizes(sizes.withColumn("__rows", F.col("__t") + F.col("__c")), strata, "__rows", target_rows)
     scale = sizes.agg(
         F.sum(F.least(F.col("__c"), F.lit(ratio) * F.col("__t"))) / F.sum(F.least("__t", "__c"))
     ).scalar()
@@ -52,11 +52,17 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
     per_slot = F.floor((F.col("__used") - 1 - F.col("__slot")) / F.col("__t_total")) + 1
     return matched.select(
         *df.columns,
-        F.concat_ws("|", *strata, F.col("__slot").cast("string")).alias("subclass"),
+        subclass_name(strata, F.col("__slot")).alias("subclass"),
         F.when(is_treated, F.lit(1.0)).otherwise(scale / per_slot).alias("weights"),
     )
 
 
+def subclass_name(strata: Sequence[str], slot: Column) -> Column:
+    """Stratum values and slot as one text; each value stands behind its length, so no two strata share a name."""
+    values = [F.col(c).cast("string") for c in strata]
+    return F.concat_ws("|", *[F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in values], slot.cast("string"))
+
+
 def matched_pairs(matched: DataFrame, treated: str, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """One row per matched control (suffix x) with its treated row (suffix y).
 

@@ -16,12 +16,20 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name_to: s
     return df.unpivot(list(ids), list(values), name_to, value_to)
 
 
+COPIES = 10_000  # equal rows that are written out together
+
+
 def nest(df: DataFrame, keys: Sequence[str], items: Sequence[str], target_rows: int = 100_000) -> DataFrame:
     """Group rows into arrays `data` of structs, sorted, with a `part` number.
 
     A group above `target_rows` becomes several parts, so no array grows with the whole group.
+    Equal rows are folded to a count first and every copy gets a draw of its own, so they are cut, too.
     """
-    placed = df.withColumn("__draw", draw32("nest", *items))
+    folded = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("__copies"))
+    blocks = folded.withColumn("__first", F.explode(F.expr(f"sequence(0L, __copies - 1L, {COPIES}L)")))
+    last = F.least(F.col("__first") + F.lit(COPIES - 1), F.col("__copies") - 1)
+    copies = blocks.withColumn("__copy", F.explode(F.sequence("__first", last)))
+    placed = copies.withColumn("__draw", draw32("nest", *items, "__copy"))
     parts = split_hot(placed, keys, "__draw", hot_groups(df, keys, target_rows)).drop(PARTS)
     return parts.groupBy(*keys, F.col(PART).alias("part")).agg(
         F.sort_array(F.collect_list(F.struct(*items))).alias("data")

@@ -19,7 +19,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence
 
     Rows are ordered by a uniform `draw` column and then by `ties`. Groups above `target_rows`
     are cut into equal slices of the draw: each slice is one window partition, and slice totals
-    (bounded, see `hot_groups`) carry the sums across slices. Adds `<name>_before`
+    carry the sums across slices. Adds `<name>_before`
     and `<name>_total` for every entry of `values`. `target_rows=None` is for inputs that are
     known to be small: every group is then one window partition. `hot` gives the oversized groups
     where the caller knows them.
@@ -44,7 +44,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence
     )
 
     local = _within(cut, [*keys, PART], [draw, *ties], list(values))
-    joined = null_safe_join(local, F.broadcast(offsets), [*keys, PART], "left")
+    joined = null_safe_join(local, offsets, [*keys, PART], "left")
     for n in values:
         joined = joined.withColumns({
             f"{n}_before": F.col(f"{n}_before") + F.coalesce(f"__offset_{n}", F.lit(0)),

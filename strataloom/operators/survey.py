@@ -23,27 +23,17 @@ class SurveyDesign:
     weight: str
 
 
-def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, by: Sequence[str] = (),
-                domain: Column | None = None, level: float = 0.95, df_t: str | float = "design",
-                lonely_psu: str = "fail", rse: bool = False) -> DataFrame:
-    """Weighted mean of each measure per cut, as `<name>`, `_se`, `_low`, `_upp` (and `_rse`).
-
-    `measures` maps output names to columns. The domain is a filter that comes after the design is
-    declared: clusters without a domain member still count. `df_t` is "design" (clusters minus
-    strata that hold a domain row with positive weight), "inf" for a normal interval, or a number.
-    `lonely_psu` says what a stratum with one cluster does: "fail", "remove" it, or "adjust" by its
-    distance from the overall mean. A missing measure in a cut makes that cut's figures NULL.
+def survey_totals(df: DataFrame, measures: dict[str, str], design: SurveyDesign, by: Sequence[str] = (),
+                  domain: Column | None = None) -> DataFrame:
+    """Weighted totals per cut and cluster, written once; the rows are read once, with partial aggregation.
 
-    The rows are read once, for totals per cut and cluster, with partial aggregation. These totals
-    are written to the shared folder; means, residuals and variances are taken from them, so no row
-    is joined back to its mean.
+    The means of this cut and of every coarser one are taken from them. The domain is a filter that
+    comes after the design is declared: clusters without a domain member still count. A missing
+    stratum, cluster or weight is an error.
     """
-    if lonely_psu not in ("fail", "remove", "adjust"):
-        raise ValueError(f"unknown lonely_psu: {lonely_psu}")
-    by, names = list(by), list(measures)
     w = F.col(design.weight)
     inside = F.lit(True) if domain is None else F.coalesce(domain, F.lit(False))
-    rows = require_keys(df, [design.strata, design.psu], "survey design").select(
+    rows = require_keys(df, [design.strata, design.psu, design.weight], "survey design").select(
         *by,
         F.col(design.strata).alias("__h"),
         F.col(design.psu).alias("__i"),
@@ -51,13 +41,41 @@ def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, b
         *[F.when(inside, F.col(y)).alias(f"__y_{m}") for m, y in measures.items()],
         inside.alias("__in"),
     )
-
-    totals_per_cluster = materialize(rows.groupBy(*by, "__h", "__i", "__in").agg(
+    return materialize(rows.groupBy(*by, "__h", "__i", "__in").agg(
         F.sum("__w").alias("__w"),
         F.max(F.coalesce(F.col("__w") > 0, F.lit(False))).alias("__active"),
-        *[F.sum(F.col("__w") * F.col(f"__y_{m}")).alias(f"__s_{m}") for m in names],
-        *[F.max(F.col(f"__y_{m}").isNull()).alias(f"__gap_{m}") for m in names],
+        *[F.sum(F.col("__w") * F.col(f"__y_{m}")).alias(f"__s_{m}") for m in measures],
+        *[F.max(F.col(f"__y_{m}").isNull()).alias(f"__gap_{m}") for m in measures],
     ))
+
+
+def survey_mean(df: DataFrame, measures: dict[str, str], design: SurveyDesign, by: Sequence[str] = (),
+                domain: Column | None = None, **options) -> DataFrame:
+    """Weighted mean of each measure per cut, as `<name>`, `_se`, `_low`, `_upp` (and `_rse`).
+
+    `measures` maps output names to columns; the options are those of `means_of_totals`.
+    """
+    return means_of_totals(survey_totals(df, measures, design, by, domain), list(measures), by, **options)
+
+
+def means_of_totals(totals_per_cluster: DataFrame, names: Sequence[str], by: Sequence[str] = (), level: float = 0.95,
+                    df_t: str | float = "design", lonely_psu: str = "fail", rse: bool = False) -> DataFrame:
+    """Means of a cut, from `survey_totals` of the same cut or a finer one.
+
+    `df_t` is "design" (clusters minus strata that hold a domain row with positive weight), "inf"
+    for a normal interval, or a number. `lonely_psu` says what a stratum with one cluster does:
+    "fail", "remove" it, or "adjust" by its distance from the overall mean. A missing measure in a
+    cut makes that cut's figures NULL. Means, residuals and variances are taken from the totals, so
+    no row is joined back to its mean.
+    """
+    if lonely_psu not in ("fail", "remove", "adjust"):
+        raise ValueError(f"unknown lonely_psu: {lonely_psu}")
+    by = list(by)
+    totals_per_cluster = totals_per_cluster.groupBy(*by, "__h", "__i", "__in").agg(
+        F.sum("__w").alias("__w"), F.max("__active").alias("__active"),
+        *[F.sum(f"__s_{m}").alias(f"__s_{m}") for m in names],
+        *[F.max(f"__gap_{m}").alias(f"__gap_{m}") for m in names],
+    )
     cells = totals_per_cluster.where("__in")
     clusters = totals_per_cluster.groupBy("__h", "__i").agg(F.max("__active").cast("int").alias("__active"))
     strata = clusters.groupBy("__h").agg(
@@ -120,7 +138,7 @@ def _multiplier(strata: DataFrame, df_t: str | float, level: float) -> Column:
     if df_t == "inf":
         return F.lit(NormalDist().inv_cdf((1 + level) / 2))
     if df_t != "design":
-        return t_multiplier(F.lit(float(df_t)), level)
+        return t_multiplier(float(df_t), level)
     degrees = strata.agg((F.sum("__active") - F.sum((F.col("__active") > 0).cast("long"))).alias("degrees"))
     return degrees.select(t_multiplier(F.col("degrees"), level)).scalar()
 

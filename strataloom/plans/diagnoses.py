@@ -12,7 +12,7 @@ from ..functions.recode import first_rule, recode
 from ..functions.text import code_prefix, drop_first_punctuation, squish
 from ..operators.choice import fill_settings, weighted_choice
 from ..operators.columns import pool
-from ..operators.joins import broadcast_if_small, natural_join
+from ..operators.joins import natural_join
 from ..session import materialize
 from ..sources import lookups as L
 from ..sources.schemas import CONDITION_FLAGS
@@ -95,10 +95,9 @@ def diagnosis_detail(completed: DataFrame, crosswalk: DataFrame, chronic: DataFr
     names = crosswalk.select("version", "ICD10CM", "ICD10_DSC", *CATEGORY[1:],
                              *[F.col(f"{c}_DSC") for c in CATEGORY[1:]])
     known = completed.where(F.col("ICD10CM").isNotNull()).withColumn("version", recode("year", CROSSWALK_OF_YEAR))
-    # One code may stand for a large share of all conditions, so the lookups are not joined by shuffle.
-    described = natural_join(
-        natural_join(known, broadcast_if_small(names)), broadcast_if_small(chronic), "left"
-    )
+    # One code may stand for a large share of all conditions: Spark broadcasts lookups within its
+    # limit, and else splits the skewed side.
+    described = natural_join(natural_join(known, names), chronic, "left")
     texts = [F.coalesce(f"{c}_DSC", F.lit("")) for c in CATEGORY[1:]]
     return described.select(
         F.concat(F.col("DUPERSID"), F.col("year").cast("string")).alias("DUPERSID"),

@@ -12,7 +12,7 @@ from ..functions.nulls import distinct_count, drop_sentinel, if_known, strict_su
 from ..functions.recode import recode, whole_band
 from ..functions.text import whole_text
 from ..operators.columns import harmonize_year, pool, pooled_weight, tag_year
-from ..operators.survey import SurveyDesign, cell_sizes, survey_mean
+from ..operators.survey import SurveyDesign, cell_sizes, means_of_totals, survey_totals
 from ..sources import lookups as L
 from ..sources.schemas import FILL_COLUMNS, PERSON_DRUG_COLUMNS
 
@@ -45,8 +45,19 @@ def cut_sizes(people: DataFrame, cut: str) -> DataFrame:
 
 def drug_means(people: DataFrame, cut: str, **options) -> DataFrame:
     """Mean use, out-of-pocket and total spending of adults, with confidence limits."""
+    return _cut_means(survey_totals(people, MEASURES, DESIGN, CUTS[cut], F.col("AGEYYX") >= 18), cut, **options)
+
+
+def all_drug_means(people: DataFrame, **options) -> dict[str, DataFrame]:
+    """`drug_means` of every cut, from one reading of the people."""
+    finest = list(dict.fromkeys(c for cut in CUTS.values() for c in cut))
+    totals = survey_totals(people, MEASURES, DESIGN, finest, F.col("AGEYYX") >= 18)
+    return {cut: _cut_means(totals, cut, **options) for cut in CUTS}
+
+
+def _cut_means(totals: DataFrame, cut: str, **options) -> DataFrame:
     with_errors = cut == "age_race"
-    means = survey_mean(people, MEASURES, DESIGN, CUTS[cut], F.col("AGEYYX") >= 18, rse=with_errors, **options)
+    means = means_of_totals(totals, list(MEASURES), CUTS[cut], rse=with_errors, **options)
     return means if with_errors else means.drop(*[f"{m}_se" for m in MEASURES])
 
 

@@ -57,7 +57,7 @@ def conform_people(patients: DataFrame, regions: DataFrame) -> DataFrame:
 
     `regions` is the literal table of 51 states.
     """
-    placed = patients.join(F.broadcast(regions), F.col("STATE") == F.col("state_name"), "left")
+    placed = patients.join(regions, F.col("STATE") == F.col("state_name"), "left")
     ranked = percent_rank(placed, "INCOME", "INCOME_PCT")
     aged = ranked.withColumn(
         "AGELAST", top_code(years_between("BIRTHDATE", F.lit(YEAR_END)), float(TOP_AGE))
@@ -237,18 +237,20 @@ def person_table(files: DataFrame, pairs: DataFrame, respondents: DataFrame, pat
 
 
 def build_persons(files: Mapping[int, DataFrame], patients: DataFrame, transitions: DataFrame, payers: DataFrame,
-                  regions: DataFrame, attributes: DataFrame, seed: int | str) -> DataFrame:
+                  regions: DataFrame, attributes: DataFrame, seed: int | str) -> tuple[DataFrame, DataFrame]:
     """The whole job, from survey files, synthetic people and image attributes to the person table.
 
-    Tables that several steps use are written once in between.
+    Returns the persons and, beside them, the synthetic people that the match refused for a missing
+    key. Tables that several steps use are written once in between.
     """
     payers_now = payer_on(transitions, payers)
     respondents = materialize(respondent_input(respondent_pool(files), seed))
-    synthetic = people_input(conform_people(patients, region_table(regions)), payers_now)
+    synthetic = materialize(people_input(conform_people(patients, region_table(regions)), payers_now))
     matched = materialize(match_people(matchable(synthetic), respondents, seed))
     pairs = materialize(matchup(matched))
     images = materialize(usable_images(attributes, actual_ages(matched)))
-    return person_table(match_images(pairs, images, seed), pairs, respondents, patients, payers_now)
+    table = person_table(match_images(pairs, images, seed), pairs, respondents, patients, payers_now)
+    return table, refused(synthetic)
 
 
 def matchable(df: DataFrame) -> DataFrame:
@@ -256,6 +258,12 @@ def matchable(df: DataFrame) -> DataFrame:
     return df.dropna(subset=PEOPLE_KEYS)
 
 
+def refused(df: DataFrame) -> DataFrame:
+    """The rows that lack a match key, with the names of the missing keys."""
+    gaps = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in PEOPLE_KEYS]))
+    return df.withColumn("missing", F.array_join(gaps, ",")).where("missing <> ''")
+
+
 def unmatchable(df: DataFrame) -> DataFrame:
     """How many rows lack each match key."""
     return df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in PEOPLE_KEYS])

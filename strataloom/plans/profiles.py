@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import counted, dollars, possessive, pronouns, wrap
 from ..operators.aggregates import count_or_zero
-from ..operators.columns import pool, relocate, total_row
-from ..operators.joins import peers
+from ..operators.columns import relocate, total_row
 from ..operators.sampling import sample_ids
+from ..session import materialize
 
+# Texts of the sections that the output must carry.
 IMAGE_FOLDER = "./etc/faces/"
 EVERYBODY = "...all US residents age 18 and up"
 SCORE_TITLE = "Elixhauser Risk Score (total sum of comorbidity contributions)"
@@ -41,13 +42,13 @@ def sampled_people(persons: DataFrame, n: int, seed: int | str) -> DataFrame:
     return sample_ids(persons, n, "Synthea_ID", "Synthea_ID", seed).join(persons, "Synthea_ID")
 
 
-def header(persons: DataFrame) -> DataFrame:
+def header(persons: DataFrame, image_folder: str = IMAGE_FOLDER) -> DataFrame:
     objective, owning = pronouns("GENDER")
     return persons.select(
         "Synthea_ID", "MEPS_ID",
         F.concat_ws(" ", "PREFIX", "FIRST", "LAST").alias("name"),
         possessive("FIRST").alias("possessive_name"), objective.alias("obj_pronoun"), owning.alias("pos_pronoun"),
-        F.concat(F.lit(IMAGE_FOLDER), F.col("filename")).alias("image"),
+        F.concat(F.lit(image_folder), F.col("filename")).alias("image"),
         F.floor("AGELAST").cast("int").alias("age"), "GENDER", "RACETHX", "BIRTHDATE", "MARITAL_STATUS",
         F.concat_ws(", ", "CITY", "STATE").alias("location"),
         F.concat(F.col("PRIMARY_PAYER"), F.lit(" ("), F.col("PRIMARY_PAYER_ORG"), F.lit(")")).alias("health_plan"),
@@ -117,20 +118,28 @@ def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: d
                  ") and race/ethnicity group (", F.col("RACETHX_DSC"), ") as ", F.col("FIRST"))
     gender = label("...all US residents who are the same gender (", F.col("SEX_DSC"), ") and general age (",
                    F.col("AGE_GRP_9"), ") as ", F.col("FIRST"))
-    overall = means["all"].select(F.struct(*figures)).scalar()
-    cuts = [
-        peers(keyed, means["age_race"].select("AGE_GRP_9", "RACETHX_DSC", *figures),
-              ["AGE_GRP_9", "RACETHX_DSC"], race, 1),
-        peers(keyed, means["age_gender"].select("AGE_GRP_9", "SEX_DSC", *figures),
-              ["AGE_GRP_9", "SEX_DSC"], gender, 2),
-        keyed.withColumns({"breakout": F.lit(EVERYBODY), "position": F.lit(3), "overall": overall}).select(
-            "*", *[F.col(f"overall.{f}") for f in figures]
-        ),
-    ]
+    def found(cut: str, keys: dict[str, str]) -> Column:
+        """The means of each person's own cut. A table of cuts has a row per pair of categories, so it fits one value."""
+        known = means[cut].dropna(subset=list(keys))
+        entry = F.struct(F.struct(*[F.col(k).alias(k) for k in keys]), F.struct(*figures))
+        table = known.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+        return F.when(~F.greatest(*[F.col(c).isNull() for c in keys.values()]),
+                      F.element_at(table, F.struct(*[F.col(c).alias(k) for k, c in keys.items()])))
+
+    # The own value comes first; the three cuts are attached to each row in one projection.
     values = _of(persons, own.select(F.col("ID").alias("MEPS_ID"), F.col(own_value).alias("own_value")), "MEPS_ID")
-    return pool(*[c.select("Synthea_ID", "MEPS_ID", "position", "breakout", *figures) for c in cuts]).join(
-        values, "MEPS_ID", "left"
-    )
+    looked_up = keyed.join(values, "MEPS_ID", "left").withColumns({
+        "__race": found("age_race", {"AGE_GRP_9": "AGE_GRP_9", "RACETHX_DSC": "RACETHX_DSC"}),
+        "__gender": found("age_gender", {"AGE_GRP_9": "AGE_GRP_9", "SEX_DSC": "SEX_DSC"}),
+        "__all": means["all"].select(F.struct(*figures)).scalar(),
+    })
+    lines = F.array(*[
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(place).alias("position"), text.alias("breakout"),
+                                              *[F.col(f"{c}.{f}").alias(f) for f in figures]))
+        for place, c, text in ((1, "__race", race), (2, "__gender", gender), (3, "__all", F.lit(EVERYBODY)))
+    ])
+    return looked_up.select("Synthea_ID", "MEPS_ID", "own_value", F.inline(F.array_compact(lines))).select(
+        "MEPS_ID", "Synthea_ID", "position", "breakout", *figures, "own_value")
 
 
 def comorbidity_rows(persons: DataFrame, detail: DataFrame) -> DataFrame:
@@ -157,7 +166,7 @@ def comorbidity_sentence(persons: DataFrame, detail: DataFrame) -> DataFrame:
 def profiles(persons: DataFrame, dx: DataFrame, drugs: DataFrame, use: DataFrame, means: dict[str, DataFrame],
              comorbidities: DataFrame, n: int, seed: int | str) -> dict[str, DataFrame]:
     """All sections for up to n sampled people. Sections without rows are simply empty for a person."""
-    chosen = sampled_people(persons, n, seed)
+    chosen = materialize(sampled_people(persons, n, seed))
     return {
         "people": chosen.select("n", "Synthea_ID", "MEPS_ID"),
         "header": header(chosen),

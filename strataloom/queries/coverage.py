@@ -63,10 +63,10 @@ FROM r JOIN c ON r.p_type = c.p_type AND r.brand IS NOT DISTINCT FROM c.brand
 WHERE u * tot >= (hi - p_size) * 4294967296 AND u * tot < hi * 4294967296
 """)
 def weighted_choice_large(t):
-    """The way taken when the candidates are too many to broadcast and categories are hot."""
+    """The same choice with categories cut into many parts, as for categories of very many rows."""
     return choice.weighted_choice(
         event_rows(t), part_codes(t), ["p_type", "brand"], "p_partkey", "p_size", ["event_id"], 42,
-        target_rows=40, small_rows=0,
+        target_rows=40,
     ).select("event_id", "p_type", "brand", "p_partkey")
 
 
@@ -101,7 +101,10 @@ def keyed_draws(t):
 
 # ---- columns and rows --------------------------------------------------------------------------
 
-YEARS = tuple(range(1995, 2002))
+def years_of(t):
+    """All years of the orders."""
+    first, last = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    return range(first, last + 1)
 
 
 def yearly_orders(t, year):
@@ -119,17 +122,17 @@ def yearly_orders(t, year):
 @query("""
 SELECT o_orderkey || CAST(year(o_orderdate) AS VARCHAR) AS "ID", o_custkey AS "DOBYY", o_totalprice AS "TOTEXPYY",
        o_orderpriority AS "MARRYYYX", CAST(year(o_orderdate) AS INTEGER) AS "YEAR",
-       round(o_totalprice / 7.0::DOUBLE, 6) AS "POOLWT"
+       round(o_totalprice / (SELECT max(year(o_orderdate)) - min(year(o_orderdate)) + 1.0::DOUBLE FROM orders), 6) AS "POOLWT"
 FROM orders WHERE o_totalprice >= 5000 AND o_totalprice > 0
 """)
 def harmonize_pool(t):
     names = ["DUPERSID", "DOBYY", "TOTEXPYY", "MARRYYYX", "PERWTYYF"]
     files = [
         columns.tag_year(columns.harmonize_year(yearly_orders(t, y), y, names), y, "DUPERSID", "ID", "YEAR")
-        for y in YEARS
+        for y in years_of(t)
     ]
     pooled = columns.pool(*files).where("TOTEXPYY >= 5000").where("PERWTYYF > 0")
-    weight = columns.pooled_weight(F.col("PERWTYYF"), len(YEARS))
+    weight = columns.pooled_weight(F.col("PERWTYYF"), len(files))
     return pooled.select("ID", "DOBYY", "TOTEXPYY", "MARRYYYX", "YEAR", F.round(weight, 6).alias("POOLWT"))
 
 
@@ -210,17 +213,15 @@ def natural_nullsafe_join(t):
 
 
 @query("""
-WITH c AS (SELECT c_custkey, nullif(c_nationkey, 3) AS nation FROM customer),
-     s AS (SELECT s_suppkey, nullif(s_nationkey, 3) AS nation, s_name FROM supplier WHERE s_acctbal > 9000)
-SELECT c.c_custkey, c.nation, s.s_suppkey, s.s_name FROM c LEFT JOIN s ON c.nation IS NOT DISTINCT FROM s.nation
+WITH c AS (SELECT c_custkey, nullif(c_custkey // 20, 3) AS grp FROM customer),
+     s AS (SELECT s_suppkey, nullif(s_suppkey // 3, 3) AS grp, s_name FROM supplier)
+SELECT c.c_custkey, c.grp, s.s_suppkey, s.s_name FROM c LEFT JOIN s ON c.grp IS NOT DISTINCT FROM s.grp
 """)
 def natural_left_join(t):
     """Left join many to many, where a missing key matches a missing key."""
-    people = t.customer.select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation"))
-    rich = t.supplier.where("s_acctbal > 9000").select(
-        "s_suppkey", F.nullif("s_nationkey", F.lit(3)).alias("nation"), "s_name"
-    )
-    return joins.natural_join(people, rich, "left")
+    people = t.customer.select("c_custkey", F.expr("nullif(c_custkey div 20, 3L)").alias("grp"))
+    sellers = t.supplier.select("s_suppkey", F.expr("nullif(s_suppkey div 3, 3L)").alias("grp"), "s_name")
+    return joins.natural_join(people, sellers, "left")
 
 
 @query("""
@@ -375,15 +376,18 @@ def relative_freq(t):
 
 @query("""
 WITH p AS (SELECT o_custkey AS "ID", o_orderpriority AS label, count(*) AS n,
-                  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+                  CASE WHEN min(o_totalprice) > 20000 THEN CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) END AS cents,
                   CAST(year(min(o_orderdate)) AS VARCHAR) AS since
            FROM orders GROUP BY 1, 2)
 SELECT * FROM p
-UNION ALL SELECT "ID", 'Total', CAST(sum(n) AS BIGINT), CAST(sum(cents) AS BIGINT), NULL FROM p GROUP BY 1
+UNION ALL SELECT "ID", 'Total', CAST(sum(n) AS BIGINT),
+  CASE WHEN count(cents) = count(*) THEN CAST(sum(cents) AS BIGINT) END, NULL FROM p GROUP BY 1
 """)
 def total_row(t):
+    """A total with a missing part is missing."""
     rows = t.orders.groupBy(F.col("o_custkey").alias("ID"), F.col("o_orderpriority").alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
+        F.count(F.lit(1)).alias("n"),
+        F.when(F.min("o_totalprice") > 20000, F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))).alias("cents"),
         F.year(F.min("o_orderdate")).cast("string").alias("since"),
     )
     return columns.total_row(rows, "label", by=["ID"])
@@ -554,7 +558,7 @@ MATCH_SQL = f"""
       FROM (SELECT *, CASE WHEN c_mktsegment = '{SEGMENT}' THEN 1 ELSE 0 END AS treated,
                    {draw_sql(7, 'c_custkey')} AS u FROM customer)),
     paired AS (
-      SELECT *, c_nationkey || '|' || CAST(CASE WHEN treated = 1 THEN rk ELSE rk % nt END AS BIGINT) AS subclass
+      SELECT *, length(CAST(c_nationkey AS VARCHAR)) || ':' || c_nationkey || '|' || CAST(CASE WHEN treated = 1 THEN rk ELSE rk % nt END AS BIGINT) AS subclass
       FROM ranked WHERE nt > 0 AND ((treated = 1 AND rk < nc) OR (treated = 0 AND rk < 3 * nt))),
     sized AS (SELECT *, sum(1 - treated) OVER (PARTITION BY subclass) AS k FROM paired),
     matched AS (
@@ -847,7 +851,7 @@ def quoted_scan(t):
                                    F.lit("','"), kind, F.lit("'")).alias("value"))
     path = new_path(t)
     head.coalesce(1).unionByName(lines).write.text(path)
-    return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, preamble=2)
+    return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, ["Code table", "Version 1"])
 
 
 @query("""
@@ -860,7 +864,7 @@ def partitioned_source(t):
     writers.write_table(rows, path, partition_by=["kind", "year"])
     return columns.pool(*[
         readers.read_partition(t.spark, path, "o_orderkey long", kind="O", year=y).withColumn("year", F.lit(y))
-        for y in YEARS
+        for y in years_of(t)
     ])
 
 

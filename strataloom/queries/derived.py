@@ -88,7 +88,14 @@ def transitions(t: Tables) -> DataFrame:
 
 # ---- survey files, one per year of orders ------------------------------------------------------
 
-ORDER_YEARS = tuple(range(2015, 2022))  # data year: order year plus twenty
+
+def order_years(t: Tables) -> range:
+    """Data years, the year of an order or shipment plus twenty: all from the first to the last."""
+    orders = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    ships = t.lineitem.agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    return range(min(orders[0], ships[0]) + 20, max(orders[1], ships[1]) + 21)
+
+
 ORDER_YEAR = "CAST(year(o_orderdate) AS INT) + 20"
 AGE = "CAST(floor(o_totalprice / 5500) AS INT)"
 RESPONDENT = {
@@ -113,10 +120,10 @@ RESPONDENT = {
 }
 
 
-def _files(source: DataFrame, day: str, wanted: list[str], exprs: dict[str, str]) -> dict[int, DataFrame]:
+def _files(years: range, source: DataFrame, day: str, wanted: list[str], exprs: dict[str, str]) -> dict[int, DataFrame]:
     """One frame per year with the digits of the year in its column names."""
     files = {}
-    for year in ORDER_YEARS:
+    for year in years:
         digits = f"{year % 100:02d}"
         names = {c: c if c == "DOBYY" else "MARRY" + digits + "X" if c == "MARRYYYX" else c.replace("YY", digits, 1)
                  for c in wanted}
@@ -126,12 +133,16 @@ def _files(source: DataFrame, day: str, wanted: list[str], exprs: dict[str, str]
     return files
 
 
+YEAR_COUNT_SQL = """(SELECT 1.0::DOUBLE + max(y) - min(y) FROM (
+    SELECT year(o_orderdate) AS y FROM orders UNION ALL SELECT year(l_shipdate) FROM lineitem))"""
+
+
 def person_files(t: Tables) -> dict[int, DataFrame]:
-    return _files(t.orders, "o_orderdate", PERSON_COLUMNS, RESPONDENT)
+    return _files(order_years(t), t.orders, "o_orderdate", PERSON_COLUMNS, RESPONDENT)
 
 
 def drug_person_files(t: Tables) -> dict[int, DataFrame]:
-    return _files(t.orders, "o_orderdate", PERSON_DRUG_COLUMNS, RESPONDENT)
+    return _files(order_years(t), t.orders, "o_orderdate", PERSON_DRUG_COLUMNS, RESPONDENT)
 
 
 RESPONDENTS_SQL = select_sql("orders", {**RESPONDENT, "YEAR": ORDER_YEAR})
@@ -161,7 +172,7 @@ FILL = {
 
 
 def fill_files(t: Tables) -> dict[int, DataFrame]:
-    return _files(t.lineitem, "l_shipdate", FILL_COLUMNS, FILL)
+    return _files(order_years(t), t.lineitem, "l_shipdate", FILL_COLUMNS, FILL)
 
 
 FILLS_SQL = select_sql("lineitem", {**FILL, "YEAR": "CAST(year(l_shipdate) AS INT) + 20"})
@@ -190,8 +201,9 @@ def images(t: Tables) -> DataFrame:
 
 # ---- conditions and codes ----------------------------------------------------------------------
 
-CONDITION_YEARS = {2019: ("2023-01-01", "2024-01-11"), 2020: ("2024-01-11", "2024-01-21"),
-                   2021: ("2024-01-21", "2025-01-01")}
+CONDITION_YEARS = {2019: "ts < TIMESTAMP '2024-01-11'",
+                   2020: "ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'",
+                   2021: "ts >= TIMESTAMP '2024-01-21'"}
 CONDITION_YEAR = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 2019 WHEN ts < TIMESTAMP '2024-01-21' THEN 2020 ELSE 2021 END"
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 CONDITION = {
@@ -213,9 +225,9 @@ FLAG = {"ER": "CASE WHEN value < 5 THEN 1 WHEN value > 60 THEN NULL ELSE {no} EN
 
 def condition_files(t: Tables) -> dict[int, DataFrame]:
     files = {}
-    for year, (start, end) in CONDITION_YEARS.items():
+    for year, days in CONDITION_YEARS.items():
         tail, no = ("COND", 2) if year == 2021 else ("NUM", 0)
-        rows = t.events.where(f"ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '{end}'")
+        rows = t.events.where(days)
         files[year] = select(rows, {**CONDITION, **{f"{k}{tail}": e.format(no=no) for k, e in FLAG.items()}})
     return files
 

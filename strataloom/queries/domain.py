@@ -154,7 +154,7 @@ def representativeness(t):
 
 
 _KEYS = ", ".join(f'"{k}"' for k in people.PEOPLE_KEYS)
-_KEY_TEXT = " || '|' || ".join(f'"{k}"' for k in people.PEOPLE_KEYS)
+_KEY_TEXT = " || '|' || ".join(f"""length(CAST("{k}" AS VARCHAR)) || ':' || "{k}\"""" for k in people.PEOPLE_KEYS)
 MATCHUP_SQL = f"""
     b AS (SELECT * FROM ({PEOPLE_INPUT_SQL}) WHERE "REGIONYY" IS NOT NULL AND "INSURCYY" IS NOT NULL
           UNION ALL SELECT * FROM ({RESPONDENT_INPUT_SQL})),
@@ -384,7 +384,7 @@ def comorbidity_detail(t):
 
 PERSON_DRUGS_SQL = f"""
     SELECT "DUPERSID" || CAST("YEAR" AS VARCHAR) AS "ID", "DUPERSID", "RXTOTYY", "RXEXPYY", "RXSLFYY", "PSU9621", "STRA9621",
-           "PERWTYYF" / 7 AS "POOLWTYY", "RACETHX", "AGEYYX", "SEX", "YEAR" AS "MEPS_DATA_YEAR",
+           "PERWTYYF" / {D.YEAR_COUNT_SQL} AS "POOLWTYY", "RACETHX", "AGEYYX", "SEX", "YEAR" AS "MEPS_DATA_YEAR",
            {BANDS_SQL.format(x='"AGEYYX"')} AS "AGE_GRP_9",
            CASE "RACETHX" WHEN 1 THEN 'Hispanic' WHEN 2 THEN 'Non-Hispanic White Only' WHEN 3 THEN 'Non-Hispanic Black Only'
                 WHEN 4 THEN 'Non-Hispanic Asian Only' WHEN 5 THEN 'Non-Hispanic Other Race Or Multiple Race'
@@ -561,7 +561,10 @@ def profile_conditions_text(t):
 WITH d AS (SELECT "ID", "RXNAME", yrs_on_rx, count_unique, cost_oop, cost_plan, cost_tot FROM ({DRUG_DETAIL_SQL})
            WHERE "ID" IN (SELECT "MEPS_ID" FROM ({PERSONS_SQL}))),
 u AS (SELECT * FROM d UNION ALL
-      SELECT "ID", 'Total', NULL, CAST(sum(count_unique) AS BIGINT), sum(cost_oop), sum(cost_plan), sum(cost_tot)
+      SELECT "ID", 'Total', NULL, CAST(sum(count_unique) AS BIGINT),
+             CASE WHEN count(cost_oop) = count(*) THEN sum(cost_oop) END,
+             CASE WHEN count(cost_plan) = count(*) THEN sum(cost_plan) END,
+             CASE WHEN count(cost_tot) = count(*) THEN sum(cost_tot) END
       FROM d GROUP BY 1)
 SELECT "ID" AS "MEPS_ID", "RXNAME" AS "Drug Name", yrs_on_rx AS "Length of time taking the drug",
        count_unique AS "Number of purchases in 2021", '$' || format('{{:,.2f}}', cost_oop) AS "Out-of-pocket cost",
@@ -599,7 +602,7 @@ def _peers_sql(measure: str, own: str) -> str:
 
 def _peer_query(t, measure, own):
     use = materialize(drug_people(t))
-    means = {cut: _round_means(drugs.drug_means(use, cut), cut) for cut in drugs.CUTS}
+    means = {cut: _round_means(table, cut) for cut, table in drugs.all_drug_means(use).items()}
     table = profiles.peer_comparison(persons(t), use, own, means, measure)
     return table.withColumn("breakout", F.translate("breakout", "\n", " "))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,23 +28,36 @@ def local_session(cpus: int | str = 8, app: str = "strataloom", memory: str = "8
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate tables: `spark.checkpoint.dir` of the session.
 
-    Only a local session that sets none gets a fresh folder on this machine.
+    Only a session on one machine that sets none gets a fresh folder there, which ends with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="strataloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/strataloom-{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once as a table in the shared folder and read it back.
 
     For a result that several later steps use: the work before it is done once, survives the loss
-    of executors, and later steps prune its columns and know its size.
+    of executors, and later steps prune its columns and know its size. `release` removes the tables.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/strataloom-{uuid.uuid4().hex}"
+    path = f"{own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all tables that this application has written in between; results built on them end with them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,38 +17,37 @@ def _schema(schema: str | StructType) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """CSV with a header. Columns are found by their header name; "NA" and blanks are missing."""
+def read_csv(spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Columns are found by their header name; "NA" and blanks are missing.
+
+    All files of a folder must have the same header: one with other columns, or in another order,
+    is an error. `multi_line` is for values with line breaks in quotes; such files are not split.
+    """
     wanted = _schema(schema)
-    header = spark.read.option("header", True).csv(path).columns
-    text = StructType.fromDDL(", ".join(f"`{c}` string" for c in header))
-    raw = spark.read.schema(text).option("header", True).option("nullValue", "NA").csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    text = StructType.fromDDL(", ".join(f"`{c}` string" for c in reader.csv(path).columns))
+    raw = reader.schema(text).option("nullValue", "NA").option("enforceSchema", False).csv(path)
     return raw.select(*[
         F.nullif(F.trim(F.col(f"`{f.name}`")), F.lit("")).try_cast(f.dataType).alias(f.name) for f in wanted.fields
     ])
 
 
 def read_quoted_csv(spark: SparkSession, path: str, names: Mapping[str, str], all_columns: list[str],
-                    preamble: int = 0) -> DataFrame:
-    """CSV whose values and headers stand in single quotes, below `preamble` title lines.
+                    titles: Sequence[str] = ()) -> DataFrame:
+    """CSV whose values and headers stand in single quotes, below title lines.
 
     `all_columns` are the columns of the file in order and `names` the wanted ones with their new
-    names. Title lines and the header are told from data by their content, so the file can be
-    split: the header repeats the column names, title lines leave the other columns empty.
+    names. The header is the line that repeats all column names, and a title line is one of
+    `titles` alone in its line; every other line is data, so the file can be split.
     """
     schema = StructType.fromDDL(", ".join(f"`{c}` string" for c in all_columns))
     clean = spark.read.schema(schema).csv(path).select(
         *[strip_quotes(F.col(f"`{c}`")).alias(c) for c in all_columns]
     )
-    first = F.col(f"`{all_columns[0]}`")
-    rows = clean.where(first.isNotNull() & (first != all_columns[0]))
-    if preamble:
-        rest = [F.col(f"`{c}`").isNotNull() for c in all_columns[1:]]
-        filled = rest[0]
-        for r in rest[1:]:
-            filled = filled | r
-        rows = rows.where(filled)
-    return rows.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    header = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in all_columns])
+    alone = [F.col(f"`{c}`").isNull() for c in all_columns[1:]]
+    title = reduce(and_, alone, F.coalesce(F.col(f"`{all_columns[0]}`").isin(*titles), F.lit(False)))
+    return clean.where(~header & ~title).select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
 
 
 def read_partition(spark: SparkSession, base: str, schema: str | StructType | None = None, **parts) -> DataFrame:

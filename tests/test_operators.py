@@ -51,7 +51,7 @@ def test_total_row(spark):
     df = spark.createDataFrame([("p", "a", 1, 2.0), ("p", "b", 3, None), ("q", "a", 5, 1.0)],
                                "id string, drug string, n int, cost double")
     got = {(r.id, r.drug): (r.n, r.cost) for r in columns.total_row(df, "drug", by=["id"]).collect()}
-    assert got[("p", "Total")] == (4, 2.0) and got[("q", "Total")] == (5, 1.0) and len(got) == 5
+    assert got[("p", "Total")] == (4, None) and got[("q", "Total")] == (5, 1.0) and len(got) == 5
     assert columns.total_row(df.drop("id"), "drug").where("drug = 'Total'").first().n == 9
 
 
@@ -116,6 +116,31 @@ def test_hot_groups_lists_the_largest(skewed):
     assert got == {"hot": 10, "warm": 3}
 
 
+def test_every_hot_group_is_cut(spark):
+    many = spark.range(30_000).select((F.col("id") % 5000).alias("g"), "id")
+    assert hot.hot_groups(many, ["g"], 5).count() == 5000
+
+
+def test_strata_with_the_separator_in_a_key_stay_apart(spark):
+    rows = [("a|b", "c", 1, "t1"), ("a|b", "c", 0, "c1"), ("a", "b|c", 1, "t2"), ("a", "b|c", 0, "c2")]
+    df = spark.createDataFrame(rows, "x string, y string, treated int, id string")
+    pairs = matching.matched_pairs(matching.stratum_match(df, ["x", "y"], "treated", "id"), "treated").collect()
+    assert {(r.id_x, r.id_y) for r in pairs} == {("c1", "t1"), ("c2", "t2")}
+
+
+def test_weights_must_be_whole(spark):
+    rows = spark.createDataFrame([(1, "k")], "id int, k string")
+    bad = spark.createDataFrame([("k", "A", 0.9), ("k", "B", 1.2)], "k string, code string, w double")
+    with pytest.raises(Exception, match="not a whole number"):
+        choice.weighted_choice(rows, bad, ["k"], "code", "w", ["id"], 1).collect()
+
+
+def test_rows_with_a_missing_key_have_no_peers(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, g string")
+    means = spark.createDataFrame([("a", 1.0), (None, 2.0)], "g string, m double")
+    assert [r.id for r in joins.peers(df, means, ["g"], F.lit("x"), 1).collect()] == [1]
+
+
 def test_running_totals_agree_with_a_plain_window(spark, skewed):
     from strataloom.functions.draws import draw32
 
@@ -144,7 +169,7 @@ def codes_and_rows(spark):
     return rows, cands
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0}, {"small_rows": 0, "target_rows": 100}])
+@pytest.mark.parametrize("options", [{}, {"target_rows": 100}])
 def test_choice_picks_one_code_per_row(codes_and_rows, options):
     rows, cands = codes_and_rows
     got = choice.weighted_choice(rows, cands, ["cat", "sub"], "code", "n", ["id"], 5, **options).collect()
@@ -158,7 +183,7 @@ def test_choice_is_the_same_in_every_way(codes_and_rows):
     rows, cands = codes_and_rows
     runs = [{(r.id, r.code) for r in choice.weighted_choice(rows, cands, ["cat", "sub"], "code", "n", ["id"], 5,
                                                              **o).collect()}
-            for o in ({}, {"small_rows": 0}, {"small_rows": 0, "target_rows": 50})]
+            for o in ({}, {"target_rows": 50}, {"target_rows": 7})]
     assert runs[0] == runs[1] == runs[2]
 
 
@@ -299,8 +324,9 @@ def test_percent_rank_with_ties_and_missing(spark):
     df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
     known = [v for v in values if v is not None]
     want = {i: None if v is None else sum(k < v for k in known) / (len(known) - 1) for i, v in enumerate(values)}
-    for buckets in (2, 3, 256):
-        got = {r.i: r.p for r in ranks.percent_rank(df, "v", "p", buckets).collect()}
+    for parts in ("1", "3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = {r.i: r.p for r in ranks.percent_rank(df, "v", "p").collect()}
         assert got == want
     assert ranks.percent_rank(df.where("i = 0"), "v", "p").first().p == 0.0
     assert ranks.percent_rank(df.where("v IS NULL"), "v", "p").collect()[0].p is None
@@ -308,14 +334,14 @@ def test_percent_rank_with_ties_and_missing(spark):
 
 def test_percent_rank_of_a_table_dominated_by_one_value(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 50).alias("v"))
-    got = ranks.percent_rank(df, "v", "p", 8)
+    got = ranks.percent_rank(df, "v", "p")
     values = sorted(r.v for r in df.collect())
     first = {}
     for i, v in enumerate(values):
         first.setdefault(v, i)
     assert all(r.p == first[r.v] / 2999 for r in got.collect())
     # The only single-partition step is over range totals, never over rows or values.
-    plan = plan_of(ranks.value_ranks(df, "v", 8))
+    plan = plan_of(ranks.value_ranks(df, "v"))
     assert plan.count("SinglePartition") == 1
 
 
@@ -396,3 +422,15 @@ def test_samples(spark):
     ids = sampling.sample_ids(df, 50, "id", "who", 3).orderBy("n").collect()
     assert len(ids) <= 40 and [r.n for r in ids] == list(range(1, len(ids) + 1))
     assert "TakeOrderedAndProject" in plan_of(sampling.sample_rows(df, 50, "id", 3))
+
+
+def test_equal_rows_are_nested_in_bounded_parts(spark):
+    df = spark.range(1000).select(F.lit(1).alias("g"), F.lit("same").alias("v"))
+    sizes = [len(r["data"]) for r in reshape.nest(df, ["g"], ["v"], target_rows=10).collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 40
+
+
+def test_ranks_of_large_whole_numbers(spark):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 2,)], "v long")
+    got = {r.v - 2**53: r.p for r in ranks.percent_rank(df, "v", "p").collect()}
+    assert got == {0: 0.0, 1: 0.5, 2: 1.0}

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import plan_of
 
 from strataloom.sources import lookups as L
@@ -32,10 +33,11 @@ def test_quoted_csv(spark, tmp_path):
 def test_preamble_is_skipped(spark, tmp_path):
     path = tmp_path / "chronic.csv"
     path.write_text("Chronic Condition Indicator,,\nVersion 2021,,\n'ICD-10-CM CODE','TEXT','CHRONIC INDICATOR'\n"
-                    "'E119','Diabetes','C'\n'J00','Cold','A'\n")
+                    "'E119','Diabetes','C'\n'J00','Cold','A'\n,'no code','B'\n'Z99',,\n")
     names = ["ICD-10-CM CODE", "TEXT", "CHRONIC INDICATOR"]
-    got = readers.read_quoted_csv(spark, str(path), {names[0]: "code", names[2]: "ind"}, names, preamble=2)
-    assert sorted(tuple(r) for r in got.collect()) == [("E119", "C"), ("J00", "A")]
+    got = readers.read_quoted_csv(spark, str(path), {names[0]: "code", names[2]: "ind"}, names,
+                                  ["Chronic Condition Indicator", "Version 2021"])
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [("E119", "C"), ("J00", "A"), ("Z99", None), (None, "B")]
 
 
 def test_partitioned_source_prunes(spark, tmp_path):
@@ -80,3 +82,27 @@ def test_schemas_follow_the_year():
     for name in ("MARRY20X int", "PERWT20F double", "DOBYY int", "FAMID20 string", "REGION20 int"):
         assert name in text
     assert "`ERNUM` int" in schemas.conditions(2019) and "`ERCOND` int" in schemas.conditions(2021)
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception):
+        readers.read_csv(spark, str(tmp_path), "x int, y int").collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"a\nb"\n')
+    got = readers.read_csv(spark, str(tmp_path), "x int, y string", multi_line=True).collect()
+    assert [tuple(r) for r in got] == [(1, "a\nb")]
+
+
+def test_written_tables_are_released(spark):
+    import os
+
+    from strataloom.session import materialize, own_folder, release
+
+    materialize(spark.range(3))
+    assert os.listdir(own_folder(spark))
+    release(spark)
+    assert not os.path.exists(own_folder(spark))

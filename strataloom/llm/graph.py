@@ -45,5 +45,4 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
         if not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        large = _large_star(edges).distinct()
-        edges = materialize(_small_star(large).where("a <> b").distinct())
+        edges = materialize(_small_star(_large_star(edges)).where("a <> b").distinct())

@@ -104,42 +104,48 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     usable = sketches.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     classes = materialize(usable.groupBy("digest").agg(F.min("id").alias("node")))
     named = usable.join(classes, "digest")
-    copies = named.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()
+    # An id that several rows share ties their sets together.
+    shared = named.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high")
+    links = materialize(named.join(shared, "id").where("node <> b").select(F.col("node").alias("a"), "b").distinct())
 
     # Lists with at least two different sets.
     postings = named.where("id = node").select("node", "n_shingles", F.explode("keys").alias("key")).distinct()
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    lists = materialize(postings.join(sizes, "key"))
+    shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    lists = materialize(postings.join(shared_keys, "key"))
     sets = _full_sets(docs, id_col, text_col, width, lists.select("node").distinct(), classes)
     small = materialize(named.where("id = node").select("node", "n_shingles", "sketch").join(
         lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
 
-    links, groups = None, None
+    groups = None
     for turn in range(CENTRES):
         members = _with_groups(lists, groups)
         if turn:  # only large lists that are not settled
-            open_keys = members.groupBy("key").agg(
-                F.min("group").alias("low"), F.max("group").alias("high"), F.first("size").alias("size"))
-            members = members.join(open_keys.where(f"low < high AND size > {LARGE}").select("key"), "key")
+            open_keys = materialize(_unsettled(members).where(F.col("size") > LARGE).select("key"))
+            if open_keys.isEmpty():
+                break
+            members = members.join(open_keys, "key")
         centre = members.groupBy("key").agg(
             F.min_by(F.struct("node", "group"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("c"))
         pairs = members.join(centre, "key").where("group <> c.group").select(
             F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
-        found = materialize(_verified(_passed(pairs, small, part, whole), sets, part, whole))
-        if turn and found.isEmpty():
-            break
-        links = found if links is None else materialize(links.unionByName(found).distinct())
+        links = links.unionByName(_verified(_passed(pairs, small, part, whole), sets, part, whole))
         groups = materialize(components(links))
+        links = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     # All pairs of different components, in blocks of a list.
     rest = materialize(_verified(_met(_with_groups(lists, groups), small, part, whole), sets, part, whole))
-    links = links.unionByName(rest)
+    if not rest.isEmpty():
+        groups = components(links.unionByName(rest))
 
-    component = components(links.unionByName(copies))
-    return (
-        sketches.select("id", "n_shingles").join(component, F.col("id") == F.col("node"), "left")
-        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
-        .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
-    )
+    named = sketches.select("id", "n_shingles", "digest").join(classes, "digest", "left").join(groups, "node", "left")
+    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "id"))
+    return named.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    """The lists that hold more than one component."""
+    return members.groupBy("key").agg(
+        F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high")
 
 
 def _with_groups(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -200,11 +206,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataF
 def _met(members: DataFrame, small: DataFrame, part: int, whole: int) -> DataFrame:
     """Pairs of different components in a list that pass the estimate, from blocks of the list."""
     bound = _floor(part / whole)
-    mixed_keys = members.groupBy("key").agg(
-        F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("now")).where("low < high")
-    blocks = F.ceil(F.col("now") / BLOCK).cast("int")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     cut = (
-        members.join(mixed_keys.select("key", blocks.alias("blocks")), "key").join(small.select("node", "sketch"), "node")
+        members.join(_unsettled(members).select("key", blocks.alias("blocks")), "key").join(small.select("node", "sketch"), "node")
         .withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),

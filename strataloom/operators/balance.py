@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -27,6 +28,37 @@ def _patterns(df: DataFrame, covariates: Sequence[str], treated: str, weight) ->
     )
 
 
+def levels(df: DataFrame, covariates: Sequence[str], score: str) -> DataFrame:
+    """Per level of each covariate, the sum of the scores (`scores`); rows are folded to patterns first."""
+    folded = df.groupBy(*covariates).agg(F.sum(score).alias("w"))
+    typed = folded.select(*[F.col(c).cast("string").alias(c) for c in covariates], "w")
+    return typed.unpivot(["w"], list(covariates), "covariate", "level").groupBy("covariate", "level").agg(
+        F.sum("w").alias("scores"))
+
+
+def ecdf_balance(df: DataFrame, value: str, treated: str, weight=None) -> DataFrame:
+    """Mean and largest difference of the two weighted distribution functions over the distinct values.
+
+    Rows fold to distinct values, which are written in ranges; ranges are added up one after
+    another, so no task holds all values.
+    """
+    w = F.lit(1.0) if weight is None else F.col(weight)
+    side = F.col(treated)
+    folded = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(
+        F.coalesce(F.sum(F.when(side == 1, w)), F.lit(0.0)).alias("t"),
+        F.coalesce(F.sum(F.when(side == 0, w)), F.lit(0.0)).alias("c"))
+    ranged = materialize(materialize(folded).repartitionByRange("v").withColumn("__range", F.spark_partition_id()))
+    totals = ranged.groupBy("__range").agg(F.sum("t").alias("rt"), F.sum("c").alias("rc"))
+    before, whole = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
+    starts = totals.select(  # one row per shuffle partition
+        "__range", F.coalesce(F.sum("rt").over(before), F.lit(0.0)).alias("t0"), F.sum("rt").over(whole).alias("nt"),
+        F.coalesce(F.sum("rc").over(before), F.lit(0.0)).alias("c0"), F.sum("rc").over(whole).alias("nc"))
+    inside = W.partitionBy("__range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    steps = ranged.withColumns({"t1": F.sum("t").over(inside), "c1": F.sum("c").over(inside)}).join(starts, "__range")
+    gap = F.abs((F.col("t0") + F.col("t1")) / F.col("nt") - (F.col("c0") + F.col("c1")) / F.col("nc"))
+    return steps.agg(F.avg(gap).alias("ecdf_mean"), F.max(gap).alias("ecdf_max")).withColumn("covariate", F.lit(value))
+
+
 def balance(df: DataFrame, matched: DataFrame, covariates: Sequence[str], treated: str,
             weight: str = "weights") -> DataFrame:
     """Share of each covariate level among treated and controls, in all rows and in matched rows.
@@ -94,21 +126,16 @@ def propensity(df: DataFrame, covariates: Sequence[str], treated: str, to: str =
     """Add the probability of being treated, by logistic regression (re-weighted least squares).
 
     The covariates are categories, so the score has one value per covariate pattern, and the
-    model is fitted to patterns with row counts as weights, however many rows there are.
+    model is fitted to the treated share of each pattern with row counts as weights, however many
+    rows there are. (One line per outcome, with counts as weights, would start the fit at scores
+    next to 0 and 1, from where it may not come back.)
     Covariates with one level carry nothing and are left out, as in any model with an intercept.
     """
     covariates = list(covariates)
-    sides = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("hits").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("hits")).alias("weight")),
-    )
     patterns = materialize(
         require_keys(df, covariates, "propensity")
         .groupBy(*[F.col(c).cast("string").alias(f"x{i}") for i, c in enumerate(covariates)])
-        .agg(F.sum(F.col(treated).cast("double")).alias("hits"), F.count(F.lit(1)).cast("double").alias("n"))
-        .withColumn("side", F.explode(sides))
-        .select(*[f"x{i}" for i in range(len(covariates))], "side.*")
-        .where("weight > 0")
+        .agg(F.avg(F.col(treated).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
     )
     levels = patterns.agg(*[F.count_distinct(f"x{i}") for i in range(len(covariates))]).first()
     terms = [f"x{i}" for i, n in enumerate(levels) if n > 1] or ["1"]

@@ -659,13 +659,22 @@ def propensity_one_factor(t):
     return scored.select("c_custkey", F.round("distance", 6).alias("distance"))
 
 
-@query()
+@query("""
+WITH p AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS treated, n_regionkey, c_acctbal < 0 AS debtor
+           FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT 'n_regionkey' AS covariate, CAST(n_regionkey AS VARCHAR) AS level, CAST(sum(treated) AS DOUBLE) AS scores FROM p GROUP BY 2
+UNION ALL SELECT 'debtor', CAST(debtor AS VARCHAR), CAST(sum(treated) AS DOUBLE) FROM p GROUP BY 2
+""")
 def propensity(t):
+    """The score equations of the fit: per level of each covariate, the scores add up to the treated rows."""
     people = treated_customers(t).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).withColumn(
         "debtor", F.col("c_acctbal") < 0
     )
-    scored = balance.propensity(people, ["n_regionkey", "debtor"], "treated")
-    return scored.select("c_custkey", "n_regionkey", "debtor", F.round("distance", 9).alias("distance"))
+    return score_sums(balance.propensity(people, ["n_regionkey", "debtor"], "treated"), ["n_regionkey", "debtor"])
+
+
+def score_sums(scored, covariates):
+    return balance.levels(scored, covariates, "distance").withColumn("scores", F.round("scores", 3))
 
 
 # ---- sampling, reshape -------------------------------------------------------------------------
@@ -854,6 +863,16 @@ def quoted_scan(t):
     return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, ["Code table", "Version 1"])
 
 
+@query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT n_nationkey, n_name FROM nation")
+def export_subset(t):
+    """Two tables of three are written, each below the base folder, and read back."""
+    path = new_path(t)
+    tables = {"customer": t.customer, "nation": t.nation, "region": t.region}
+    writers.export_subset(tables, ["customer", "nation"], path)
+    return t.spark.read.parquet(f"{path}/customer").selectExpr("c_custkey AS key", "c_name AS name").unionByName(
+        t.spark.read.parquet(f"{path}/nation").selectExpr("CAST(n_nationkey AS BIGINT) AS key", "n_name AS name"))
+
+
 @query("""
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE o_orderstatus = 'O'
 """)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.balance import balance, ecdf_balance, propensity
+from ..operators.matching import stratum_match
 from ..operators.ranks import normal_points
 from ..plans import diagnoses, drugs, people, profiles, risk
 from ..session import materialize
 from ..sources import lookups as L
 from . import derived as D
-from .coverage import BANDS_SQL, TITLE_SQL, quantile_sql
+from .coverage import BANDS_SQL, TITLE_SQL, quantile_sql, score_sums
 from .registry import draw_sql, query
 
 # ---- people ------------------------------------------------------------------------------------
@@ -177,6 +179,74 @@ def people_matchup(t):
     return people.matchup(matched(t))
 
 
+@query(f"""
+SELECT "Id", CASE WHEN "REGIONYY" IS NULL AND "INSURCYY" IS NULL THEN 'REGIONYY,INSURCYY'
+                  WHEN "REGIONYY" IS NULL THEN 'REGIONYY' ELSE 'INSURCYY' END AS missing
+FROM ({PEOPLE_INPUT_SQL}) WHERE "REGIONYY" IS NULL OR "INSURCYY" IS NULL
+""")
+def people_refused(t):
+    """Synthetic people without a stratum, which the match leaves out, and what they lack."""
+    return people.refused(people_side(t)).select("Id", "missing")
+
+
+_LEVELS = " UNION ALL ".join(
+    f"""SELECT '{k}' AS covariate, CAST("{k}" AS VARCHAR) AS level, CAST(sum("MEPS_respondent") AS DOUBLE) AS scores
+        FROM b GROUP BY 2""" for k in people.PEOPLE_KEYS)
+
+
+@query(f"WITH {MATCHUP_SQL} {_LEVELS}")
+def people_scores(t):
+    """The score of the match on all six keys: per level, the scores add up to the respondents."""
+    both = people.pool(people.matchable(people_side(t)), respondent_side(t))
+    return score_sums(propensity(materialize(both), people.PEOPLE_KEYS, "MEPS_respondent"), people.PEOPLE_KEYS)
+
+
+def _balance_sql(keys, rows: str, matched_rows: str, flag: str) -> str:
+    """Shares of each level among treated and controls before and after the match, as the report shows them."""
+    def side(k, table, stage, w):
+        return f"""SELECT '{k}' AS covariate, CAST("{k}" AS VARCHAR) AS level,
+            coalesce(sum({w}) FILTER ({flag} = 1), 0) / (SELECT sum({w}) FROM {table} WHERE {flag} = 1) AS treated_{stage},
+            coalesce(sum({w}) FILTER ({flag} = 0), 0) / (SELECT sum({w}) FROM {table} WHERE {flag} = 0) AS control_{stage}
+            FROM {table} GROUP BY 2"""
+
+    def both(stage, table, w):
+        return " UNION ALL ".join(side(k, table, stage, w) for k in keys)
+
+    return f"""SELECT covariate, level, round(treated_all, 9) AS treated_all, round(control_all, 9) AS control_all,
+        round(coalesce(treated_matched, 0), 9) AS treated_matched, round(coalesce(control_matched, 0), 9) AS control_matched
+        FROM ({both('all', rows, '1.0::DOUBLE')}) LEFT JOIN ({both('matched', matched_rows, 'w')}) USING (covariate, level)"""
+
+
+_WEIGHED = """
+    mk AS (SELECT *, sum(1 - "MEPS_respondent") OVER (PARTITION BY subclass) AS k FROM mt),
+    mw AS (SELECT *, CASE WHEN "MEPS_respondent" = 1 THEN 1.0::DOUBLE ELSE
+             (sum(1 - "MEPS_respondent") OVER ()) / CAST(sum("MEPS_respondent") OVER () AS DOUBLE) / k END AS w FROM mk)"""
+
+
+@query(f"WITH {MATCHUP_SQL}, {_WEIGHED} {_balance_sql(people.PEOPLE_KEYS, 'b', 'mw', chr(34) + 'MEPS_respondent' + chr(34))}")
+def people_balance(t):
+    """Balance of the six match keys before and after the match of people."""
+    both = materialize(people.pool(people.matchable(people_side(t)), respondent_side(t)))
+    after = stratum_match(both, people.PEOPLE_KEYS, "MEPS_respondent", "Id", people.PEOPLE_RATIO, 8)
+    table = balance(both, materialize(after), people.PEOPLE_KEYS, "MEPS_respondent")
+    shown = ("treated_all", "control_all", "treated_matched", "control_matched")
+    return table.select("covariate", "level", *[F.round(c, 9).alias(c) for c in shown])
+
+
+@query(f"""
+WITH {MATCHUP_SQL},
+v AS (SELECT "AGELAST" AS v, sum("MEPS_respondent") AS t, sum(1 - "MEPS_respondent") AS c FROM b GROUP BY 1),
+f AS (SELECT abs(sum(t) OVER o / CAST(sum(t) OVER () AS DOUBLE) - sum(c) OVER o / CAST(sum(c) OVER () AS DOUBLE)) AS gap
+      FROM v WINDOW o AS (ORDER BY v))
+SELECT 'AGELAST' AS covariate, round(avg(gap), 9) AS ecdf_mean, round(max(gap), 9) AS ecdf_max FROM f
+""")
+def people_age_ecdf(t):
+    """Distance of the age distributions of both sides."""
+    both = people.pool(people.matchable(people_side(t)), respondent_side(t))
+    table = ecdf_balance(both, "AGELAST", "MEPS_respondent")
+    return table.select("covariate", F.round("ecdf_mean", 9).alias("ecdf_mean"), F.round("ecdf_max", 9).alias("ecdf_max"))
+
+
 IMAGES_SQL = f"""
     fm AS (SELECT avg("age") AS m, stddev_samp("age") AS s FROM ({D.IMAGES_SQL}) WHERE "age" >= 18),
     ps AS (SELECT stddev_samp(datediff('day', "BIRTHDATE", DATE '2021-12-31') / 365.25::DOUBLE) AS s
@@ -256,6 +326,31 @@ def image_age_points(t):
     return normal_points(images, "age").withColumn("theoretical", F.round("theoretical", 9))
 
 
+@query(f"""
+WITH {MATCHUP_SQL},
+o AS (SELECT age AS sample, row_number() OVER (ORDER BY age) AS position, count(*) OVER () AS n
+      FROM (SELECT datediff('day', "BIRTHDATE", DATE '2021-12-31') / 365.25::DOUBLE AS age FROM mt WHERE "MEPS_respondent" = 0)),
+q AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM (SELECT *, (position - 0.5::DOUBLE) / n AS p FROM o))
+SELECT round(sample, 9) AS sample, position, round({quantile_sql()}, 9) AS theoretical FROM q
+""")
+def people_age_points(t):
+    """Normal quantile points of the matched people's ages."""
+    points = normal_points(people.actual_ages(matched(t)), "AGE_ACTUAL")
+    return points.select(F.round("sample", 9).alias("sample"), "position", F.round("theoretical", 9).alias("theoretical"))
+
+
+@query(f"""
+WITH {MATCHUP_SQL}, {IMAGES_SQL},
+o AS (SELECT "AGELAST" AS sample, row_number() OVER (ORDER BY "AGELAST") AS position, count(*) OVER () AS n FROM fa),
+q AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM (SELECT *, (position - 0.5::DOUBLE) / n AS p FROM o))
+SELECT round(sample, 6) AS sample, position, round({quantile_sql()}, 9) AS theoretical FROM q
+""")
+def stretched_age_points(t):
+    """Normal quantile points of the stretched image ages."""
+    points = normal_points(usable(t, matched(t)), "AGELAST")
+    return points.select(F.round("sample", 6).alias("sample"), "position", F.round("theoretical", 9).alias("theoretical"))
+
+
 # ---- diagnoses ---------------------------------------------------------------------------------
 
 _CAT = ('"ICD10CDX"', '"CCSR1X"', '"CCSR2X"', '"CCSR3X"')
@@ -410,6 +505,14 @@ def drug_cut_sizes(t):
     return drugs.cut_sizes(drug_people(t), "age_gender")
 
 
+@query(f"""
+SELECT "AGE_GRP_9", "RACETHX_DSC", count(*) AS count, count(*) >= 60 AS large_enough
+FROM ({PERSON_DRUGS_SQL}) WHERE "POOLWTYY" > 0 AND "AGEYYX" >= 18 GROUP BY 1, 2
+""")
+def drug_cut_sizes_race(t):
+    return drugs.cut_sizes(drug_people(t), "age_race")
+
+
 def _means_sql(cut: str) -> str:
     by = ", ".join(f'"{c}"' for c in drugs.CUTS[cut])
     head, using, group = (f"{by}, ", f"USING ({by})", f"GROUP BY {by}") if by else ("", "ON true", "")

@@ -5,10 +5,10 @@ residue class, on the class's smallest retained values together, so a passage th
 share makes a common list only where it makes up most of them. Documents that meet in a list are
 first estimated on the union of their sketches and then verified on their full sets.
 
-Equal sets are folded before. In a list every document is first held against one centre; where a
-list still holds several components, large lists try other centres, and then all pairs of
-different components are estimated in blocks. So copies are not spread into pairs, no pair of
-different sets is left out, and no list is one task.
+Equal sets are folded before. In a list every document is first held against one centre, the one
+that meets most others. Where lists still hold several components, their documents are joined on
+the rarest shingles of their full sets, which bounds the overlap exactly. So copies are not spread
+into pairs, no pair of different sets is left out, and no list is one task.
 
 Defined results: a null or empty text has no shingles and links with nothing; neither does a row
 with a null id, whose component is null and which is kept; rows that share an id share a
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -32,7 +33,7 @@ from .shingles import WIDTH, mixed, shingle_sets
 RETAINED = 64
 CLASSES = 24
 TOGETHER = 3
-CENTRES = 4
+CENTRES = 2
 LARGE = 64
 BLOCK = 512
 DEVIATIONS = 4.5
@@ -110,8 +111,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Lists with at least two different sets.
     postings = named.where("id = node").select("node", "n_shingles", F.explode("keys").alias("key")).distinct()
-    shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    lists = materialize(postings.join(shared_keys, "key"))
+    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = materialize(postings.join(sizes, "key"))
+    lists = materialize(met.join(met.groupBy("node").agg(F.sum("size").alias("met")), "node").drop("size"))
     sets = _full_sets(docs, id_col, text_col, width, lists.select("node").distinct(), classes)
     small = materialize(named.where("id = node").select("node", "n_shingles", "sketch").join(
         lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
@@ -124,15 +126,15 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if open_keys.isEmpty():
                 break
             members = members.join(open_keys, "key")
-        centre = members.groupBy("key").agg(
-            F.min_by(F.struct("node", "group"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("c"))
+        # First the document that meets most others, so the original of a family; then any one.
+        rank = F.struct(-F.col("met") if not turn else F.xxhash64("node", F.lit(turn)), "node")
+        centre = members.groupBy("key").agg(F.min_by(F.struct("node", "group"), rank).alias("c"))
         pairs = members.join(centre, "key").where("group <> c.group").select(
             F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
         links = links.unionByName(_verified(_passed(pairs, small, part, whole), sets, part, whole))
         groups = materialize(components(links))
         links = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    # All pairs of different components, in blocks of a list.
-    rest = materialize(_verified(_met(_with_groups(lists, groups), small, part, whole), sets, part, whole))
+    rest = materialize(_verified(_prefix_pairs(_with_groups(lists, groups), sets, part, whole), sets, part, whole))
     if not rest.isEmpty():
         groups = components(links.unionByName(rest))
 
@@ -203,39 +205,83 @@ def _verified(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataF
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(work, pairs.schema)
 
 
-def _met(members: DataFrame, small: DataFrame, part: int, whole: int) -> DataFrame:
-    """Pairs of different components in a list that pass the estimate, from blocks of the list."""
-    bound = _floor(part / whole)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _prefix_pairs(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """Pairs of different components in unsettled lists that can still have the similarity.
+
+    Among these documents the shingles of each set are ordered from rare to common. Two sets with
+    the similarity share a shingle among the first few of both, and what follows it must suffice
+    for the overlap: an exact bound, which a text with many words of its own never meets.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+    keys = _unsettled(members).select("key")
+    chosen = members.join(keys, "key").select("node", "group").distinct()
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                some = batch.iloc[at:at + 200]
+                size = np.array([len(x) // 8 for x in some["found"]])
+                yield pd.DataFrame({
+                    "token": np.frombuffer(b"".join(some["found"]), np.int64), "node": some["node"].to_numpy().repeat(size),
+                    "group": some["group"].to_numpy().repeat(size), "n": size.repeat(size)})
+
+    tokens = materialize(sets.join(chosen, "node").select("node", "group", "found").mapInPandas(
+        spread, f"token long, node {kind}, group {kind}, n long"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    by_rarity = W.partitionBy("node").orderBy("df", "token")
+    first = F.col("n") - F.ceil(F.col("n") * part / F.lit(whole)) + 1
+    prefix = tokens.join(counts, "token").withColumn("place", F.row_number().over(by_rarity) - 1).where(
+        (F.col("place") < first) & (F.col("df") > 1))
+    # What is left of the set from this place on must hold the overlap with a set of the least size.
+    prefix = materialize(prefix.where((F.col("n") - F.col("place")) * whole >= F.col("n") * part).drop("df"))
+    live = prefix.groupBy("token").agg(
+        F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     cut = (
-        members.join(_unsettled(members).select("key", blocks.alias("blocks")), "key").join(small.select("node", "sketch"), "node")
-        .withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "node", "n_shingles", "group", "sketch")
+        prefix.join(live.where("low < high").select("token", "blocks"), "token")
+        .withColumn("own", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "group", "n", "place")
     )
 
-    def work(met: pd.DataFrame) -> pd.DataFrame:
-        i, j = met["i"].iloc[0], met["j"].iloc[0]
-        left, right = met[met["own"] == i].reset_index(drop=True), met[met["own"] == j].reset_index(drop=True)
-        s, t = _padded(left["sketch"]), _padded(right["sketch"])
-        n, m = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-        g, h = left["group"].to_numpy(), right["group"].to_numpy()
-        out = []
-        for k in range(len(left)):
-            fits = (g[k] != h) & (np.minimum(n[k], m) * whole >= np.maximum(n[k], m) * part)
-            if i == j:
-                fits[:k + 1] = False
-            at = np.flatnonzero(fits)
-            for c in range(0, len(at), 5000):
-                some = at[c:c + 5000]
-                good = some[estimated(np.repeat(s[k:k + 1], len(some), 0), t[some]) >= bound]
-                out.append(pd.DataFrame({"x": left["node"].iloc[[k] * len(good)].to_numpy(), "y": right["node"].iloc[good].to_numpy()}))
-        pairs = pd.concat(out) if out else pd.DataFrame({"x": left["node"].iloc[:0], "y": left["node"].iloc[:0]})
-        return pairs
-
-    kind = members.schema["node"].dataType.simpleString()
-    found = cut.groupBy("key", "i", "j").applyInPandas(work, f"x {kind}, y {kind}")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if len(rows):
+                last = (rows[["token", "i", "j"]] == rows[["token", "i", "j"]].iloc[-1]).all(axis=1)
+                held = rows[last]
+                yield from pairs(rows[~last])
+        if held is not None:
+            yield from pairs(held)
+
+    def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rows = rows.reset_index(drop=True)
+        node, group, n, left = (rows[c].to_numpy() for c in ("node", "group", "n", "place"))
+        left = n - left
+        own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
+        out, waiting = [], 0
+        for at in rows.groupby(["token", "i", "j"]).indices.values():
+            same = i[at[0]] == j[at[0]]
+            a, b = (at, at) if same else (at[own[at] == i[at]], at[own[at] == j[at]])
+            x, y = np.repeat(a, len(b)), np.tile(b, len(a))
+            fits = group[x] != group[y]
+            if same:
+                fits &= x < y
+            x, y = x[fits], y[fits]
+            # overlap * (part + whole) >= part * (sizes) is what the similarity asks for.
+            fits = np.minimum(left[x], left[y]) * (part + whole) >= part * (n[x] + n[y])
+            x, y = node[x[fits]], node[y[fits]]
+            if len(x):
+                out.append(pd.DataFrame({"x": x, "y": y}))
+                waiting += len(x)
+            if waiting > 200_000:
+                yield pd.concat(out).drop_duplicates()
+                out, waiting = [], 0
+        if out:
+            yield pd.concat(out).drop_duplicates()
+
+    ordered = cut.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    found = ordered.mapInPandas(work, f"x {kind}, y {kind}")
     return found.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.balance import balance, ecdf_balance, propensity
+from ..operators.codes import long_flags
 from ..operators.matching import stratum_match
 from ..operators.ranks import normal_points
 from ..plans import diagnoses, drugs, people, profiles, risk
@@ -739,3 +740,39 @@ def profile_comorbidities(t):
     " received a diagnosis in 2021 for ", "Elixhauser Comorbidity category.", "Elixhauser Comorbidity categories."))
 def profile_comorbidities_text(t):
     return profiles.comorbidity_sentence(persons(t), risk.comorbidity_detail(detail(t)))
+
+
+# ---- every comorbidity class -------------------------------------------------------------------
+
+# Codes, classes and weights are typed here apart from the lookup tables. A code may count for several classes.
+CLASS_OF_CODE = {
+    "I509": "chf", "I4891": "carit", "I351": "valv", "I269": "pcd", "I739": "pvd", "I10": "hypunc", "I119": "hypc",
+    "G8110": "para", "G20": "ond", "J449": "cpd", "E119": "diabunc", "E1122": "diabc", "E039": "hypothy", "N189": "rf",
+    "K746": "ld", "K259": "pud", "B20": "aids", "C819": "lymph", "C780": "metacanc", "C509": "solidtum", "M059": "rheumd",
+    "D65": "coag", "E669": "obes", "E43": "wloss", "E871": "fed", "D500": "blane", "D519": "dane", "F1020": "alcohol",
+    "F112": "drug", "F209": "psycho", "F329": "depre", "I110": "chf hypc", "I132": "chf hypc", "I426": "chf alcohol",
+    "K700": "ld alcohol", "F315": "psycho depre", "Z000": "", "K250": "", "D501": "", "G830": "para", "I728": "",
+}
+CLASS_WEIGHT = {
+    "chf": 7, "carit": 5, "valv": -1, "pcd": 4, "pvd": 2, "hypunc": 0, "hypc": 0, "para": 7, "ond": 6, "cpd": 3,
+    "diabunc": 0, "diabc": 0, "hypothy": 0, "rf": 5, "ld": 11, "pud": 0, "aids": 0, "lymph": 9, "metacanc": 12,
+    "solidtum": 4, "rheumd": 0, "coag": 3, "obes": -4, "wloss": 6, "fed": 5, "blane": -2, "dane": -2, "alcohol": 0,
+    "drug": -7, "psycho": 0, "depre": -3,
+}
+
+
+@query(f"""
+WITH k(code, cls) AS (VALUES {', '.join(f"('{c}', '{x}')" for c, xs in CLASS_OF_CODE.items() for x in xs.split())}),
+w(cls, weight) AS (VALUES {', '.join(f"('{c}', {x})" for c, x in CLASS_WEIGHT.items())}),
+o AS (SELECT o_custkey, ([{', '.join(f"'{c}'" for c in CLASS_OF_CODE)}])[o_orderkey % {len(CLASS_OF_CODE)} + 1] AS code FROM orders),
+c AS (SELECT DISTINCT o_custkey, cls FROM o JOIN k USING (code))
+SELECT o_custkey AS "DUPERSID", cls AS "Field_Name", CAST(1 AS INTEGER) AS "Field_Value" FROM c
+UNION ALL SELECT o_custkey, 'score', CAST(coalesce(sum(weight), 0) AS INTEGER)
+FROM (SELECT DISTINCT o_custkey FROM o) LEFT JOIN c USING (o_custkey) LEFT JOIN w USING (cls) GROUP BY 1
+""")
+def comorbidity_all_classes(t):
+    """Flags and score over codes that reach all classes."""
+    code = F.element_at(F.array(*map(F.lit, CLASS_OF_CODE)), (F.col("o_orderkey") % len(CLASS_OF_CODE) + 1).cast("int"))
+    rows = t.orders.select(F.col("o_custkey").alias("DUPERSID"), code.alias("ICD10CM"))
+    table = long_flags(risk.comorbidity_flags(rows), "DUPERSID")
+    return table.where("Field_Value <> 0 OR Field_Name = 'score'").select("DUPERSID", "Field_Name", "Field_Value")

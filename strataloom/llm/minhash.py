@@ -60,18 +60,19 @@ def list_keys(found: np.ndarray, classes: int = CLASSES, together: int = TOGETHE
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, n_shingles, `digest` of the set, `sketch` and `keys`; null without shingles."""
+    """id, n_shingles, `digest` of the set, `sketch` and `keys`, null without shingles, and `version`, a hash of the text."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, found in zip(batch["id"], shingle_sets(batch["text"], width)):
+            for key, version, found in zip(batch["id"], batch["version"], shingle_sets(batch["text"], width)):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-                rows.append((key, len(found), digest, found[:RETAINED].tobytes(), list_keys(found)))
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "digest", "sketch", "keys"])
+                rows.append((key, version, len(found), digest, found[:RETAINED].tobytes(), list_keys(found)))
+            yield pd.DataFrame(rows, columns=["id", "version", "n_shingles", "digest", "sketch", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.mapInPandas(work, f"id {kind}, n_shingles long, digest binary, sketch binary, keys array<long>")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
+    return texts.mapInPandas(work, f"id {kind}, version long, n_shingles long, digest binary, sketch binary, keys array<long>")
 
 
 def _padded(sketches) -> np.ndarray:
@@ -103,20 +104,25 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     part, whole = least
     sketches = materialize(sketched(docs, id_col, text_col, width))
     usable = sketches.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
-    classes = materialize(usable.groupBy("digest").agg(F.min("id").alias("node")))
-    named = usable.join(classes, "digest")
+    # A class is one set; one text with its smallest id stands for it.
+    one = F.struct("id", "version")
+    classes = materialize(usable.groupBy("digest").agg(F.min(one).alias("c")).select(
+        "digest", "c.id", "c.version", F.monotonically_increasing_id().alias("node")))
+    named = usable.select("id", "digest").join(classes.select("digest", "node"), "digest")
     # An id that several rows share ties their sets together.
     shared = named.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b < high")
     links = materialize(named.join(shared, "id").where("node <> b").select(F.col("node").alias("a"), "b").distinct())
 
     # Lists with at least two different sets.
-    postings = named.where("id = node").select("node", "n_shingles", F.explode("keys").alias("key")).distinct()
+    firsts = sketches.join(classes, ["id", "version", "digest"]).dropDuplicates(["id", "version", "digest"])
+    firsts = materialize(firsts.select("node", "id", "version", "n_shingles", "sketch", "keys"))
+    postings = firsts.select("node", "n_shingles", F.explode("keys").alias("key"))
     sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = materialize(postings.join(sizes, "key"))
     lists = materialize(met.join(met.groupBy("node").agg(F.sum("size").alias("met")), "node").drop("size"))
-    sets = _full_sets(docs, id_col, text_col, width, lists.select("node").distinct(), classes)
-    small = materialize(named.where("id = node").select("node", "n_shingles", "sketch").join(
-        lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    wanted = firsts.join(lists.select("node").distinct(), "node", "left_semi")
+    small = wanted.select("node", "n_shingles", "sketch")
+    sets = _full_sets(docs, id_col, text_col, width, wanted.select("node", "id", "version"))
 
     groups = None
     for turn in range(CENTRES):
@@ -138,9 +144,13 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not rest.isEmpty():
         groups = components(links.unionByName(rest))
 
-    named = sketches.select("id", "n_shingles", "digest").join(classes, "digest", "left").join(groups, "node", "left")
-    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "id"))
-    return named.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn(
+    named = classes.select("digest", "id", "node").join(groups, "node", "left").select(
+        "digest", "id", F.coalesce("component", "node").alias("component"))
+    least_id = named.groupBy("component").agg(F.min("id").alias("least"))
+    found = named.select("digest", "component").join(least_id, "component").select("digest", "least")
+    rows = sketches.select("id", "n_shingles", "digest").join(found, "digest", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
+    return rows.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
@@ -157,18 +167,17 @@ def _with_groups(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
     return lists.join(known, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
 
-def _full_sets(docs, id_col, text_col, width, wanted, classes) -> DataFrame:
+def _full_sets(docs: DataFrame, id_col: str, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
     """The sorted shingle hashes of the nodes in lists, worked out again from their texts."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(key, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), found.tobytes())
-                    for key, found in zip(batch["node"], shingle_sets(batch["text"], width))]
-            yield pd.DataFrame(rows, columns=["node", "digest", "found"])
+            rows = [(key, found.tobytes()) for key, found in zip(batch["node"], shingle_sets(batch["text"], width))]
+            yield pd.DataFrame(rows, columns=["node", "found"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = texts.join(wanted, "node", "left_semi").mapInPandas(work, f"node {kind}, digest binary, found binary")
-    return materialize(sets.join(classes, ["node", "digest"]).select("node", "found").dropDuplicates(["node"]))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
+    once = texts.join(wanted, ["id", "version"]).dropDuplicates(["id", "version"])
+    return materialize(once.select("node", "text").mapInPandas(work, "node long, found binary"))
 
 
 def _passed(pairs: DataFrame, small: DataFrame, part: int, whole: int) -> DataFrame:

@@ -8,7 +8,12 @@ verified with a banded bit-parallel edit distance, many pairs at a time, in bloc
 segment; blocks return components of links, not pairs. Of each component of lines the first
 occurrence, by document id and place, stays.
 
-Lines below `least_chars` code points are left alone. Lines are told apart by 64-bit hashes.
+Shorter lines are allowed fewer edits: two from 24 code points on, one from 12 on, none below; of
+two lines the shorter one counts. Lines one edit apart meet at the line without one code point: two
+of a size hold the same rest around the same place, else the rest of the longer one is the shorter.
+Equal lines need no meeting, they share their hash. Blank lines below 24 code points part
+paragraphs and stay. With a `least_chars` of the caller, lines below it are left alone instead.
+Lines are told apart by 64-bit hashes.
 Defined results: a null or empty text has no lines to remove and stays as it is; null ids come
 after all others; rows that repeat id and text count as one row; an empty table gives an empty
 table; columns other than id and text are passed through or not read.
@@ -26,10 +31,11 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .graph import components
 from .shingles import _constants, _powers, mixed
-from .text import GAPS, without
+from .text import GAPS, let, without
 
 EDITS = 2
 LEAST_CHARS = 24
+ONE_EDIT_CHARS = 12
 BLOCK = 512
 _TOGETHER = 1_000_000  # code points hashed in one go; a longer text is hashed alone
 _PAIR_CELLS = 4_000_000
@@ -54,8 +60,9 @@ class LineHashes:
         return (sums[start + size] - sums[start]) * self.down[start]
 
 
-def _long_lines(texts, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For some texts at a time: their code points, and text number, line number, start and size of the long lines."""
+def _lines(texts, least: int, short: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For some texts at a time: their code points, and text number, line number, start and size of the lines
+    from `least` code points on, with `short` also of those below that are not blank."""
     def found(some: list[str], first: int):
         codes = np.frombuffer("\n".join(some).encode("utf-32-le") + b"\n\0\0\0", dtype="<u4")
         ends = np.flatnonzero(codes == 10)
@@ -65,6 +72,9 @@ def _long_lines(texts, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         number = np.arange(len(starts)) - np.searchsorted(starts, text_start)[text]
         size = ends - starts
         keep = size >= least
+        if short:
+            solid = np.concatenate([[0], np.cumsum((codes != 32) & ((codes < 9) | (codes > 13)))])
+            keep |= solid[ends] > solid[starts]
         return codes, text[keep] + first, number[keep], starts[keep], size[keep]
 
     some, size, first = [], 0, 0
@@ -82,12 +92,12 @@ def _line_ids(hashes: LineHashes, sums, start, size) -> np.ndarray:
     return mixed(hashes.between(sums, start, size) + size.astype(np.uint64)).view(np.int64)
 
 
-def occurrences(docs: DataFrame, least: int) -> DataFrame:
-    """The long lines of each row of `doc`, `digest`, `text`: doc, digest, `line_no`, `line`."""
+def occurrences(docs: DataFrame, least: int, short: bool = False) -> DataFrame:
+    """The lines of each row of `doc`, `digest`, `text`: doc, digest, `line_no`, `line`."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = LineHashes()
         for batch in batches:
-            for codes, text, number, start, size in _long_lines(batch["text"], least):
+            for codes, text, number, start, size in _lines(batch["text"], least, short):
                 yield pd.DataFrame({"doc": batch["doc"].to_numpy()[text], "digest": batch["digest"].to_numpy()[text],
                                     "line_no": number, "line": _line_ids(hashes, hashes.of(codes), start, size)})
 
@@ -124,7 +134,7 @@ def _keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
         hashes = LineHashes()
         for batch in batches:
             seen: set[int] = set()
-            for codes, _, _, start, size in _long_lines(batch["text"], least):
+            for codes, _, _, start, size in _lines(batch["text"], least):
                 sums = hashes.of(codes)
                 ids, first = np.unique(_line_ids(hashes, sums, start, size), return_index=True)
                 new = np.array([x not in seen for x in ids.tolist()], bool)
@@ -140,6 +150,66 @@ def _keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
     return docs.select("text").mapInPandas(work, "key long, probe boolean, line long")
 
 
+def one_edit_keys(hashes: LineHashes, codes, sums, start, size, least: int, most: int):
+    """Pieces of (key, centre or not, number of the line) of lines of `least` to `most` + 1 code points.
+
+    Lines at a key are one edit from its first centre: a rest with its place has only centres, a rest
+    without has the line that equals it.
+    """
+    line = np.arange(len(start))
+    whole = (size >= least) & (size <= most)
+    yield _line_ids(hashes, sums, start[whole], size[whole]), True, line[whole]
+    for i in range(most + 1):
+        here = (size > i) & (size >= least) & (size <= most + 1)
+        a, n = start[here], size[here]
+        rest = hashes.between(sums, a, i) + hashes.between(sums, a + i + 1, n - i - 1) * hashes.up[i]
+        rest = mixed(rest + (n - 1).astype(np.uint64))
+        same = n <= most
+        yield mixed(rest[same] + np.uint64(i + 1) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64), True, line[here][same]
+        shorter = n > least
+        if i:
+            shorter &= codes[a + i] != codes[a + i - 1]  # a run has one rest
+        yield rest[shorter].view(np.int64), False, line[here][shorter]
+
+
+def _one_edit_links(docs: DataFrame, least: int, most: int) -> DataFrame:
+    """Links `a`, `b` of lines of `least` to `most` code points, and to those of one more, that are one edit apart."""
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = LineHashes()
+        for batch in batches:
+            seen: set[int] = set()
+            for codes, _, _, start, size in _lines(batch["text"], least):
+                some = size <= most + 1
+                start, size = start[some], size[some]
+                sums = hashes.of(codes)
+                ids, first = np.unique(_line_ids(hashes, sums, start, size), return_index=True)
+                new = np.array([x not in seen for x in ids.tolist()], bool)
+                seen.update(ids.tolist())
+                ids, first = ids[new], first[new]
+                for key, centre, line in one_edit_keys(hashes, codes, sums, start[first], size[first], least, most):
+                    if len(key):
+                        yield pd.DataFrame({"key": key, "rest": not centre, "line": ids[line]})
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_key, open_centre, open_alive = None, 0, False
+        for batch in batches:
+            key, rest, line = (batch[c].to_numpy() for c in ("key", "rest", "line"))
+            if not len(key):
+                continue
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.concatenate([begin, [len(key)]]))
+            centre, alive = line[begin].copy(), ~rest[begin].astype(bool)
+            if open_key is not None and key[0] == open_key:
+                centre[0], alive[0] = open_centre, open_alive
+            open_key, open_centre, open_alive = key[-1], centre[-1], bool(alive[-1])
+            to = np.repeat(centre, size)
+            linked = np.repeat(alive, size) & (line != to)
+            yield pd.DataFrame({"a": line[linked], "b": to[linked]})
+
+    filed = docs.select("text").mapInPandas(keys, "key long, rest boolean, line long")
+    return filed.repartition("key").sortWithinPartitions("key", "rest", "line").mapInPandas(work, "a long, b long").distinct()
+
+
 def _meetings(keys: DataFrame) -> DataFrame:
     """The rows of keys that are filed and at which at least two lines stand.
 
@@ -303,9 +373,10 @@ def _once(a: list[np.ndarray], b: list[np.ndarray], lines: np.ndarray) -> tuple[
     return x[first], y[first]
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """Per row of `doc`, `digest`, `text` that loses lines: doc, digest, `gone`, the numbers of its lines to remove."""
-    seen = materialize(occurrences(docs, least_chars))
+    short, least_chars = least_chars is None, LEAST_CHARS if least_chars is None else least_chars
+    seen = materialize(occurrences(docs, least_chars, short))
     met = materialize(_meetings(_keys(docs, edits, least_chars)))
     place = F.struct(F.col("doc").isNull().alias("missing"), "doc", "digest", "line_no")
     wanted = (
@@ -316,7 +387,10 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     texts = materialize(
         holding.select(F.split("d.text", "\n").alias("lines"), F.explode("w.wanted").alias("x"))
         .select("x.line", F.get("lines", F.col("x.line_no")).alias("text")).dropDuplicates(["line"]))
-    links = materialize(_verified(met, texts, edits))
+    links = _verified(met, texts, edits)
+    if short and edits:
+        links = links.unionByName(_one_edit_links(docs, ONE_EDIT_CHARS, LEAST_CHARS - 1))
+    links = materialize(links)
     groups = components(links).withColumnRenamed("node", "line")
     named = seen.join(groups, "line", "left").withColumn("class", F.coalesce("component", "line"))
     first = named.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -330,14 +404,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
-                           least_chars: int = LEAST_CHARS) -> DataFrame:
-    """All columns of the input, its text without the repeated lines, and `__lines`, `__removed`."""
+                           least_chars: int | None = None) -> DataFrame:
+    """All columns of the input, its text without the repeated lines, and `__lines`, `__removed`.
+
+    A given `least_chars` leaves lines below it alone; without, every line that is not blank is treated.
+    """
     gone = repeated_lines(_keyed(docs, id_col, text_col), edits, least_chars)
     gone = gone.select(F.col("doc").alias("__doc"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     wide = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__digest")), "left")
     lines = F.split(text, "\n")
-    rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
+    # The runs of lines between those that go, so that the work does not grow with lines times lines gone.
+    bounds = F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size(lines)))
+    rest = let(lines, lambda x: let(bounds, lambda b: F.array_join(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size("__gone") + 1),
+        lambda k: F.slice(x, F.get(b, k - 1) + 2, F.get(b, k) - F.get(b, k - 1) - 1))), "\n")))
     return wide.select(
         *[F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(rest).alias(c) if c == text_col else F.col(f"`{c}`")
           for c in docs.columns],

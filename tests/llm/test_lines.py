@@ -89,6 +89,55 @@ def test_equals_brute_force_in_small_batches(spark):
     assert sorted(((a, b) for a, b in got), key=str) == brute(rows, 2, 8)
 
 
+def brute_by_length(rows):
+    """With production parameters: two edits from 24 code points on, one from 12 on, else none; the shorter line counts."""
+    def edits(line):
+        return 2 if len(line) >= 24 else 1 if len(line) >= 12 else 0
+
+    keys = sorted(set((i, t) for i, t in rows))
+    names = sorted({x for _, t in keys for x in t.split("\n") if len(x) >= 24 or x.strip(" \t\x0b\x0c\r")})
+    group = {x: x for x in names}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in names:
+        for b in names:
+            most = min(edits(a), edits(b))
+            if a < b and abs(len(a) - len(b)) <= most and distance(a, b) <= most:
+                group[root(a)] = root(b)
+    seen, out = set(), {}
+    for i, t in keys:
+        kept = []
+        for x in t.split("\n"):
+            if x not in group or root(x) not in seen:
+                kept.append(x)
+            if x in group:
+                seen.add(root(x))
+        out[i, t] = "\n".join(kept)
+    return sorted((i, out[i, t]) for i, t in rows)
+
+
+@pytest.mark.parametrize("batch", ["7", "10000"])
+def test_short_lines_equal_brute_force_with_production_parameters(spark, batch):
+    r = random.Random(11)
+    base = ["".join(r.choice("abé😀 ") for _ in range(n)) for n in (1, 2, 5, 9, 10, 11, 12, 13, 14, 18, 22, 23, 24, 25, 26, 30)]
+    base += ["aaaaaaaaaaaa", "abababababab", "", " ", " \t\r", "x" * 23]
+    rows = []
+    for i in range(160):
+        rows.append((i, "\n".join(changed(r, r.choice(base) or "", r.choice([0, 0, 1, 1, 2])) for _ in range(r.randint(0, 6)))))
+    rows += [(200, "\n".join(base)), (201, "\n".join(base)), (201, "\n".join(base))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = L.without_repeated_lines(df).select("doc_id", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((a, b) for a, b in got) == brute_by_length(rows)
+
+
 def test_blocks_give_the_same_links(spark, monkeypatch):
     r = random.Random(3)
     line = "".join(r.choice("abcdefgh ") for _ in range(60))

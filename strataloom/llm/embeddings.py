@@ -2,8 +2,12 @@
 
 Two codebooks, one on each half of the vectors, form a grid of cells. Each vector stands in one
 cell and visits the cells nearest to it, in the order of the summed squared distances to their
-borders in both halves, up to a level at which `target_recall` of neighbours at exactly the wanted
-cosine are met; that level is measured on the sample that the codebooks are fitted on. Of two
+borders in both halves, up to a level at which `target_recall` of true links are met. For that,
+`PROBES` distinct vectors, outside the sample that the codebooks are fitted on where there are
+more, are compared with all vectors in blocks; with fewer than `LEAST_LINKS` links among them, the
+sample is compared, too. The level holds for all their links and for the probes weighted alike, so
+that one large group does not speak for the others, and is never below the one of neighbours at
+exactly the wanted cosine in random directions; the recall on the links is logged. Of two
 vectors the one in the cell with the smaller number visits the other. All pairs that meet are
 verified in double precision, in blocks; a block returns counts and the components of its links,
 never its pairs.
@@ -19,6 +23,7 @@ empty table; columns other than id and vector are not read.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +37,15 @@ from .graph import components
 COSINE = 0.9
 TARGET_RECALL = 0.99
 SAMPLE = 16_384
+PROBES = 4096
+LEAST_LINKS = 1000
+LEVELS = 512  # steps in which levels of links are counted, rounded up
 VECTORS_PER_CELL = 256
 MOST_CENTRES = 4096
 BLOCK = 2048
 
+_LOG = logging.getLogger(__name__)
+
 
 def _unit(raw, dim: int) -> np.ndarray:
     """Vectors of length one, in double precision, from their bytes."""
@@ -70,7 +80,7 @@ def _codebook(x: np.ndarray, k: int, rng, rounds: int = 8) -> np.ndarray:
 
 
 def fit_index(sample: np.ndarray, vectors: int, cosine: float, target_recall: float, seed: int = 5):
-    """Both codebooks, and the level up to which cells are visited."""
+    """Both codebooks, and the level of neighbours in random directions, below which no level of visits may be."""
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
     k = int(np.clip(np.sqrt(vectors / VECTORS_PER_CELL), 1, MOST_CENTRES))
@@ -90,6 +100,35 @@ def fit_index(sample: np.ndarray, vectors: int, cosine: float, target_recall: fl
     return first, second, float(np.quantile(levels, target_recall, method="higher"))
 
 
+def link_levels(x: np.ndarray, probes: np.ndarray, first: np.ndarray, second: np.ndarray, cosine: float, probe_cells=None):
+    """Probe, and level at which the two meet, of each link between probes and rows of `x`; equal vectors always meet and are left out."""
+    half = x.shape[1] // 2
+
+    def cells(y):
+        return _nearest(y[:, :half], first), _nearest(y[:, half:], second)
+
+    (pa, border_pa), (pb, border_pb) = probe_cells or cells(probes)
+    (xa, border_xa), (xb, border_xb) = cells(x)
+    dots = x @ probes.T
+    row, probe = np.nonzero((dots >= cosine) & (dots < 1 - 1e-12))
+    a, b = xa[row], xb[row]
+    c, d = pa[probe], pb[probe]
+    # The vector in the cell with the smaller number visits.
+    visits = a * len(second) + b <= c * len(second) + d
+    return probe, np.where(visits, border_xa[row, c] + border_xb[row, d], border_pa[probe, a] + border_pb[probe, b])
+
+
+def level_for(probe: np.ndarray, level: np.ndarray, links: np.ndarray, target_recall: float) -> float:
+    """The smallest level that meets the target over all links, and over probes of equal weight."""
+    order = np.argsort(level, kind="stable")
+    probe, level, links = probe[order], level[order], links[order].astype(np.float64)
+    out = 0.0
+    for weight in (links, links / np.bincount(probe, links)[probe]):
+        share = np.cumsum(weight)
+        out = max(out, float(level[min(len(level) - 1, np.searchsorted(share, target_recall * share[-1]))]))
+    return out
+
+
 def visited_cells(first: np.ndarray, second: np.ndarray, level: float) -> Iterator[np.ndarray]:
     """Per vector, the cells with a summed border distance up to `level`, nearest first.
 
@@ -190,9 +229,45 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     return good.unionByName(bad).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
+def _measured_level(classes: DataFrame, some: np.ndarray, dim: int, first: np.ndarray, second: np.ndarray, cosine: float,
+                    target_recall: float, least: float) -> float:
+    """The level that the links between all vectors and the last of `some` need, or 0 without any."""
+    # A border between two vectors is no farther than they are apart, so no link needs a higher level than this.
+    step = max(2 * (1 - cosine), 1e-12) / LEVELS
+
+    def counted(probes: np.ndarray) -> pd.DataFrame:
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            half = dim // 2
+            cells = _nearest(probes[:, :half], first), _nearest(probes[:, half:], second)
+            for whole in batches:
+                for at in range(0, len(whole), 250):
+                    probe, level = link_levels(_unit(whole["vec"].iloc[at:at + 250], dim), probes, first, second, cosine, cells)
+                    bins = np.minimum(np.ceil(level / step - 1e-9).astype(np.int64), 2 * LEVELS - 1)
+                    names, n = np.unique(probe * (2 * LEVELS) + bins, return_counts=True)
+                    yield pd.DataFrame({"probe": names // (2 * LEVELS), "level": names % (2 * LEVELS), "links": n})
+
+        found = classes.select("vec").mapInPandas(work, "probe long, level long, links long")
+        return found.groupBy("probe", "level").agg(F.sum("links").alias("links")).toPandas()
+
+    probes = some[-PROBES:]
+    found = counted(probes)
+    if found["links"].sum() < LEAST_LINKS and len(some) > len(probes):
+        found, probes = counted(some), some
+    if not len(found):
+        return 0.0
+    probe, level, links = (found[c].to_numpy() for c in ("probe", "level", "links"))
+    wanted = level_for(probe, level * step, links, target_recall)
+    reached = links[level * step <= max(wanted, least)].sum() / links.sum()
+    _LOG.info("level %.4f meets %.4f of %d links of %d vectors; neighbours in random directions need %.4f",
+              max(wanted, least), reached, links.sum(), len(probes), least)
+    return wanted
+
+
 def _links(classes: DataFrame, dim: int, count: int, cosine: float, target_recall: float) -> DataFrame:
-    sample = classes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").toPandas()
-    first, second, level = fit_index(_unit(sample["vec"], dim), count, cosine, target_recall)
+    some = classes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE + PROBES).select("vec").toPandas()
+    some = _unit(some["vec"], dim)
+    first, second, level = fit_index(some[:SAMPLE], count, cosine, target_recall)
+    level = max(level, _measured_level(classes, some, dim, first, second, cosine, target_recall, level))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:

@@ -135,6 +135,40 @@ def test_near_vectors_of_families(spark, monkeypatch):
     assert [got[i][1] for i in range(240, 260)] == [240] + list(range(241, 250)) + [240] * 10
 
 
+def low_rank(rng, n):
+    """Half of the vectors are planted at cosine 0.91 from the others, inside 8 of 64 dimensions."""
+    z = rng.normal(size=(n // 2, 8))
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    t = rng.normal(size=z.shape)
+    t -= (t * z).sum(1)[:, None] * z
+    t /= np.linalg.norm(t, axis=1)[:, None]
+    return np.concatenate([z, 0.91 * z + np.sqrt(1 - 0.91 ** 2) * t]) @ np.linalg.qr(rng.normal(size=(64, 8)))[0].T
+
+
+def clustered(rng, n):
+    """300 clusters with spectrum 1/i."""
+    s = 1 / np.arange(1, 65)
+    return (rng.normal(size=(300, 64)) * s)[rng.integers(0, 300, n)] + rng.normal(size=(n, 64)) * s * 0.3
+
+
+@pytest.mark.parametrize("made", [low_rank, clustered])
+def test_near_vectors_of_low_dimension(spark, monkeypatch, made):
+    monkeypatch.setattr(embeddings, "VECTORS_PER_CELL", 16)
+    x = made(np.random.default_rng(1), 6000)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(df).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.985 * want.sum()
+
+
+def test_one_large_group_does_not_set_the_level():
+    probe = np.array([0, 1, 2, 3])
+    level, links = np.array([0.0, 0.1, 0.2, 0.3]), np.array([10**6, 1, 1, 1])
+    assert embeddings.level_for(probe, level, links, 0.99) == 0.3
+
+
 def test_permutations_are_permutations(spark):
     from pyspark.sql import functions as F
 

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -161,12 +163,10 @@ def candidate_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[
     if "at" in text and ("[" in text or "(" in text):
         found += [("written_email", *m.span()) for m in _WRITTEN.finditer(text)]
     out, busy = [], sorted((s, e) for _, s, e in taken)
-    at, reach = 0, 0
+    starts, reach = [s for s, _ in busy], list(accumulate((e for _, e in busy), max))
     for kind, s, e in sorted(found, key=lambda x: (x[1], KINDS.index(x[0]))):
-        while at < len(busy) and busy[at][0] < e:
-            reach = max(reach, busy[at][1])
-            at += 1
-        if s >= reach:
+        before = bisect_left(starts, e)  # base spans that start before the end of this one
+        if not before or s >= reach[before - 1]:
             out.append((kind, s, e, f"{votes(kind, text, s, e)}|{shape(text, s, e)}"))
     return out
 

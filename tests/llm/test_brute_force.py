@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from strataloom.llm import embeddings, graph, minhash, mixing, packing, repeats
+from strataloom.llm import embeddings, graph, minhash, mixing, packing, pii, repeats
 
 
 @pytest.fixture
@@ -198,3 +198,16 @@ def test_patterns_use_every_piece_once():
 def test_two_smaller_pieces_take_the_place_of_one():
     # Greedy takes 60 and 30 and leaves 10 of 100; 25 and 15 fill the place of 30 without a gap.
     assert packing.sequence_patterns({60: 1, 30: 1, 25: 1, 15: 1}, 100)[0] == ([60, 25, 15], 1)
+
+
+def test_candidates_are_dropped_only_for_base_spans_that_overlap_them():
+    r = random.Random(6)
+    parts = ["ssn=", "123-45-6789", "/", "joe@x.com", " ", "10.0.0.1", "+", "4111111111111111", "abcdef0123456789ABCDEF", "555-1234", "_"]
+    texts = ["ssn=123-45-6789/joe@x.com"] + ["".join(r.choice(parts) for _ in range(r.randint(1, 9))) for _ in range(2000)]
+    for text in texts:
+        taken = pii.base_spans(text)
+        want = [c[:3] for c in pii.candidate_spans(text, [])]
+        want = [(k, s, e) for k, s, e in want if not any(a < e and s < b for _, a, b in taken)]
+        assert [c[:3] for c in pii.candidate_spans(text, taken)] == want
+    found = pii.candidate_spans(texts[0], [("email", 16, 25)])
+    assert ("social", 4, 15) in [c[:3] for c in found]

@@ -146,16 +146,18 @@ def stream_places(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-            seed: int = 7, block_words: int = BLOCK_WORDS, with_parts: bool = False) -> DataFrame:
+            seed: int = 7, block_words: int = BLOCK_WORDS, with_parts: bool = False,
+            row_col: str | None = None) -> DataFrame:
     """One row per document: doc_id, digest, source, size, source_size, target, taken.
 
     `taken` counts the words of the document in all output slots. `with_parts` adds `parts`: for
-    each block of the document its word range (`from`, `to`) and the passes that take it.
+    each block of the document its word range (`from`, `to`) and the passes that take it. `row_col`
+    names a column that numbers the rows of a written table; it is returned as `__row`.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = materialize(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text).alias("size"),
-        F.xxhash64(text).alias("digest"), F.monotonically_increasing_id().alias("__row")))
+        F.xxhash64(text).alias("digest"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("__row")))
     sources = materialize(source_targets(sized))
     slots = drawn_slots(sources, seed, block_words)
     run = F.floor(F.col("slot") / F.col("blocks")).cast("long")
@@ -176,29 +178,26 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     if with_parts:
         sums.append(F.sort_array(F.collect_list(
             F.when(F.col("passes").isNotNull(), F.struct("from", "to", "passes")))).alias("parts"))
-    return met.groupBy("__row", "doc_id", "digest", "source", "size", "source_size", "target").agg(*sums).drop("__row")
+    found = met.groupBy("__row", "doc_id", "digest", "source", "size", "source_size", "target").agg(*sums)
+    return found if row_col else found.drop("__row")
 
 
 def mix(docs: DataFrame, seed: int = 7, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix as documents: per document and pass, a row with the words that the pass takes.
+    """The mix as documents: per row of the input and pass, a row with the words that the pass takes.
 
-    A document that a pass takes whole keeps its text as it is; else the taken words are joined by
+    A row that a pass takes whole keeps its text as it is; else the taken words are joined by
     blanks. `n_chars` follows the text; all columns of the input are kept.
     """
     columns = docs.columns
-    found = mixture(docs, seed=seed, block_words=block_words, with_parts=True)
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = mixture(rows, seed=seed, block_words=block_words, with_parts=True, row_col="__row")
     chosen = (
-        found.where("taken > 0").select("doc_id", "source", "digest", "size", F.explode("parts").alias("p"))
-        .select("doc_id", "source", "digest", "size", "p.from", "p.to", F.explode("p.passes").alias("__pass"))
+        found.where("taken > 0").select("__row", "size", F.explode("parts").alias("p"))
+        .select("__row", "size", "p.from", "p.to", F.explode("p.passes").alias("__pass"))
     )
-    # Repeated rows take their words apart; each of their parts is a row of the output.
     ranges = F.sort_array(F.collect_list(F.struct("from", "to")))
-    chosen = chosen.groupBy("doc_id", "source", "digest", "size", "__pass").agg(ranges.alias("__ranges"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("__digest", F.xxhash64(text)).dropDuplicates(["doc_id", "source", "__digest"])
-    wide = keyed.alias("d").join(chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-                                 & F.col("d.source").eqNullSafe(F.col("c.source"))
-                                 & (F.col("d.__digest") == F.col("c.digest")))
+    chosen = chosen.groupBy("__row", "size", "__pass").agg(ranges.alias("__ranges"))
+    wide = rows.alias("d").join(chosen.alias("c"), "__row")
     covered = F.aggregate("__ranges", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
     whole = covered == F.col("c.size")
     some = F.flatten(F.transform("__ranges", lambda r: F.slice(

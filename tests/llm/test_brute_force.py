@@ -177,6 +177,24 @@ def test_permutations_are_permutations(spark):
         assert sorted(r["p"] for r in df.collect()) == list(range(n))
 
 
+def test_mix_treats_repeated_rows_on_their_own(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30 + i % 7)), "web", f"l{i}", "x") for i in range(40)]
+    rows += [(7, rows[7][1], "web", f"copy{k}", "y") for k in range(20)]
+    rows += [(i, f"a{i} b c", "books", "en", "z") for i in range(50, 250)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, extra string").repartition(3)
+    got = mixing.mix(df, block_words=4).collect()
+    taken = {}
+    for r in mixing.mixture(df, block_words=4).collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
+    words, passes = {}, {}
+    for r in got:
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].split())
+        passes[r["doc_id"], r["lang"]] = passes.get((r["doc_id"], r["lang"]), 0) + 1
+    assert words == {i: n for i, n in taken.items() if n}
+    assert max(passes.values()) <= mixing.MOST_PASSES
+    assert {lang for i, lang in passes if i == 7} > {"copy0", "copy1", "copy2"}
+
+
 def test_patterns_use_every_piece_once():
     r = random.Random(3)
     counts = {}

@@ -44,8 +44,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces in sequences of 4096 tokens."""
-    return pack(docs, public_tokenizers.path(TOKENIZER), keep_ids=False)
+    """All pieces with their token ids and their places in sequences of 4096 tokens."""
+    return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

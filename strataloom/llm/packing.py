@@ -255,7 +255,8 @@ def _ranks(pieces: DataFrame, id_col: str, parts: int) -> DataFrame:
     sizes = cut.groupBy("length", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy("length").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("length", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    within = W.partitionBy("length", "__part").orderBy(id_col, "piece")
+    # Rows that share an id are told apart by the digest of their ids.
+    within = W.partitionBy("length", "__part").orderBy(id_col, "piece", *[c for c in ("ids_crc32",) if c in pieces.columns])
     ranked = cut.withColumn("__within", F.row_number().over(within) - 1).join(starts, ["length", "__part"])
     return ranked.select(*pieces.columns, (F.col("__before") + F.col("__within")).alias("__rank"))
 

@@ -195,6 +195,23 @@ def test_mix_treats_repeated_rows_on_their_own(spark):
     assert {lang for i, lang in passes if i == 7} > {"copy0", "copy1", "copy2"}
 
 
+def test_pipeline_rows_make_up_sequences(spark):
+    import zlib
+
+    import corpus_pipeline
+
+    rows = [(1, "one two three"), (1, "three two one"), (1, "one two three"), (2, "w " * 9000), (3, "a b"), (None, "c")]
+    got = corpus_pipeline.packing(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert all(len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in got)
+    made = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        sequence = made.setdefault(r["sequence_id"], [])
+        assert len(sequence) == r["offset"]
+        sequence += r["ids"]
+    assert max(map(len, made.values())) <= 4096
+    assert sum(r["doc_id"] == 1 for r in got) == 3 and len({tuple(r["ids"]) for r in got if r["doc_id"] == 1}) == 2
+
+
 def test_patterns_use_every_piece_once():
     r = random.Random(3)
     counts = {}

@@ -47,7 +47,7 @@ def terms_of(raw: bytes) -> list[bytes]:
     return raw.translate(_BYTES).split()
 
 
-def _texts(column: pa.Array) -> Iterator[bytes]:
+def texts_of(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text of an Arrow column; a null is empty."""
     column = column.cast(pa.large_binary())
     places = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1].tolist()
@@ -79,7 +79,7 @@ def count_terms(docs: DataFrame, vocabulary: list[bytes], id_col: str = "doc_id"
         known = place.value
         for batch in batches:
             rows, totals, places, counts, ends = [], [], [], [], [0]
-            for i, raw in enumerate(_texts(batch.column(1))):
+            for i, raw in enumerate(texts_of(batch.column(1))):
                 found = terms_of(raw)
                 if not found:
                     continue

@@ -274,8 +274,10 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")).where(
         F.col("__id").isNotNull() & F.col("__lang").isNotNull() & ~held_out(F.col("__id")))
     key = F.xxhash64("__id")
-    turn = F.row_number().over(W.partitionBy("__lang").orderBy(key, "__id"))
-    sample = labelled.withColumn("__turn", turn).where(F.col("__turn") <= ROWS_PER_LANGUAGE).orderBy(
+    for part in (["__lang", F.pmod(key, F.lit(64))], ["__lang"]):  # in two steps, as a language may hold most rows
+        turn = F.row_number().over(W.partitionBy(*part).orderBy(key, "__id"))
+        labelled = labelled.withColumn("__turn", turn).where(F.col("__turn") <= ROWS_PER_LANGUAGE)
+    sample = labelled.orderBy(
         "__turn", key, "__id", "__lang").limit(MAX_ROWS).select("__id", "__lang").distinct()
     texts = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"))
 

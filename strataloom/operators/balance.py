@@ -121,6 +121,13 @@ def numeric_balance(df: DataFrame, value: str, treated: str, weight=None) -> Dat
     )
 
 
+def pattern_share(df: DataFrame, covariates: Sequence[str], treated: str, to: str = "distance") -> DataFrame:
+    """Add the treated share of each covariate pattern: the score of a model with all interactions, in one grouped table."""
+    covariates = list(covariates)
+    shares = require_keys(df, covariates, "pattern_share").groupBy(*covariates).agg(F.avg(treated).alias(to))
+    return null_safe_join(df, shares, covariates, "left")
+
+
 def propensity(df: DataFrame, covariates: Sequence[str], treated: str, to: str = "distance",
                max_iter: int = 25, tol: float = 1e-8) -> DataFrame:
     """Add the probability of being treated, by logistic regression (re-weighted least squares).

@@ -14,10 +14,11 @@ from ..functions.nulls import if_known
 from ..functions.recode import band, first_rule, recode, top_code
 from ..functions.text import title_case
 from ..operators.aggregates import proportional, shares, stretch
-from ..operators.balance import propensity
+from ..operators.balance import pattern_share, propensity
 from ..operators.columns import any_column, confident, harmonize_year, pool, relocate, tag_year
 from ..operators.joins import dimension_roles
 from ..operators.matching import first_control, matched_pairs, stratum_match
+from ..operators.nearest import nearest_match
 from ..operators.ranks import percent_rank
 from ..session import materialize
 from ..sources import lookups as L
@@ -32,6 +33,9 @@ PEOPLE_KEYS = ["MARITAL", "SEX", "RACETHX", "REGIONYY", "INSURCYY", "AGE_GRP_9"]
 PEOPLE_RATIO = 3
 IMAGE_KEYS = ["SEX", "RACETHX", "AGE_GRP_9"]
 IMAGE_RATIO = 20
+# Keys that a match on a finer score still holds exactly.
+PEOPLE_EXACT = ["SEX", "AGE_GRP_9"]
+IMAGE_EXACT = ["SEX", "RACETHX"]
 # Least scores of the image attributes.
 GENDER_CERTAIN = 96
 RACE_CERTAIN = {
@@ -170,6 +174,21 @@ def match_people(people: DataFrame, respondents: DataFrame, seed: int | str, sco
     return stratum_match(both, PEOPLE_KEYS, "MEPS_respondent", "Id", PEOPLE_RATIO, seed)
 
 
+def match_people_nearest(people: DataFrame, respondents: DataFrame, seed: int | str, ratio: int = PEOPLE_RATIO) -> DataFrame:
+    """Matched rows of both sides, exact on sex and age band, nearest in the score of all six keys (`distance`)."""
+    both = materialize(pool(people, respondents))
+    scored = pattern_share(both, PEOPLE_KEYS, "MEPS_respondent", "score")
+    return nearest_match(scored, PEOPLE_EXACT, "MEPS_respondent", "Id", "score", ratio, seed).drop("score")
+
+
+def match_images_nearest(pairs: DataFrame, images: DataFrame, seed: int | str, ratio: int = IMAGE_RATIO) -> DataFrame:
+    """People and images matched on sex and race group, nearest in age; `id` is a person or a file name."""
+    keys = [*IMAGE_EXACT, "AGELAST"]
+    people = pairs.select(F.col("Synthea_ID").alias("id"), *keys, F.lit(1).alias("final_database"))
+    files = images.select(F.col("filename").alias("id"), *keys, F.lit(0).alias("final_database"))
+    return nearest_match(materialize(pool(people, files)), IMAGE_EXACT, "final_database", "id", "AGELAST", ratio, seed)
+
+
 def matchup(matched: DataFrame) -> DataFrame:
     """One row per matched synthetic person with the respondent of its subclass."""
     pairs = matched_pairs(matched, "MEPS_respondent")
@@ -199,11 +218,16 @@ def usable_images(attributes: DataFrame, ages: DataFrame) -> DataFrame:
     )
 
 
-def match_images(pairs: DataFrame, images: DataFrame, seed: int | str) -> DataFrame:
-    """One file per person: of up to twenty images matched to the person, the first by name."""
+def image_input(pairs: DataFrame, images: DataFrame) -> DataFrame:
+    """Both sides of the match of images: people (flag 1) and files (flag 0), with the file name as the id."""
     people = pairs.select("Synthea_ID", *IMAGE_KEYS, F.lit(1).alias("final_database"))
     files = images.select(F.col("filename").alias("Synthea_ID"), *IMAGE_KEYS, F.lit(0).alias("final_database"))
-    matched = stratum_match(materialize(pool(people, files)), IMAGE_KEYS, "final_database", "Synthea_ID", IMAGE_RATIO, seed)
+    return pool(people, files)
+
+
+def match_images(pairs: DataFrame, images: DataFrame, seed: int | str) -> DataFrame:
+    """One file per person: of up to twenty images matched to the person, the first by name."""
+    matched = stratum_match(materialize(image_input(pairs, images)), IMAGE_KEYS, "final_database", "Synthea_ID", IMAGE_RATIO, seed)
     return first_control(matched, "final_database", "Synthea_ID", "Synthea_ID", "filename")
 
 

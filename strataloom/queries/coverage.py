@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import dates, draws, nulls, quantiles, recode, text
-from ..operators import (aggregates, balance, choice, codes, columns, joins, matching, ranks, reshape, running,
-                         sampling, survey)
+from ..operators import (aggregates, balance, choice, codes, columns, joins, matching, nearest, ranks, reshape,
+                         running, sampling, survey)
 from ..session import shared_folder
 from ..sources import readers, writers
-from .registry import draw_sql, query
+from .registry import draw_sql, nearest_sql, query
 
 PART_TYPE = {"click": "ECONOMY", "view": "LARGE", "purchase": "SMALL", "signup": "PROMO", "error": "STANDARD"}
 PART_TYPE_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PART_TYPE.items()) + " END"
@@ -598,6 +598,21 @@ def matched_pairs(t):
                         F.col("c_nationkey_x").alias("nation"), F.col("c_mktsegment_x").alias("segment"), "subclass")
 
 
+@query(f"""
+WITH RECURSIVE {nearest_sql(f"(SELECT *, CAST(c_mktsegment = '{SEGMENT}' AS INTEGER) AS treated FROM customer)",
+                            'c_nationkey', 'treated', 'c_custkey', 'c_acctbal', draw_sql(7, 'c_custkey'), 2)}
+SELECT control, treated, g AS nation, control_score AS control_distance, treated_score AS treated_distance,
+       abs(control_score - treated_score) AS gap FROM near
+""")
+def nearest_pairs(t):
+    """Two controls of the nearest balance for each treated customer of a nation."""
+    matched = nearest.nearest_match(treated_customers(t), ["c_nationkey"], "treated", "c_custkey", "c_acctbal", 2, 7)
+    pairs = matching.matched_pairs(matched, "treated")
+    return pairs.select(F.col("c_custkey_x").alias("control"), F.col("c_custkey_y").alias("treated"),
+                        F.col("c_nationkey_x").alias("nation"), F.col("distance_x").alias("control_distance"),
+                        F.col("distance_y").alias("treated_distance"), F.col("gap_x").alias("gap"))
+
+
 BALANCE_SQL = f"""
 WITH {MATCH_SQL},
 u AS (SELECT 'all' AS stage, treated, c_nationkey, c_mktsegment < 'F' AS early, 1.0::DOUBLE AS w FROM ranked

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators.balance import balance, ecdf_balance, propensity
 from ..operators.codes import long_flags
-from ..operators.matching import stratum_match
+from ..operators.matching import matched_pairs, stratum_match
 from ..operators.ranks import normal_points
 from ..plans import diagnoses, drugs, people, profiles, risk
 from ..session import materialize
 from ..sources import lookups as L
 from . import derived as D
 from .coverage import BANDS_SQL, TITLE_SQL, quantile_sql, score_sums
-from .registry import draw_sql, query
+from .registry import draw_sql, nearest_sql, query
 
 # ---- people ------------------------------------------------------------------------------------
 
@@ -248,6 +248,31 @@ def people_age_ecdf(t):
     return table.select("covariate", F.round("ecdf_mean", 9).alias("ecdf_mean"), F.round("ecdf_max", 9).alias("ecdf_max"))
 
 
+def _near_pairs(matched, treated, unit, control_as, treated_as):
+    """Pairs with the scores of both rows, rounded for the comparison with SQL."""
+    pairs = matched_pairs(matched, treated)
+    return pairs.select(F.col(f"{unit}_x").alias(control_as), F.col(f"{unit}_y").alias(treated_as), *[
+        F.round(a, 9).alias(b) for a, b in (("distance_x", "control_distance"), ("distance_y", "treated_distance"), ("gap_x", "gap"))])
+
+
+_NEAR_COLUMNS = """round(control_score, 9) AS control_distance, round(treated_score, 9) AS treated_distance,
+    round(abs(control_score - treated_score), 9) AS gap FROM near"""
+_SHARE_SQL = f"""
+    sc AS (SELECT *, sum("MEPS_respondent") OVER (PARTITION BY {_KEYS}) / CAST(count(*) OVER (PARTITION BY {_KEYS}) AS DOUBLE)
+           AS score FROM b)"""
+
+
+@query(f"""
+WITH RECURSIVE {MATCHUP_SQL}, {_SHARE_SQL}, {nearest_sql('sc', "(\"SEX\" || '|' || \"AGE_GRP_9\")", '"MEPS_respondent"', '"Id"',
+                                                         'score', draw_sql(8, '"Id"'), people.PEOPLE_RATIO)}
+SELECT control AS "Synthea_ID", treated AS "MEPS_ID", {_NEAR_COLUMNS}
+""")
+def people_nearest(t):
+    """People of the same sex and age band with the nearest score of all six keys."""
+    match = people.match_people_nearest(people.matchable(people_side(t)), respondent_side(t), 8)
+    return _near_pairs(match, "MEPS_respondent", "Id", "Synthea_ID", "MEPS_ID")
+
+
 IMAGES_SQL = f"""
     fm AS (SELECT avg("age") AS m, stddev_samp("age") AS s FROM ({D.IMAGES_SQL}) WHERE "age" >= 18),
     ps AS (SELECT stddev_samp(datediff('day', "BIRTHDATE", DATE '2021-12-31') / 365.25::DOUBLE) AS s
@@ -293,6 +318,44 @@ def image_match(t):
     return people.match_images(people.matchup(match), usable(t, match), 9)
 
 
+_IMAGE_ROWS = """(SELECT id, "SEX", "RACETHX", round(age, 9) AS age, tr FROM (
+    SELECT "Synthea_ID" AS id, "SEX", "RACETHX", "AGELAST" AS age, 1 AS tr FROM mu
+    UNION ALL SELECT "filename", "SEX", "RACETHX", "AGELAST", 0 FROM fa))"""
+
+
+@query(f"""
+WITH RECURSIVE {MATCHUP_SQL}, {IMAGES_SQL}, {nearest_sql(_IMAGE_ROWS, "(\"SEX\" || '|' || \"RACETHX\")", 'tr', 'id', 'age',
+                                                         draw_sql(9, 'id'), 4)}
+SELECT control AS filename, treated AS "Synthea_ID", {_NEAR_COLUMNS}
+""")
+def image_nearest(t):
+    """Four images of the same sex and race group for each person, nearest in age."""
+    match = materialize(matched(t))
+    rounded = F.round("AGELAST", 9)
+    near = people.match_images_nearest(people.matchup(match).withColumn("AGELAST", rounded),
+                                       usable(t, match).withColumn("AGELAST", rounded), 9, 4)
+    return _near_pairs(near, "final_database", "id", "filename", "Synthea_ID")
+
+
+_IMAGE_FLAGS = f"""
+    fw AS (SELECT *, CASE WHEN tr = 1 THEN 1.0::DOUBLE ELSE (sum(1 - tr) OVER ()) / CAST(sum(tr) OVER () AS DOUBLE)
+             / sum(1 - tr) OVER (PARTITION BY "SEX", "RACETHX", "AGE_GRP_9", slot) END AS w
+           FROM (SELECT *, CASE WHEN tr = 1 THEN r ELSE r % nt END AS slot,
+                        sum(1 - tr) OVER (PARTITION BY "SEX", "RACETHX", "AGE_GRP_9") AS nf FROM fr)
+           WHERE nt > 0 AND ((tr = 1 AND r < nf) OR (tr = 0 AND r < 20 * nt)))"""
+
+
+@query(f"WITH {MATCHUP_SQL}, {IMAGES_SQL}, {IMAGE_MATCH_SQL}, {_IMAGE_FLAGS} " + _balance_sql(people.IMAGE_KEYS, 'fb', 'fw', 'tr'))
+def image_balance(t):
+    """Balance of the three keys of the images before and after their match to people."""
+    match = materialize(matched(t))
+    both = materialize(people.image_input(people.matchup(match), usable(t, match)))
+    after = stratum_match(both, people.IMAGE_KEYS, "final_database", "Synthea_ID", people.IMAGE_RATIO, 9)
+    table = balance(both, materialize(after), people.IMAGE_KEYS, "final_database")
+    shown = ("treated_all", "control_all", "treated_matched", "control_matched")
+    return table.select("covariate", "level", *[F.round(c, 9).alias(c) for c in shown])
+
+
 @query(f"""
 WITH {MATCHUP_SQL}, {IMAGES_SQL}, {IMAGE_MATCH_SQL}
 SELECT mu."MEPS_ID", mu."Synthea_ID", ff."filename", {TITLE_SQL.format(c='mu."RACETHX"')} AS "RACETHX", mu."AGE_GRP_9",

@@ -8,10 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import dates, draws, nulls, quantiles, recode, text
-from ..operators import (aggregates, balance, choice, codes, columns, joins, matching, nearest, ranks, reshape,
+from ..operators import (aggregates, balance, choice, codes, columns, intervals, joins, matching, nearest, ranks, reshape,
                          running, sampling, survey)
 from ..session import shared_folder
 from ..sources import readers, writers
+from .derived import select, select_sql
 from .registry import draw_sql, nearest_sql, query
 
 PART_TYPE = {"click": "ECONOMY", "view": "LARGE", "purchase": "SMALL", "signup": "PROMO", "error": "STANDARD"}
@@ -258,6 +259,49 @@ def payer_as_of(t):
                        F.col("s_n_name").alias("second_name"), F.col("s_n_regionkey").alias("second_region"))
 
 
+# Spells of a customer start with an order; the customers of one segment share a key and have short spells.
+_SPELL = {
+    "holder": "CASE WHEN c_mktsegment = 'BUILDING' THEN -1 ELSE c_custkey END",
+    "spell": "o_orderkey", "payer": "'R' || CAST(o_orderkey % 5 AS STRING)",
+    "starts": "CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderdate AS DATE) END",
+    "ends": "CAST(o_orderdate AS DATE) + CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN o_orderkey % 3 - 1 "
+            "ELSE o_orderkey % 1100 END AS INT)",
+}
+_VISIT = {
+    "holder": _SPELL["holder"], "l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber",
+    "visit": "CASE WHEN l_linenumber < 7 THEN CAST(l_shipdate AS DATE) END",
+}
+_SPELLS_SQL = select_sql("orders JOIN customer ON o_custkey = c_custkey", _SPELL)
+_VISITS_SQL = select_sql("lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey", _VISIT)
+
+
+def spells_and_visits(t):
+    held = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return select(held, _SPELL), select(held.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")), _VISIT)
+
+
+@query(f"""
+SELECT v.holder, l_orderkey, l_linenumber, visit, spell, payer, starts, ends
+FROM ({_VISITS_SQL}) v JOIN ({_SPELLS_SQL}) s ON v.holder = s.holder AND visit BETWEEN starts AND ends
+""")
+def payer_each_visit(t):
+    """The payer spells in force on the own day of each visit; one holder has a fifth of both sides."""
+    spells, visits = spells_and_visits(t)
+    return intervals.interval_join(visits, spells, ["holder"], "visit", "starts", "ends")
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, count(spell) AS spells, min(spell) AS first_spell
+FROM ({_VISITS_SQL}) v LEFT JOIN ({_SPELLS_SQL}) s ON v.holder = s.holder AND visit BETWEEN starts AND ends GROUP BY 1, 2
+""")
+def payers_counted(t):
+    """Every visit with the number of its spells, none for a visit without a day."""
+    spells, visits = spells_and_visits(t)
+    both = intervals.interval_join(visits, spells, ["holder"], "visit", "starts", "ends", "left")
+    return both.groupBy("l_orderkey", "l_linenumber").agg(
+        F.count("spell").alias("spells"), F.min("spell").alias("first_spell"))
+
+
 @query("""
 SELECT c.n AS nation, c.name AS name_x, c.bal AS bal_x, s.name AS name_y, s.bal AS bal_y
 FROM (SELECT c_nationkey AS n, c_name AS name, c_acctbal AS bal FROM customer) c

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw32
-from .hot import PART, PARTS, hot_groups, split_hot
+from .running import running_totals
 
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name_to: str = "name",
@@ -19,10 +19,19 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name_to: s
 COPIES = 10_000  # equal rows that are written out together
 
 
+def parts(df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[str], rows: int, to: str = "part") -> DataFrame:
+    """Number the rows of each group, in the order of a draw, in parts of `rows` rows; the last part may be shorter.
+
+    One rule for groups of every size, and no task holds a whole group.
+    """
+    counted = running_totals(df, keys, draw, ties, {"__row": F.lit(1).cast("long")})
+    return counted.withColumn(to, F.floor(F.col("__row_before") / rows)).drop("__row", "__row_before", "__row_total")
+
+
 def nest(df: DataFrame, keys: Sequence[str], items: Sequence[str], target_rows: int = 100_000) -> DataFrame:
     """Group rows into arrays `data` of structs, sorted, with a `part` number.
 
-    A group above `target_rows` becomes several parts, so no array grows with the whole group.
+    Every part holds `target_rows` rows but the last of a group, so no array grows with the group.
     Equal rows are folded to a count first and every copy gets a draw of its own, so they are cut, too.
     """
     folded = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("__copies"))
@@ -30,8 +39,7 @@ def nest(df: DataFrame, keys: Sequence[str], items: Sequence[str], target_rows:
     last = F.least(F.col("__first") + F.lit(COPIES - 1), F.col("__copies") - 1)
     copies = blocks.withColumn("__copy", F.explode(F.sequence("__first", last)))
     placed = copies.withColumn("__draw", draw32("nest", *items, "__copy"))
-    parts = split_hot(placed, keys, "__draw", hot_groups(df, keys, target_rows)).drop(PARTS)
-    return parts.groupBy(*keys, F.col(PART).alias("part")).agg(
+    return parts(placed, keys, "__draw", [*items, "__copy"], target_rows).groupBy(*keys, "part").agg(
         F.sort_array(F.collect_list(F.struct(*items))).alias("data")
     )
 

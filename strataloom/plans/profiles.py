@@ -1,7 +1,7 @@
-"""Profile sections for many people at once.
+"""Profile sections for many people at once, as flat tables and as one document per person.
 
-Each section is a flat table keyed by the person. There is no loop over people and no list is
-collected per person, so a person with very many rows is no special case.
+Each section is a flat table keyed by the person; there is no loop over people. Documents hold the
+sections as arrays of bounded length, so a person with very many rows is no special case.
 """
 
 from __future__ import annotations
@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.draws import draw32
 from ..functions.text import counted, dollars, possessive, pronouns, wrap
 from ..operators.aggregates import count_or_zero
 from ..operators.columns import relocate, total_row
+from ..operators.reshape import parts
 from ..operators.sampling import sample_ids
 from ..session import materialize
 
@@ -19,6 +21,13 @@ from ..session import materialize
 IMAGE_FOLDER = "./etc/faces/"
 EVERYBODY = "...all US residents age 18 and up"
 SCORE_TITLE = "Elixhauser Risk Score (total sum of comorbidity contributions)"
+# Sentences on the number of rows: none, one, many, and what stands before a number.
+CONDITION_TEXT = (" did not receive a diagnosis for any medical conditions in 2021.",
+                  "medical condition in 2021.", "medical conditions in 2021.", " received a diagnosis for ")
+DRUG_TEXT = (" did not take any prescribed drugs in 2021.", "prescribed drug in 2021.", "prescribed drugs in 2021.", " took ")
+COMORBIDITY_TEXT = (" did not receive a diagnosis in 2021 that maps to any Elixhauser Comorbidity categories.",
+                    "Elixhauser Comorbidity category.", "Elixhauser Comorbidity categories.",
+                    " received a diagnosis in 2021 for ")
 # Display names of the sections.
 CONDITION_LABELS = {
     "ICD10CM_Pretty": "ICD-10-CM Diagnosis Code",
@@ -61,12 +70,14 @@ def _of(persons: DataFrame, rows: DataFrame, person: str) -> DataFrame:
     return rows.join(ids, person, "left_semi")
 
 
+def _counted_text(n: str, none: str, one: str, many: str, lead: str) -> Column:
+    some = F.concat(F.col("FIRST"), F.lit(lead), F.col(n).cast("string"), F.lit(" unique "))
+    return counted(n, F.concat(F.col("FIRST"), F.lit(none)), F.concat(some, F.lit(one)), F.concat(some, F.lit(many)))
+
+
 def _sentence(persons: DataFrame, rows: DataFrame, none: str, one: str, many: str, lead: str) -> DataFrame:
     counts = count_or_zero(persons, _of(persons, rows, "MEPS_ID"), "MEPS_ID", "__n")
-    some = F.concat(F.col("FIRST"), F.lit(lead), F.col("__n").cast("string"), F.lit(" unique "))
-    text = counted("__n", F.concat(F.col("FIRST"), F.lit(none)), F.concat(some, F.lit(one)),
-                   F.concat(some, F.lit(many)))
-    return counts.select("Synthea_ID", F.col("__n").alias("rows"), text.alias("sentence"))
+    return counts.select("Synthea_ID", F.col("__n").alias("rows"), _counted_text("__n", none, one, many, lead).alias("sentence"))
 
 
 def condition_rows(persons: DataFrame, detail: DataFrame) -> DataFrame:
@@ -75,11 +86,7 @@ def condition_rows(persons: DataFrame, detail: DataFrame) -> DataFrame:
 
 
 def condition_sentence(persons: DataFrame, detail: DataFrame) -> DataFrame:
-    return _sentence(
-        persons, detail.select(F.col("DUPERSID").alias("MEPS_ID")),
-        " did not receive a diagnosis for any medical conditions in 2021.",
-        "medical condition in 2021.", "medical conditions in 2021.", " received a diagnosis for ",
-    )
+    return _sentence(persons, detail.select(F.col("DUPERSID").alias("MEPS_ID")), *CONDITION_TEXT)
 
 
 def drug_rows(persons: DataFrame, detail: DataFrame) -> DataFrame:
@@ -96,10 +103,7 @@ def drug_money(rows: DataFrame) -> DataFrame:
 
 
 def drug_sentence(persons: DataFrame, detail: DataFrame) -> DataFrame:
-    return _sentence(
-        persons, detail.select(F.col("ID").alias("MEPS_ID")), " did not take any prescribed drugs in 2021.",
-        "prescribed drug in 2021.", "prescribed drugs in 2021.", " took ",
-    )
+    return _sentence(persons, detail.select(F.col("ID").alias("MEPS_ID")), *DRUG_TEXT)
 
 
 def peer_comparison(persons: DataFrame, own: DataFrame, own_value: str, means: dict[str, DataFrame],
@@ -155,27 +159,81 @@ def comorbidity_rows(persons: DataFrame, detail: DataFrame) -> DataFrame:
 
 def comorbidity_sentence(persons: DataFrame, detail: DataFrame) -> DataFrame:
     held = detail.where("Field_Name <> 'score' AND Field_Value <> 0")
-    return _sentence(
-        persons, held.select(F.col("DUPERSID").alias("MEPS_ID")),
-        " did not receive a diagnosis in 2021 that maps to any Elixhauser Comorbidity categories.",
-        "Elixhauser Comorbidity category.", "Elixhauser Comorbidity categories.",
-        " received a diagnosis in 2021 for ",
-    )
+    return _sentence(persons, held.select(F.col("DUPERSID").alias("MEPS_ID")), *COMORBIDITY_TEXT)
+
+
+PART_ROWS = 1_000  # rows of a section in one row of the documents
+
+
+def _sections(persons: DataFrame, dx: DataFrame, drugs: DataFrame, comorbidities: DataFrame) -> DataFrame:
+    """The rows of the three lists as one table: respondent, section, and the row as a struct in the section's column."""
+    def tagged(rows: DataFrame, section: str, *fields: Column) -> DataFrame:
+        return rows.select("MEPS_ID", F.lit(section).alias("section"), F.struct(*fields).alias(section))
+
+    drug = drug_rows(persons, drugs)
+    score = F.col("position").cast("int")
+    return tagged(condition_rows(persons, dx), "conditions", *[F.col(f"`{c}`") for c in CONDITION_LABELS.values()]).unionByName(
+        tagged(drug, "drugs", (F.col(f"`{DRUG_LABELS['RXNAME']}`") == "Total").cast("int").alias("position"),
+               *[F.col(f"`{c}`") for c in DRUG_LABELS.values()]), allowMissingColumns=True).unionByName(
+        tagged(comorbidity_rows(persons, comorbidities), "comorbidities", score.alias("position"),
+               F.col("Elixhauser Comorbidity"), F.col("Elixhauser Score Contribution")), allowMissingColumns=True)
+
+
+def documents(persons: DataFrame, dx: DataFrame, drugs: DataFrame, use: DataFrame, means: dict[str, DataFrame],
+              comorbidities: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """The profile of each person as one row: header, sentences, and the sections as sorted arrays of structs.
+
+    The lists travel as one tagged table with one grouping by respondent. A list of more than
+    `part_rows` rows goes on in rows of the same person with a higher `part`; header, sentences and
+    peer lines stand in part 0. A section without rows is an empty array.
+    """
+    lists = ("conditions", "drugs", "comorbidities")
+    rows = _sections(persons, dx, drugs, comorbidities)
+    rows = rows.withColumn("__draw", draw32("profile", *[F.to_json(F.col(c)) for c in lists]))
+    cut = parts(rows, ["MEPS_ID", "section"], "__draw", [F.to_json(c) for c in lists], part_rows)
+    grouped = materialize(cut.groupBy("MEPS_ID", "part").agg(
+        *[F.sort_array(F.collect_list(c)).alias(c) for c in lists],
+        F.count("conditions").alias("n_conditions"), F.count_if(F.col("drugs.position") == 0).alias("n_drugs"),
+        F.count_if(F.col("comorbidities.position") == 0).alias("n_comorbidities")))
+    counts = grouped.groupBy("MEPS_ID").agg(*[F.sum(f"n_{c}").alias(f"n_{c}") for c in lists])
+    known = persons.join(counts, "MEPS_ID", "left").na.fill(0, [f"n_{c}" for c in lists])
+    texts = known.select("Synthea_ID", *[
+        _counted_text(f"n_{c}", *text).alias(f"{c}_text")
+        for c, text in zip(lists, (CONDITION_TEXT, DRUG_TEXT, COMORBIDITY_TEXT))], *[f"n_{c}" for c in lists])
+    # The three lines of a peer comparison fit one value.
+    peers = [peer_comparison(persons, use, own, means, measure).groupBy("Synthea_ID").agg(
+        F.sort_array(F.collect_list(F.struct("position", "breakout", measure, f"{measure}_low", f"{measure}_upp", "own_value")))
+        .alias(name)) for name, own, measure in (("use", "RXTOTYY", "mean_util"), ("spending", "RXSLFYY", "mean_oop_spend"))]
+    first = header(persons).join(texts, "Synthea_ID")
+    for table in peers:
+        first = first.join(table, "Synthea_ID", "left")
+    own = first.columns[2:]
+    empty = {c: F.coalesce(F.col(c), F.array().cast(grouped.schema[c].dataType)) for c in lists}
+    first = first.join(grouped.where("part = 0").select("MEPS_ID", *lists), "MEPS_ID", "left").select(
+        "Synthea_ID", "MEPS_ID", F.lit(0).cast("long").alias("part"), *own, *[x.alias(c) for c, x in empty.items()])
+    more = persons.select("Synthea_ID", "MEPS_ID").join(grouped.where("part > 0").select("MEPS_ID", "part", *lists), "MEPS_ID")
+    return first.unionByName(more, allowMissingColumns=True)
+
+
+def sections(persons: DataFrame, dx: DataFrame, drugs: DataFrame, use: DataFrame, means: dict[str, DataFrame],
+             comorbidities: DataFrame) -> dict[str, DataFrame]:
+    """All sections as flat tables. Sections without rows are simply empty for a person."""
+    return {
+        "header": header(persons),
+        "conditions": condition_rows(persons, dx),
+        "conditions_text": condition_sentence(persons, dx),
+        "drugs": drug_rows(persons, drugs),
+        "drugs_text": drug_sentence(persons, drugs),
+        "use": peer_comparison(persons, use, "RXTOTYY", means, "mean_util"),
+        "spending": peer_comparison(persons, use, "RXSLFYY", means, "mean_oop_spend"),
+        "comorbidities": comorbidity_rows(persons, comorbidities),
+        "comorbidities_text": comorbidity_sentence(persons, comorbidities),
+    }
 
 
 def profiles(persons: DataFrame, dx: DataFrame, drugs: DataFrame, use: DataFrame, means: dict[str, DataFrame],
-             comorbidities: DataFrame, n: int, seed: int | str) -> dict[str, DataFrame]:
-    """All sections for up to n sampled people. Sections without rows are simply empty for a person."""
+             comorbidities: DataFrame, n: int, seed: int | str, part_rows: int = PART_ROWS) -> DataFrame:
+    """`documents` of up to n sampled people, with their numbers `n`."""
     chosen = materialize(sampled_people(persons, n, seed))
-    return {
-        "people": chosen.select("n", "Synthea_ID", "MEPS_ID"),
-        "header": header(chosen),
-        "conditions": condition_rows(chosen, dx),
-        "conditions_text": condition_sentence(chosen, dx),
-        "drugs": drug_rows(chosen, drugs),
-        "drugs_text": drug_sentence(chosen, drugs),
-        "use": peer_comparison(chosen, use, "RXTOTYY", means, "mean_util"),
-        "spending": peer_comparison(chosen, use, "RXSLFYY", means, "mean_oop_spend"),
-        "comorbidities": comorbidity_rows(chosen, comorbidities),
-        "comorbidities_text": comorbidity_sentence(chosen, comorbidities),
-    }
+    table = documents(chosen, dx, drugs, use, means, comorbidities, part_rows)
+    return chosen.select("Synthea_ID", "n").join(table, "Synthea_ID")

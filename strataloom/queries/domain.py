@@ -805,6 +805,92 @@ def profile_comorbidities_text(t):
     return profiles.comorbidity_sentence(persons(t), risk.comorbidity_detail(detail(t)))
 
 
+def _money(c: str, places: int = 2) -> str:
+    return f"coalesce(CAST(CAST({c} AS DECIMAL(18,{places})) AS VARCHAR), '')"
+
+
+def _shown_sql(fields, order, person, source, name):
+    return f"""(SELECT {person} AS id, string_agg({" || '|' || ".join(fields)}, '; ' ORDER BY {order}) AS {name}, count(*) AS k
+        FROM {source} GROUP BY 1)"""
+
+
+_DOCUMENTS_SQL = f"""
+    pcd AS {_shown_sql([f"coalesce(CAST({c} AS VARCHAR), '')" for c in ('"ICD10CM_Pretty"', '"ICD10_DSC"', '"Age_Diag"')],
+                      ', '.join(f'{c} NULLS FIRST' for c in ('"ICD10CM_Pretty"', '"ICD10_DSC"', '"CCSR_DSC"', '"CHRONIC_IND"', '"Age_Diag"')),
+                      '"DUPERSID"', 'dx', 'conditions')},
+    pdd AS (SELECT "ID", "RXNAME", yrs_on_rx, count_unique, cost_oop, cost_plan, cost_tot FROM ({DRUG_DETAIL_SQL})),
+    pdu AS (SELECT 0 AS p, * FROM pdd UNION ALL SELECT 1, "ID", 'Total', NULL, CAST(sum(count_unique) AS BIGINT), NULL, NULL,
+             CASE WHEN count(cost_tot) = count(*) THEN sum(cost_tot) END FROM pdd GROUP BY "ID"),
+    pds AS {_shown_sql(['"RXNAME"', "CAST(count_unique AS VARCHAR)", _money('cost_tot')], ', '.join(f'{c} NULLS FIRST' for c in
+                      ('p', '"RXNAME"', 'yrs_on_rx', 'count_unique', 'cost_oop', 'cost_plan', 'cost_tot')), '"ID"', 'pdu', 'drugs')},
+    pcm AS (SELECT "DUPERSID", CASE "Field_Name" WHEN 'score' THEN 1 ELSE 0 END AS p,
+             CASE "Field_Name" WHEN 'score' THEN 'Score' ELSE "Field_DSC_Short" END AS c,
+             CASE "Field_Name" WHEN 'score' THEN "Field_Value" ELSE vw_weights END AS w
+           FROM rk WHERE "Field_Name" = 'score' OR "Field_Value" <> 0),
+    pcs AS {_shown_sql(['c', 'CAST(w AS VARCHAR)'], 'p, c, w NULLS FIRST', '"DUPERSID"', 'pcm', 'comorbidities')},
+    pus AS (SELECT "Synthea_ID" AS id, string_agg(position || '|' || {_money('mean_util', 6)} || '|' || coalesce(CAST(own_value AS VARCHAR), ''), '; '
+             ORDER BY position) AS uses FROM ({_peers_sql("mean_util", "RXTOTYY")}) GROUP BY 1)"""
+
+
+def _documents_sql(rows: str) -> str:
+    return f"""
+SELECT n, s."Synthea_ID", s."MEPS_ID", CAST(0 AS BIGINT) AS part, "PREFIX" || ' ' || "FIRST" || ' ' || "LAST" AS name,
+  coalesce(pcd.k, 0) AS n_conditions, coalesce(pds.k - 1, 0) AS n_drugs, coalesce(pcs.k - 1, 0) AS n_comorbidities,
+  "FIRST" || CASE WHEN pds.k IS NULL THEN ' did not take any prescribed drugs in 2021.' WHEN pds.k = 2 THEN ' took 1 unique prescribed drug in 2021.'
+                  ELSE ' took ' || (pds.k - 1) || ' unique prescribed drugs in 2021.' END AS drugs_text,
+  coalesce(conditions, '') AS conditions, coalesce(drugs, '') AS drugs, coalesce(comorbidities, '') AS comorbidities, uses
+FROM ({rows}) s LEFT JOIN pcd ON pcd.id = "MEPS_ID" LEFT JOIN pds ON pds.id = "MEPS_ID" LEFT JOIN pcs ON pcs.id = "MEPS_ID"
+LEFT JOIN pus ON pus.id = s."Synthea_ID"
+"""
+
+
+def _documents_shown(table):
+    """The nested columns as text, for the comparison with SQL."""
+    def text(column, *fields):
+        def line(x):
+            return F.concat_ws("|", *[F.coalesce(f(x).cast("string"), F.lit("")) for f in fields])
+
+        return F.array_join(F.transform(column, line), "; ").alias(column)
+
+    def field(name):
+        return lambda x: x[name]
+
+    def money(name, places=2):
+        return lambda x: x[name].cast(f"decimal(18,{places})")
+
+    score = F.lit(profiles.SCORE_TITLE.split()[0])
+    return table.select(
+        "n", "Synthea_ID", "MEPS_ID", "part", "name", "n_conditions", "n_drugs", "n_comorbidities", "drugs_text",
+        text("conditions", *map(field, ("ICD-10-CM Diagnosis Code", "Specific Diagnosis", "Age when first diagnosed"))),
+        text("drugs", field("Drug Name"), field("Number of purchases in 2021"), money("Total cost")),
+        text("comorbidities", lambda x: F.when(x["Elixhauser Comorbidity"].startswith(score), "Score").otherwise(x["Elixhauser Comorbidity"]),
+             field("Elixhauser Score Contribution")),
+        text("use", field("position"), money("mean_util", 6), field("own_value")).alias("uses"))
+
+
+def _profile_inputs(t):
+    use, dx = materialize(drug_people(t)), materialize(detail(t))
+    means = {cut: _round_means(table, cut) for cut, table in drugs.all_drug_means(use).items()}
+    return persons(t), dx, drugs.drug_detail(purchases(t)), use, means, risk.comorbidity_detail(dx)
+
+
+_SAMPLED_SQL = f"""SELECT CAST(row_number() OVER (ORDER BY "Synthea_ID") AS INTEGER) AS n, * FROM (
+    SELECT * FROM ({PERSONS_SQL}) ORDER BY {draw_sql(13, '"Synthea_ID"')}, "Synthea_ID" LIMIT 200)"""
+
+
+@query(f"WITH {COMPLETED_SQL}, {DETAIL_SQL}, {RISK_SQL}, {_DOCUMENTS_SQL} " + _documents_sql(_SAMPLED_SQL))
+def profile_documents(t):
+    """One document for each of 200 sampled people."""
+    return _documents_shown(profiles.profiles(*_profile_inputs(t), 200, 13))
+
+
+@query(f"WITH {COMPLETED_SQL}, {DETAIL_SQL}, {RISK_SQL}, {_DOCUMENTS_SQL} "
+       + _documents_sql(f"SELECT CAST(NULL AS INTEGER) AS n, * FROM ({PERSONS_SQL})"))
+def profile_documents_all(t):
+    """One document for every person."""
+    return _documents_shown(profiles.documents(*_profile_inputs(t)).withColumn("n", F.lit(None).cast("int")))
+
+
 # ---- every comorbidity class -------------------------------------------------------------------
 
 # Codes, classes and weights are typed here apart from the lookup tables. A code may count for several classes.

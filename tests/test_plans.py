@@ -326,9 +326,8 @@ def test_profiles(spark, drug_people, purchases, completed):
     _, dx = completed
     detail = drugs.drug_detail(purchases)
     means = {cut: drugs.drug_means(drug_people, cut) for cut in drugs.CUTS}
-    made = profiles.profiles(persons, dx, detail, drug_people, means, risk.comorbidity_detail(dx), 200, 1)
-    out = {name: df.collect() for name, df in made.items()}
-    assert sorted(r.n for r in out["people"]) == [1, 2, 3]
+    tables = (dx, detail, drug_people, means, risk.comorbidity_detail(dx))
+    out = {name: df.collect() for name, df in profiles.sections(persons, *tables).items()}
     head = {r.Synthea_ID: r for r in out["header"]}["s1"]
     assert (head.name, head.possessive_name, head.obj_pronoun, head.pos_pronoun, head.age) == (
         "Dr. Chris Who", "Chris'", "her", "her", 44)
@@ -348,3 +347,15 @@ def test_profiles(spark, drug_people, purchases, completed):
     assert next(r for r in use if r.position == 3).mean_util == pytest.approx(means["all"].first().mean_util)
     risks = [r for r in out["comorbidities"] if r.MEPS_ID == "u2021"]
     assert [r.position for r in sorted(risks, key=lambda r: r.position)][-1] == 1
+    # The documents hold the same rows; with parts of one row a list goes on in further rows.
+    whole = {r.Synthea_ID: r for r in profiles.profiles(persons, *tables, 200, 1).collect()}
+    assert sorted(r.n for r in whole.values()) == [1, 2, 3] and all(r.part == 0 for r in whole.values())
+    assert [x["Drug Name"] for x in whole["s1"].drugs] == ["A", "B", "Total"] and whole["s3"].drugs == []
+    assert whole["s1"].drugs_text == said["drugs_text"]["s1"] and whole["s1"].name == head.name
+    assert {tuple(x) for x in whole["s2"].conditions} == {tuple(r)[1:] for r in out["conditions"] if r.MEPS_ID == "u2021"}
+    assert [x.position for x in whole["s1"].use] == [1, 2, 3] and whole["s1"].use[2].own_value == 1
+    assert whole["s2"].comorbidities[-1].position == 1
+    cut = profiles.documents(persons, *tables, part_rows=1).where("Synthea_ID = 's1'").orderBy("part").collect()
+    assert [r.part for r in cut] == [0, 1, 2] and [r.name is None for r in cut] == [False, True, True]
+    assert sorted(x["Drug Name"] for r in cut for x in r.drugs) == ["A", "B", "Total"] and all(len(r.drugs) == 1 for r in cut)
+    assert cut[0].n_drugs == 2 and cut[0].drugs_text == said["drugs_text"]["s1"]

@@ -36,27 +36,35 @@ def levels(df: DataFrame, covariates: Sequence[str], score: str) -> DataFrame:
         F.sum("w").alias("scores"))
 
 
-def ecdf_balance(df: DataFrame, value: str, treated: str, weight=None) -> DataFrame:
-    """Mean and largest difference of the two weighted distribution functions over the distinct values.
+def ecdf_balances(df: DataFrame, values: Sequence[str], treated: str, weight=None) -> DataFrame:
+    """Per numeric covariate, mean and largest difference of the two weighted distribution functions over its distinct values.
 
-    Rows fold to distinct values, which are written in ranges; ranges are added up one after
-    another, so no task holds all values.
+    Rows fold to distinct values of each covariate, which are written in ranges; ranges are added up
+    one after another, so no task holds all values. Missing values are left out. A covariate without
+    values on one side has NULL figures; one without any has no row.
     """
     w = F.lit(1.0) if weight is None else F.col(weight)
-    side = F.col(treated)
-    folded = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(
-        F.coalesce(F.sum(F.when(side == 1, w)), F.lit(0.0)).alias("t"),
-        F.coalesce(F.sum(F.when(side == 0, w)), F.lit(0.0)).alias("c"))
-    ranged = materialize(materialize(folded).repartitionByRange("v").withColumn("__range", F.spark_partition_id()))
-    totals = ranged.groupBy("__range").agg(F.sum("t").alias("rt"), F.sum("c").alias("rc"))
-    before, whole = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
-    starts = totals.select(  # one row per shuffle partition
-        "__range", F.coalesce(F.sum("rt").over(before), F.lit(0.0)).alias("t0"), F.sum("rt").over(whole).alias("nt"),
-        F.coalesce(F.sum("rc").over(before), F.lit(0.0)).alias("c0"), F.sum("rc").over(whole).alias("nc"))
-    inside = W.partitionBy("__range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    steps = ranged.withColumns({"t1": F.sum("t").over(inside), "c1": F.sum("c").over(inside)}).join(starts, "__range")
-    gap = F.abs((F.col("t0") + F.col("t1")) / F.col("nt") - (F.col("c0") + F.col("c1")) / F.col("nc"))
-    return steps.agg(F.avg(gap).alias("ecdf_mean"), F.max(gap).alias("ecdf_max")).withColumn("covariate", F.lit(value))
+    long = df.select(F.col(treated).alias("__side"), w.cast("double").alias("__w"), *[F.col(v).cast("double").alias(v) for v in values])
+    folded = long.unpivot(["__side", "__w"], list(values), "covariate", "v").where("v IS NOT NULL").groupBy("covariate", "v").agg(
+        F.coalesce(F.sum(F.when(F.col("__side") == 1, F.col("__w"))), F.lit(0.0)).alias("t"),
+        F.coalesce(F.sum(F.when(F.col("__side") == 0, F.col("__w"))), F.lit(0.0)).alias("c"))
+    by = ["covariate", "v"]
+    ranged = materialize(materialize(folded).repartitionByRange(*by).withColumn("__range", F.spark_partition_id()))
+    totals = ranged.groupBy("covariate", "__range").agg(F.sum("t").alias("rt"), F.sum("c").alias("rc"))
+    each = W.partitionBy("covariate")
+    before = each.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select(  # a row per covariate and range
+        "covariate", "__range", F.coalesce(F.sum("rt").over(before), F.lit(0.0)).alias("t0"), F.sum("rt").over(each).alias("nt"),
+        F.coalesce(F.sum("rc").over(before), F.lit(0.0)).alias("c0"), F.sum("rc").over(each).alias("nc"))
+    inside = W.partitionBy("covariate", "__range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    steps = ranged.withColumns({"t1": F.sum("t").over(inside), "c1": F.sum("c").over(inside)}).join(starts, ["covariate", "__range"])
+    gap = F.abs((F.col("t0") + F.col("t1")) / F.nullif(F.col("nt"), F.lit(0.0)) - (F.col("c0") + F.col("c1")) / F.nullif(F.col("nc"), F.lit(0.0)))
+    return steps.groupBy("covariate").agg(F.avg(gap).alias("ecdf_mean"), F.max(gap).alias("ecdf_max"))
+
+
+def ecdf_balance(df: DataFrame, value: str, treated: str, weight=None) -> DataFrame:
+    """`ecdf_balances` of one covariate."""
+    return ecdf_balances(df, [value], treated, weight).select("ecdf_mean", "ecdf_max", "covariate")
 
 
 def balance(df: DataFrame, matched: DataFrame, covariates: Sequence[str], treated: str,
@@ -89,36 +97,51 @@ def balance(df: DataFrame, matched: DataFrame, covariates: Sequence[str], treate
     )
 
 
+def numeric_balances(df: DataFrame, values: Sequence[str], treated: str, weight=None) -> DataFrame:
+    """Weighted means, standardised difference and variance ratio of numeric covariates, a row for each.
+
+    A score is one more covariate. Each covariate leaves out its own missing values with their weights. A side
+    without values has NULL figures, and so has a ratio to a variance that is zero or, with less than two
+    rows, not known. The rows are read twice, whatever the number of covariates: for the means, about which
+    the sums stay small, and for all weighted central moments in one aggregate.
+    """
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    numbers = [F.col(v).cast("double") for v in values]
+    centres = df.agg(F.struct(*[F.coalesce(F.avg(x), F.lit(0.0)).alias(f"m{i}") for i, x in enumerate(numbers)]).alias("m")).scalar()
+    rows = df.select(F.col(treated).alias("__side"), w.alias("__w"), *[x.alias(f"__x{i}") for i, x in enumerate(numbers)])
+    rows = rows.withColumn("__centre", centres)
+    sums = {}
+    for i in range(len(values)):
+        d, w = F.col(f"__x{i}") - F.col(f"__centre.m{i}"), F.col("__w")
+        for side, flag in (("t", 1), ("c", 0)):
+            on = (F.col("__side") == flag) & F.col(f"__x{i}").isNotNull()
+            sums |= {f"{side}{i}_{name}": F.sum(F.when(on, term))
+                     for name, term in (("w", w), ("w2", w * w), ("s", w * d), ("q", w * d * d))}
+    folded = rows.agg(F.max("__centre").alias("__centre"), *[c.alias(n) for n, c in sums.items()])
+
+    def line(i: int, name: str):
+        def mean(side):
+            return F.col(f"{side}{i}_s") / F.nullif(F.col(f"{side}{i}_w"), F.lit(0.0))
+
+        def variance(side):
+            sw, sw2, q = (F.col(f"{side}{i}_{x}") for x in ("w", "w2", "q"))
+            return (q - sw * mean(side) * mean(side)) * sw / F.nullif(sw * sw - sw2, F.lit(0.0))
+
+        def positive(x):
+            return F.when(x > 1e-12 * F.col(f"t{i}_q"), x)  # what rounding leaves of equal values is no variance
+
+        centre = F.col(f"__centre.m{i}")
+        return F.struct(
+            F.lit(name).alias("covariate"), (mean("t") + centre).alias("treated_mean"), (mean("c") + centre).alias("control_mean"),
+            ((mean("t") - mean("c")) / F.sqrt(positive(variance("t")))).alias("std_diff"),
+            (variance("t") / F.when(variance("c") > 1e-12 * F.col(f"c{i}_q"), variance("c"))).alias("variance_ratio"))
+
+    return folded.select(F.inline(F.array(*[line(i, name) for i, name in enumerate(values)])))
+
+
 def numeric_balance(df: DataFrame, value: str, treated: str, weight=None) -> DataFrame:
-    """Weighted means, standardised difference and variance ratio of one numeric covariate."""
-    w = F.lit(1.0) if weight is None else F.col(weight)
-    # Moments about the overall mean keep the sums small.
-    rows = df.withColumn("__centre", F.coalesce(df.agg(F.avg(value)).scalar(), F.lit(0.0)))
-    rows = rows.withColumn("__d", F.col(value).cast("double") - F.col("__centre"))
-    d = F.col("__d")
-    sides = {}
-    for name, flag in (("t", 1), ("c", 0)):
-        on = F.col(treated) == flag
-        sides |= {
-            f"{name}w": F.sum(F.when(on, w)), f"{name}w2": F.sum(F.when(on, w * w)),
-            f"{name}s": F.sum(F.when(on, w * d)), f"{name}q": F.sum(F.when(on, w * d * d)),
-        }
-    sums = rows.agg(F.max("__centre").alias("__centre"), *[c.alias(n) for n, c in sides.items()])
-    centre = F.col("__centre")
-
-    def mean(s):
-        return F.col(f"{s}s") / F.col(f"{s}w")
-
-    def variance(s):
-        sw, sw2 = F.col(f"{s}w"), F.col(f"{s}w2")
-        return (F.col(f"{s}q") - sw * mean(s) * mean(s)) * sw / F.nullif(sw * sw - sw2, F.lit(0.0))
-
-    return sums.select(
-        F.lit(value).alias("covariate"),
-        (mean("t") + centre).alias("treated_mean"), (mean("c") + centre).alias("control_mean"),
-        ((mean("t") - mean("c")) / F.sqrt(variance("t"))).alias("std_diff"),
-        (variance("t") / variance("c")).alias("variance_ratio"),
-    )
+    """`numeric_balances` of one covariate."""
+    return numeric_balances(df, [value], treated, weight)
 
 
 def pattern_share(df: DataFrame, covariates: Sequence[str], treated: str, to: str = "distance") -> DataFrame:

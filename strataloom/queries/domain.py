@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.balance import balance, ecdf_balance, propensity
+from ..operators.balance import balance, ecdf_balance, ecdf_balances, numeric_balances, pattern_share, propensity
 from ..operators.codes import long_flags
+from ..operators.density import densities
 from ..operators.matching import matched_pairs, stratum_match
 from ..operators.ranks import normal_points
 from ..plans import diagnoses, drugs, people, profiles, risk
@@ -273,6 +274,72 @@ def people_nearest(t):
     return _near_pairs(match, "MEPS_respondent", "Id", "Synthea_ID", "MEPS_ID")
 
 
+_STAGES_SQL = f"""{MATCHUP_SQL}, {_WEIGHED}, {_SHARE_SQL},
+    st AS (SELECT 'all' AS stage, "MEPS_respondent" AS treated, 1.0::DOUBLE AS w, "AGELAST", "INCOME_PCT", score FROM sc
+           UNION ALL SELECT 'matched', mw."MEPS_respondent", mw.w, mw."AGELAST", mw."INCOME_PCT", score
+           FROM mw JOIN sc ON sc."Id" = mw."Id" AND sc."MEPS_respondent" = mw."MEPS_respondent"),
+    lg AS (SELECT stage, treated, w, 'AGELAST' AS covariate, "AGELAST" AS x FROM st WHERE "AGELAST" IS NOT NULL
+           UNION ALL SELECT stage, treated, w, 'INCOME_PCT', "INCOME_PCT" FROM st WHERE "INCOME_PCT" IS NOT NULL
+           UNION ALL SELECT stage, treated, w, 'score', score FROM st)"""
+_NUMERIC = ["AGELAST", "INCOME_PCT", "score"]
+
+
+def _scored_stages(t):
+    """All rows with the score of the six keys, and the matched ones."""
+    both = materialize(people.pool(people.matchable(people_side(t)), respondent_side(t)))
+    scored = materialize(pattern_share(both, people.PEOPLE_KEYS, "MEPS_respondent", "score"))
+    after = stratum_match(scored, people.PEOPLE_KEYS, "MEPS_respondent", "Id", people.PEOPLE_RATIO, 8)
+    return scored, materialize(after)
+
+
+@query(f"""
+WITH {_STAGES_SQL},
+me AS (SELECT *, sum(w * x) OVER k / sum(w) OVER k AS m, sum(w) OVER k AS sw, sum(w * w) OVER k AS sw2
+       FROM lg WINDOW k AS (PARTITION BY stage, covariate, treated)),
+va AS (SELECT stage, covariate, treated, any_value(m) AS m, sum(w * (x - m) ** 2) * any_value(sw) / nullif(any_value(sw) ** 2 - any_value(sw2), 0) AS v
+       FROM me GROUP BY 1, 2, 3),
+cu AS (SELECT stage, covariate, x, sum(w) FILTER (treated = 1) AS t, sum(w) FILTER (treated = 0) AS c FROM lg GROUP BY 1, 2, 3),
+ga AS (SELECT stage, covariate, abs(coalesce(sum(t) OVER o, 0) / sum(t) OVER k - coalesce(sum(c) OVER o, 0) / sum(c) OVER k) AS g FROM cu
+       WINDOW o AS (PARTITION BY stage, covariate ORDER BY x), k AS (PARTITION BY stage, covariate)),
+ec AS (SELECT stage, covariate, avg(g) AS e, max(g) AS f FROM ga GROUP BY 1, 2)
+SELECT a.stage, a.covariate, round(a.m, 6) AS treated_mean, round(b.m, 6) AS control_mean, round((a.m - b.m) / sqrt(a.v), 6) + 0.0 AS std_diff,
+  round(a.v / b.v, 6) AS variance_ratio, round(e, 6) AS ecdf_mean, round(f, 6) AS ecdf_max
+FROM va a JOIN va b ON a.stage = b.stage AND a.covariate = b.covariate AND a.treated = 1 AND b.treated = 0
+JOIN ec ON ec.stage = a.stage AND ec.covariate = a.covariate
+""")
+def people_numeric_balance(t):
+    """Score, age and income rank of both sides before and after the match."""
+    rows, after = _scored_stages(t)
+    out = None
+    for stage, frame, w in (("all", rows, None), ("matched", after, "weights")):
+        one = numeric_balances(frame, _NUMERIC, "MEPS_respondent", w).join(
+            ecdf_balances(frame, _NUMERIC, "MEPS_respondent", w), "covariate").withColumn("stage", F.lit(stage))
+        out = one if out is None else out.unionByName(one)
+    figures = ("treated_mean", "control_mean", "std_diff", "variance_ratio", "ecdf_mean", "ecdf_max")
+    return out.select("stage", "covariate", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in figures])
+
+
+@query(f"""
+WITH {_STAGES_SQL},
+sz AS (SELECT covariate, min(x) AS a, max(x) AS b, coalesce(nullif(0.9 * stddev_samp(x) * pow(count(*), -0.2), 0), 1) AS h
+       FROM lg WHERE stage = 'all' GROUP BY 1),
+gr AS (SELECT covariate, h, a - 3 * h AS low, (b + 3 * h - (a - 3 * h)) / 127 AS step FROM sz),
+ce AS (SELECT stage, covariate, treated, CAST(floor((x - low) / step) AS INTEGER) AS i, (x - low) / step - floor((x - low) / step) AS far, w
+       FROM lg JOIN gr USING (covariate)),
+ma AS (SELECT stage, covariate, treated, i, sum(m) AS m FROM (
+         SELECT stage, covariate, treated, i, w * (1 - far) AS m FROM ce UNION ALL SELECT stage, covariate, treated, i + 1, w * far FROM ce)
+       GROUP BY 1, 2, 3, 4)
+SELECT stage, covariate, CAST(treated AS INTEGER) AS treated, round(any_value(low) + j * any_value(step), 6) AS x,
+  round(sum(m * exp(-0.5 * ((j - i) * step / h) ** 2)) / (sum(m) * any_value(h) * sqrt(2 * pi())), 6) AS density
+FROM ma JOIN gr USING (covariate), (SELECT unnest(range(128)) AS j) GROUP BY stage, covariate, treated, j
+""")
+def people_densities(t):
+    """Curves of score, age and income rank of both sides before and after the match."""
+    rows, after = _scored_stages(t)
+    curves = densities({"all": (rows, None), "matched": (after, "weights")}, _NUMERIC, "MEPS_respondent")
+    return curves.select("stage", "covariate", "treated", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
+
+
 IMAGES_SQL = f"""
     fm AS (SELECT avg("age") AS m, stddev_samp("age") AS s FROM ({D.IMAGES_SQL}) WHERE "age" >= 18),
     ps AS (SELECT stddev_samp(datediff('day', "BIRTHDATE", DATE '2021-12-31') / 365.25::DOUBLE) AS s

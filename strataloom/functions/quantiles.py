@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import lru_cache
-from statistics import NormalDist
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,7 +31,6 @@ AS241_TAIL = (
     (2.04426310338993978564e-15, 1.4215117583164458887e-7, 1.8463183175100546818e-5, 7.868691311456132591e-4,
      0.0148753612908506148525, 0.13692988092273580531, 0.59983220655588793769, 1.0),
 )
-T_TABLE = 200  # degrees of freedom solved exactly; the expansion in 1/df takes over beyond
 
 
 def _horner(coefficients: Sequence[float], x: Column) -> Column:
@@ -65,23 +63,6 @@ def plotting_position(rank: Column, n: Column) -> Column:
     return (rank - a) / (n + F.lit(1.0) - F.lit(2.0) * a)
 
 
-def _t_central(t: float, df: int) -> float:
-    """P(|T| < t) for whole degrees of freedom, by the finite trigonometric series."""
-    theta = math.atan(t / math.sqrt(df))
-    cos2 = math.cos(theta) ** 2
-    if df % 2:
-        term, total = math.cos(theta), 0.0
-        for k in range(1, df - 1, 2):
-            total += term
-            term *= cos2 * (k + 1) / (k + 2)
-        return (theta + math.sin(theta) * total) * 2 / math.pi
-    term, total = 1.0, 0.0
-    for k in range(0, df - 1, 2):
-        total += term
-        term *= cos2 * (k + 1) / (k + 2)
-    return math.sin(theta) * total
-
-
 def _t_within(t: float, df: float) -> float:
     """P(|T| < t) for any degrees of freedom: a regularised incomplete beta function by its continued fraction."""
     x, a, b = t * t / (df + t * t), 0.5, df / 2
@@ -116,45 +97,51 @@ def t_quantile(level: float, df: float) -> float:
     return (low + high) / 2
 
 
-@lru_cache(maxsize=None)
-def t_quantiles(level: float, up_to: int = T_TABLE) -> tuple[float, ...]:
-    """Two-sided quantiles for 1..up_to degrees of freedom (Newton's method from the left)."""
-    z = NormalDist().inv_cdf((1 + level) / 2)
-    out = []
-    for df in range(1, up_to + 1):
-        scale = 2 * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
-        t = z
-        for _ in range(200):
-            density = scale * (1 + t * t / df) ** (-(df + 1) / 2)
-            step = (level - _t_central(t, df)) / density
-            t += step
-            if abs(step) < 1e-13 * t:
-                break
-        out.append(t)
-    return tuple(out)
+NODES = 96  # of the Gauss-Legendre rule
+SHIFT = 30  # steps up before the expansion of the gamma ratio
+# The expansion of gamma(n + 1/2) / (gamma(n) sqrt(n)) in powers of 1/n, highest power first.
+GAMMA_RATIO = (39325 / 33554432, 869 / 4194304, -399 / 262144, -21 / 32768, 5 / 1024, 1 / 128, -1 / 8, 1.0)
+
+
+def _gamma_ratio(n: Column) -> Column:
+    """gamma(n + 1/2) / gamma(n) for n >= 1/2."""
+    up = n + F.lit(float(SHIFT))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(SHIFT - 1)), lambda j: (n + j) / (n + j + F.lit(0.5)))
+    return F.sqrt(up) * _horner(GAMMA_RATIO, F.lit(1.0) / up) * F.aggregate(steps, F.lit(1.0), lambda a, x: a * x)
 
 
 def t_multiplier(df: Column | float, level: float = 0.95) -> Column:
-    """Half-width multiplier of a two-sided t interval. NULL below one degree of freedom.
+    """Half-width multiplier of a two-sided t interval, for any degrees of freedom from one on; NULL below.
 
-    A number may have any fraction; a column holds whole numbers, others are an error.
+    With t = sqrt(df) tan(u), the probability within t is an integral of cos^(df - 1) from 0 to u. It is
+    summed by one Gauss-Legendre rule, and u found by halving, in one expression for all degrees of freedom.
     """
     if not isinstance(df, Column):
         return F.lit(t_quantile(level, df) if df >= 1 else None).cast("double")
-    z = NormalDist().inv_cdf((1 + level) / 2)
-    table = F.expr("array(" + ", ".join(f"{t!r}D" for t in t_quantiles(level)) + ")")
-    inverse = F.lit(1.0) / df
-    # Cornish-Fisher terms of the t quantile in powers of 1/df.
-    series = _horner(
-        (
-            (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
-            (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
-            (5 * z**5 + 16 * z**3 + 3 * z) / 96,
-            (z**3 + z) / 4,
-            z,
-        ),
-        inverse,
-    )
-    whole = F.when(df != F.floor(df), F.raise_error(F.lit("t_multiplier: degrees of freedom are not whole")).cast("int"))
-    place = whole.otherwise(df.cast("int"))
-    return F.when(df > T_TABLE, series).when(df >= 1, F.element_at(table, place))
+    places, weights = np.polynomial.legendre.leggauss(NODES)
+    rule = F.expr("array(" + ", ".join(f"struct({(x + 1) / 2!r}D AS x, {w / 2!r}D AS w)" for x, w in zip(places.tolist(), weights.tolist())) + ")")
+    df = df.cast("double")
+    # One row of one struct, so that the factor before the integral is worked out once.
+    given = F.array(F.struct(df.alias("df"), (_gamma_ratio(df / 2) * F.lit(2 / math.sqrt(math.pi))).alias("front")))
+
+    def solved(g: Column) -> Column:
+        def within(u: Column) -> Column:
+            def term(p: Column) -> Column:
+                sine = F.sin(u * p["x"])
+                return p["w"] * F.exp((g["df"] - 1) / 2 * F.log1p(-sine * sine))
+
+            return g["front"] * u * F.aggregate(rule, F.lit(0.0), lambda a, p: a + term(p))
+
+        def halved(ends: Column, _: Column) -> Column:
+            # The middle is in relative steps while the lower end is far below, as u is small for many degrees of freedom.
+            middle = F.when(ends["low"] * 4 < ends["high"], F.sqrt(ends["low"] * ends["high"])).otherwise(
+                (ends["low"] + ends["high"]) / 2)
+            return F.transform(F.array(middle), lambda m: F.when(
+                within(m) < F.lit(level), F.struct(m.alias("low"), ends["high"].alias("high"))).otherwise(
+                F.struct(ends["low"].alias("low"), m.alias("high"))))[0]
+
+        start = F.struct(F.lit(1e-150).alias("low"), F.lit(math.pi / 2).alias("high"))
+        u = F.aggregate(F.sequence(F.lit(1), F.lit(75)), start, halved)
+        return F.sqrt(g["df"]) * F.tan((u["low"] + u["high"]) / 2)
+
+    return F.when(df >= 1, F.transform(given, solved)[0])

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +27,24 @@ def local_session(cpus: int | str = 8, app: str = "strataloom", memory: str = "8
     )
 
 
+_own: dict[str, str] = {}  # folders of applications on one machine that set none
+_jobs: list[str] = []  # folders of the open jobs, innermost last
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate tables: `spark.checkpoint.dir` of the session.
 
-    Only a session on one machine that sets none gets a fresh folder there, which ends with the process.
+    Only an application on one machine that sets none gets a fresh folder there, which ends with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        master = spark.sparkContext.master
+        master, app = spark.sparkContext.master, spark.sparkContext.applicationId
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="strataloom-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="strataloom-")
+            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
+        folder = _own[app]
     return folder.rstrip("/")
 
 
@@ -50,14 +57,34 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write `df` once as a table in the shared folder and read it back.
 
     For a result that several later steps use: the work before it is done once, survives the loss
-    of executors, and later steps prune its columns and know its size. `release` removes the tables.
+    of executors, and later steps prune its columns and know its size. The end of a `job`, or
+    `release`, removes the tables.
     """
-    path = f"{own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{_jobs[-1] if _jobs else own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """The owner of the tables that are written inside: they are removed at its end.
+
+    Write or collect results before that; what is still lazy can't be read afterwards.
+    """
+    folder = f"{own_folder(spark)}/job-{uuid.uuid4().hex}"
+    _jobs.append(folder)
+    try:
+        yield
+    finally:
+        _jobs.remove(folder)
+        _delete(spark, folder)
+
+
 def release(spark: SparkSession) -> None:
     """Remove all tables that this application has written in between; results built on them end with them."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    _delete(spark, own_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)  # Spark's Python interface can't remove files
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

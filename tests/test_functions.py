@@ -140,15 +140,20 @@ def test_normal_quantile(spark):
 
 
 def test_t_quantiles(spark):
-    known = {1: 12.706204736174694, 2: 4.302652729749464, 5: 2.5705818356363146, 10: 2.2281388519862744,
-             30: 2.0422724563012378, 120: 1.9799304050824413}
-    rows = spark.createDataFrame([(k,) for k in [*known, 0, 201, 10**9]], "df int")
+    known = {1.0: 12.706204736174694, 2.0: 4.302652729749464, 5.0: 2.5705818356363146, 10.0: 2.2281388519862744,
+             30.0: 2.0422724563012378, 120.0: 1.9799304050824413}
+    other = [1.01, 1.5, 2.7, 17.25, 64.5, 199.0, 199.5, 200.0, 200.5, 201.0, 1234.5, 1e6]
+    rows = spark.createDataFrame([(k,) for k in [*known, *other, 0.0, 0.9, None, 1e9]], "df double")
+    for level in (0.5, 0.95, 0.99):
+        got = {r.df: r.t for r in rows.select("df", quantiles.t_multiplier(F.col("df"), level).alias("t")).collect()}
+        for k in [*known, *other]:
+            # The formula on the driver is another one: a continued fraction of the incomplete beta function.
+            assert got[k] == pytest.approx(quantiles.t_quantile(level, k), rel=1e-12 if k < 1e4 else 1e-9), (level, k)
+        assert got[0.0] is None and got[0.9] is None and got[None] is None
+        assert got[1e9] == pytest.approx(NormalDist().inv_cdf((1 + level) / 2), rel=1e-8)
     got = {r.df: r.t for r in rows.select("df", quantiles.t_multiplier(F.col("df")).alias("t")).collect()}
     for k, v in known.items():
-        assert got[k] == pytest.approx(v, rel=1e-9)
-    assert got[0] is None
-    assert got[201] == pytest.approx(quantiles.t_quantiles(0.95, 201)[200], rel=1e-10)
-    assert got[10**9] == pytest.approx(NormalDist().inv_cdf(0.975), rel=1e-8)
+        assert got[k] == pytest.approx(v, rel=1e-12)
 
 
 def test_plotting_position(spark):

@@ -106,3 +106,40 @@ def test_written_tables_are_released(spark):
     assert os.listdir(own_folder(spark))
     release(spark)
     assert not os.path.exists(own_folder(spark))
+
+
+def test_a_job_removes_its_tables(spark):
+    import os
+
+    from strataloom.session import job, materialize, own_folder
+
+    def tables():
+        return set(os.listdir(folder)) if os.path.exists(folder) else set()
+
+    folder = own_folder(spark).removeprefix("file://")
+    before = tables()
+    with job(spark):
+        assert materialize(spark.range(3)).count() == 3 and len(tables() - before) == 1
+        with job(spark):
+            materialize(spark.range(2))
+    assert tables() == before
+    with pytest.raises(RuntimeError), job(spark):
+        materialize(spark.range(3))
+        raise RuntimeError
+    assert tables() == before
+
+
+def test_tables_are_written_without_a_preset_folder(tmp_path):
+    """A session with an empty configuration, in a process of its own."""
+    import os
+    import subprocess
+    import sys
+
+    code = ("from pyspark.sql import SparkSession; from strataloom.session import materialize, release\n"
+            "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+            "assert materialize(s.range(5)).count() == materialize(s.range(5)).count() == 5; release(s); s.stop()")
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_CONF", "PYSPARK_SUBMIT"))}
+    env |= {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.pathsep.join(sys.path)}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -1,7 +1,7 @@
 """Joins in which a missing key matches a missing key, and joins that keep both copies of a column.
 
-A broadcast hint is given only to literal tables; Spark checks the size of every other side itself,
-and splits skewed sort-merge partitions at run time.
+A broadcast hint is given only to literal tables and to the few heavy hitters of `join_heavy`; Spark
+checks the size of every other side itself, and splits skewed sort-merge partitions at run time.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 log = logging.getLogger(__name__)
 _RIGHT = "__right_"
 
@@ -58,6 +60,31 @@ def join_keyed(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str
     return join_suffix(left, right.withColumnsRenamed({r: k for k, r in keys.items()}), list(keys), how, suffixes)
 
 
+def join_heavy(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", partitions: int | None = None) -> DataFrame:
+    """`null_safe_join` for a left side in which single keys may hold a large part of the rows.
+
+    Keys are counted with partial aggregation. A heavy hitter has more rows than half an average shuffle
+    partition, so there are at most two per partition; its rows are dealt over salts, of a
+    sixteenth of a partition each, and its rows of the right side are copied once per salt. All other
+    keys are joined as they are. `partitions` is the session's number of shuffle partitions by default.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("join_heavy keeps the rows of the left side")
+    spark = left.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = materialize(left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")))
+    total = sizes.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    heavy = F.broadcast(sizes.where(F.col("__rows") > total / (2 * partitions)).select(
+        *on, F.ceil(F.col("__rows") / F.lit(max(1.0, total / (16 * partitions)))).cast("int").alias("__salts")))
+    # The salt of a row is the same after a retry: it comes from the row and its partition, not from a count of rows.
+    plain = [f.name for f in left.schema if not f.dataType.simpleString().startswith(("map", "variant"))]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id()), F.col("__salts"))
+    salted = null_safe_join(left, heavy, on, "left").withColumn("__salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("__salts")
+    copied = null_safe_join(right, heavy, on, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
+    return null_safe_join(salted, copied, [*on, "__salt"], how).drop("__salt")
+
+
 def dimension_roles(fact: DataFrame, dimension: DataFrame, key: str,
                     roles: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Join one dimension in several roles: (fact key, column prefix, join type) per role."""

@@ -225,6 +225,20 @@ def natural_left_join(t):
     return joins.natural_join(people, sellers, "left")
 
 
+@query("""
+WITH v AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_partkey END AS code FROM lineitem),
+d AS (SELECT p_partkey AS code, p_brand AS brand FROM part WHERE p_partkey % 10 > 0 UNION ALL SELECT NULL, 'missing')
+SELECT l_orderkey, l_linenumber, v.code, brand FROM v LEFT JOIN d ON v.code IS NOT DISTINCT FROM d.code
+""")
+def heavy_key_join(t):
+    """A dimension row for every line, where a third of the lines share one key."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber",
+                              F.when(F.col("l_orderkey") % 3 != 0, F.col("l_partkey")).alias("code"))
+    known = t.part.where("p_partkey % 10 > 0").select(F.col("p_partkey").alias("code"), F.col("p_brand").alias("brand"))
+    missing = t.spark.createDataFrame([(None, "missing")], known.schema)
+    return joins.join_heavy(lines, known.unionByName(missing), ["code"], "left")
+
+
 @query("""
 SELECT c_custkey, c_name, c_mktsegment FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
@@ -922,6 +936,24 @@ def quoted_scan(t):
     return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, ["Code table", "Version 1"])
 
 
+@query("""
+SELECT 'P' || p_partkey AS code, nullif(trim(CASE WHEN p_size > 40 THEN ' ' ELSE p_type END), '') AS kind FROM part
+""")
+def quoted_skip(t):
+    """The same table in three files, each below two lines of any text."""
+    names = ["THE CODE", "THE NAME", "THE KIND"]
+    kind = F.when(F.col("p_size") > 40, F.lit(" ")).otherwise(F.col("p_type"))
+    lines = t.part.select("p_partkey", F.concat(F.lit("'P"), F.col("p_partkey").cast("string"), F.lit("','"), F.col("p_name"),
+                                                F.lit("','"), kind, F.lit("'")).alias("value"))
+    path = new_path(t)
+    for k in range(3):
+        head = t.spark.createDataFrame([(f"'P{k}','a title','like data'",), (f"Version {k}",), ("'THE CODE','THE NAME','THE KIND'",)],
+                                       "value string")
+        own = lines.where(F.col("p_partkey") % 3 == k).select("value")
+        head.coalesce(1).unionByName(own).coalesce(1).write.mode("append").text(path)
+    return readers.read_quoted_csv(t.spark, path, {"THE CODE": "code", "THE KIND": "kind"}, names, skip=2)
+
+
 @query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT n_nationkey, n_name FROM nation")
 def export_subset(t):
     """Two tables of three are written, each below the base folder, and read back."""

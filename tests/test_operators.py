@@ -434,3 +434,32 @@ def test_ranks_of_large_whole_numbers(spark):
     df = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 2,)], "v long")
     got = {r.v - 2**53: r.p for r in ranks.percent_rank(df, "v", "p").collect()}
     assert got == {0: 0.0, 1: 0.5, 2: 1.0}
+
+
+# ---- heavy keys --------------------------------------------------------------------------------
+
+def test_heavy_keys_are_spread_over_tasks(spark):
+    n, parts = 60_000, 16
+    left = spark.range(n).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 5000).alias("k")).repartition(6)
+    right = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).where("k % 7 > 0")
+    right = right.unionByName(spark.createDataFrame([(None, -1)], "k long, v long"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = joins.join_heavy(left, right, ["k"], "left")
+        rows = sorted(r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        assert len(rows) == parts and rows[-1] <= 2 * rows[parts // 2]
+        assert joined.count() == n and joined.where("v IS NULL").count() == left.where("k % 7 = 0").count()
+        for how in ("inner", "left_semi", "left_anti"):
+            want = joins.null_safe_join(left, right, ["k"], how)
+            got = joins.join_heavy(left, right, ["k"], how)
+            assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert joins.join_heavy(left.limit(0), right, ["k"]).count() == 0
+    with pytest.raises(ValueError):
+        joins.join_heavy(left, right, ["k"], "full")

@@ -143,3 +143,24 @@ def test_tables_are_written_without_a_preset_folder(tmp_path):
     env |= {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.pathsep.join(sys.path)}
     done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("split", ["128m", "40", "7"])
+def test_first_lines_are_skipped_in_split_files(spark, tmp_path, split):
+    for k in range(4):
+        (tmp_path / f"f{k}.csv").write_text("".join(f"'title {k}, line {j}'\n" for j in range(2)) + "'A B','C'\n"
+                                            + "".join(f"'{k}','title {k}, line {j}'\n".replace(", ", "-") for j in range(50 * k)))
+    (tmp_path / "short.csv").write_text("only one\n")
+    (tmp_path / "empty.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = readers.read_lines(spark, str(tmp_path), 2)
+        assert lines.count() == 4 + 300
+        got = readers.read_quoted_csv(spark, str(tmp_path), {"A B": "a", "C": "c"}, ["A B", "C"], skip=2)
+        assert sorted(tuple(r) for r in got.collect()) == sorted((str(k), f"title {k}-line {j}") for k in range(4) for j in range(50 * k))
+        assert readers.read_lines(spark, str(tmp_path), 10**6).count() == 0
+        assert readers.read_lines(spark, str(tmp_path)).count() == 313
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.draws import SPAN, draw32
 from ..functions.nulls import strict_sum
 from ..session import materialize
-from .hot import PART, PARTS, TARGET_ROWS, hot_groups, part_of
+from .hot import PART, PARTS, TARGET_ROWS, part_of
 from .joins import null_safe_join
 from .running import running_totals
 
@@ -18,12 +18,13 @@ WIDE = 8  # candidates of one category that one part of the draw range may hold
 
 
 def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str, weight: str,
-                     target_rows: int | None = TARGET_ROWS) -> DataFrame:
+                     target_rows: int | None = TARGET_ROWS, count_to: str | None = None) -> DataFrame:
     """Give each candidate its half-open slice [draw_from, draw_to) of the draw range [0, 2**32).
 
     Slices are worked out once per category, not once per drawing row. Candidates stand in the
     order of a hash of their code. Weights are whole numbers; others are an error. A category with
-    a missing weight, or with nothing but zeros, gets no slices at all.
+    a missing weight, or with nothing but zeros, gets no slices at all. `count_to` names a column for
+    the number of candidates of the category.
     """
     whole = F.col(weight).cast("long")
     broken = F.raise_error(F.lit("choice_intervals: a weight is not a whole number")).cast("long")
@@ -32,7 +33,7 @@ def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str,
         candidates.withColumn("__place", draw32("order", code)),
         category, "__place", [code, weight],
         {"__w": checked,
-         "__gap": F.when(F.col(weight).isNull(), 1).otherwise(0)},
+         "__gap": F.when(F.col(weight).isNull(), 1).otherwise(0), "__one": F.lit(1)},
         target_rows,
     )
 
@@ -46,50 +47,41 @@ def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str,
     sliced = placed.where("__gap_total = 0 AND __w_total > 0").withColumns(
         {"draw_from": edge("__w_before"), "draw_to": edge("(__w_before + __w)")}
     )
-    helpers = ["__place"] + [f"__{v}{s}" for v in ("w", "gap") for s in ("", "_before", "_total")]
+    if count_to:
+        sliced = sliced.withColumn(count_to, F.col("__one_total"))
+    helpers = ["__place"] + [f"__{v}{s}" for v in ("w", "gap", "one") for s in ("", "_before", "_total")]
     return sliced.where("draw_from < draw_to").drop(*helpers)
 
 
-def wide_categories(candidates: DataFrame, category: Sequence[str]) -> DataFrame:
-    """Categories with many candidates and their number of parts."""
-    return (
-        candidates.groupBy(*category)
-        .agg(F.count(F.lit(1)).alias("__codes"))
-        .where(F.col("__codes") > WIDE)
-        .select(*category, F.ceil(F.col("__codes") / F.lit(WIDE)).cast("long").alias(PARTS))
-    )
-
-
 def weighted_choice(rows: DataFrame, candidates: DataFrame, category: Sequence[str], code: str, weight: str,
                     row_key: Sequence[str], seed: int | str, keep_open: bool = False,
-                    target_rows: int = TARGET_ROWS) -> DataFrame:
+                    target_rows: int = TARGET_ROWS, cuts: int | None = None) -> DataFrame:
     """Attach to each row one candidate of its category, drawn in proportion to the weights.
 
     `row_key` names the row for its draw and must be unique. Category keys may be NULL and then
     match NULL. Rows without a usable category are dropped, or kept with NULLs by `keep_open`.
 
-    Categories with many rows or many candidates are cut along the draw range, so a row is compared
-    with some of the candidates of its category, not with all. The cuts and the intervals are
-    written first: Spark then knows their bytes, and broadcasts what its own limit allows.
+    Every category is cut along the draw range into `cuts` parts, the session's number of shuffle
+    partitions by default, and one with many candidates into more. So the rows of a category of any size
+    are spread over the tasks without being counted, and a row is compared with some of the
+    candidates of its category, not with all. The intervals with their cuts are written first:
+    Spark then knows their bytes, and broadcasts what its own limit allows.
     """
     category = list(category)
-    split = wide_categories(candidates, category).unionByName(hot_groups(rows, category, target_rows))
-    split = materialize(split.groupBy(*category).agg(F.max(PARTS).alias(PARTS)))
-
-    drawn = null_safe_join(rows, split, category, "left").withColumn("__draw", draw32(seed, *row_key))
-    drawn = drawn.withColumn(PART, part_of(F.col("__draw"), F.col(PARTS))).drop(PARTS)
-    intervals = choice_intervals(candidates, category, code, weight, target_rows)
-    spread = null_safe_join(intervals, split, category, "left").withColumn(
-        PART,
-        F.explode(F.sequence(part_of(F.col("draw_from"), F.col(PARTS)),
-                             part_of(F.col("draw_to") - 1, F.col(PARTS)))),
-    ).drop(PARTS)
-
-    clash = [c for c in spread.columns if c in set(rows.columns) and c not in category]
-    spread = materialize(spread.drop(*clash))
+    cuts = cuts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    intervals = choice_intervals(candidates, category, code, weight, target_rows, "__codes")
+    parts = F.greatest(F.lit(cuts).cast("long"), F.ceil(F.col("__codes") / F.lit(WIDE)))
+    clash = [c for c in intervals.columns if c in set(rows.columns) and c not in category]
+    cut = intervals.drop(*clash).withColumn(PARTS, parts).withColumn(
+        PART, F.explode(F.sequence(part_of(F.col("draw_from"), F.col(PARTS)), part_of(F.col("draw_to") - 1, F.col(PARTS)))))
+    spread = materialize(cut.drop("__codes"))
+
+    wide = spread.where(F.col(PARTS) > cuts).select(*category, PARTS).distinct()
+    drawn = null_safe_join(rows, wide, category, "left").withColumn("__draw", draw32(seed, *row_key))
+    drawn = drawn.withColumn(PART, part_of(F.col("__draw"), F.coalesce(PARTS, F.lit(cuts).cast("long")))).drop(PARTS)
     inside = (F.col("__draw") >= F.col("draw_from")) & (F.col("__draw") < F.col("draw_to"))
     return null_safe_join(
-        drawn, spread, [*category, PART], "left" if keep_open else "inner", inside
+        drawn, spread.drop(PARTS), [*category, PART], "left" if keep_open else "inner", inside
     ).drop("__draw", "draw_from", "draw_to", PART)
 
 

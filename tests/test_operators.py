@@ -169,7 +169,7 @@ def codes_and_rows(spark):
     return rows, cands
 
 
-@pytest.mark.parametrize("options", [{}, {"target_rows": 100}])
+@pytest.mark.parametrize("options", [{}, {"target_rows": 100}, {"cuts": 37}])
 def test_choice_picks_one_code_per_row(codes_and_rows, options):
     rows, cands = codes_and_rows
     got = choice.weighted_choice(rows, cands, ["cat", "sub"], "code", "n", ["id"], 5, **options).collect()
@@ -197,9 +197,8 @@ def test_wide_categories_are_cut(spark):
     cands = spark.range(5000).select(F.lit("only").alias("cat"), F.col("id").alias("code"),
                                      (F.col("id") % 5 + 1).alias("n"))
     rows = spark.range(3000).select(F.lit("only").alias("cat"), F.col("id").alias("row"))
-    parts = choice.wide_categories(cands, ["cat"]).first()["__parts"]
-    assert parts == 625
-    got = choice.weighted_choice(rows, cands, ["cat"], "code", "n", ["row"], 1).collect()
+    got, few, many = ({r.row: r.code for r in choice.weighted_choice(rows, cands, ["cat"], "code", "n", ["row"], 1, cuts=cuts).collect()}
+                      for cuts in (None, 1, 3000))
     # Brute force over the cumulative weights in the order of the code hash.
     from strataloom.functions.draws import draw32
     order = sorted((r.p, r.code, r.n) for r in cands.select(draw32("order", "code").alias("p"), "code", "n").collect())
@@ -208,7 +207,7 @@ def test_wide_categories_are_cut(spark):
     draws = {r.row: r.u for r in rows.select("row", draw32(1, "row").alias("u")).collect()}
     import bisect
     want = {row: order[bisect.bisect_right(highs, u * total // 2**32)][1] for row, u in draws.items()}
-    assert {r.row: r.code for r in got} == want
+    assert got == few == many == want
 
 
 def test_intervals_tile_the_draw_range(codes_and_rows):

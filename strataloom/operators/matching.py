@@ -35,7 +35,7 @@ def stratum_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
     sizes = rows.groupBy(*strata).agg(F.sum(flag).alias("__t"), F.sum(F.lit(1) - flag).alias("__c"))
     hot = parts_of_sizes(sizes.withColumn("__rows", F.col("__t") + F.col("__c")), strata, "__rows", target_rows)
     scale = sizes.agg(
-        F.sum(F.least(F.col("__c"), F.lit(ratio) * F.col("__t"))) / F.sum(F.least("__t", "__c"))
+        F.sum(F.least(F.col("__c"), F.lit(ratio) * F.col("__t"))) / F.nullif(F.sum(F.least("__t", "__c")), F.lit(0))
     ).scalar()
 
     ranked = running_totals(

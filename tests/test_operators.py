@@ -462,3 +462,8 @@ def test_heavy_keys_are_spread_over_tasks(spark):
     assert joins.join_heavy(left.limit(0), right, ["k"]).count() == 0
     with pytest.raises(ValueError):
         joins.join_heavy(left, right, ["k"], "full")
+
+
+def test_a_match_without_partners_is_empty(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("b", 0, 2)], "g string, t int, id int")
+    assert matching.stratum_match(df, ["g"], "t", "id", 2).collect() == []

@@ -7,9 +7,9 @@ a second: each further control is a turn of the same rule among the controls tha
 
 On a line of scores the closest free pair always consists of neighbours, so no table of pairs is
 needed. Rows with equal scores fold to one node with counts, and nodes are cut into ranges of
-(stratum, score). A range works through its neighbour pairs with a heap. It matches a pair only if
-both rows are nearer to each other than to the border of the range, where the stratum goes on;
-what is undecided there waits. The rows that are left, free controls among them, go on in new
+(stratum, score). A range works through its neighbour pairs with a heap. Where the stratum goes on
+beyond the range, it matches a pair only if both rows are nearer to each other than to the nearest free rows
+of the other side there; what is undecided waits. The rows that are left, free controls among them, go on in new
 ranges with other borders, until no stratum has rows of both sides. Strata that lie in one range
 are finished at once, so the ranges decide only how many rounds there are, not what is matched.
 """
@@ -41,13 +41,14 @@ _NAMES = [x.split()[0] for x in _OUT.split(", ")]
 _KINDS = {"boolean": pa.bool_(), "string": pa.string(), "double": pa.float64(), "long": pa.int64()}
 
 
-def closest_first(scores: list[float], t: list[int], c: list[int], low: float | None = None,
-                  high: float | None = None) -> list[tuple[int, int, int]]:
+def closest_first(scores: list[float], t: list[int], c: list[int], beyond: tuple = (None,) * 4) -> list[tuple[int, int, int]]:
     """One turn on ascending nodes with `t` treated and `c` control rows, which are counted down.
 
-    Returns (treated node, control node, rows). `low` and `high` are the scores of the nodes beyond
-    the range, if the stratum goes on there; pairs that these might take part in are left.
+    Returns (treated node, control node, rows). `beyond` has the scores of the nearest free treated and
+    control rows below the range and above it, where the stratum goes on; pairs that these might
+    break are left.
     """
+    low_t, low_c, high_t, high_c = beyond
     flows = []
     for i in range(len(scores)):
         if t[i] and c[i]:
@@ -71,11 +72,13 @@ def closest_first(scores: list[float], t: list[int], c: list[int], low: float |
         gap, _, _, i, j = heapq.heappop(heap)
         if not (t[i] or c[i]) or not (t[j] or c[j]):
             continue  # one of the two has been used up
-        inside = (low is None or scores[i] - low > gap) and (high is None or high - scores[j] > gap)
+        a, b = (i, j) if t[i] else (j, i)
+        # At equal distance the lower score goes first.
+        inside = ((low_c is None or scores[a] - low_c > gap) and (low_t is None or scores[b] - low_t > gap)
+                  and (high_c is None or high_c - scores[a] >= gap) and (high_t is None or high_t - scores[b] >= gap))
         if not inside or i in waiting or j in waiting:
             waiting |= {i, j}
             continue
-        a, b = (i, j) if t[i] else (j, i)
         m = min(t[a], c[b])
         flows.append((a, b, m))
         t[a] -= m
@@ -92,13 +95,13 @@ def closest_first(scores: list[float], t: list[int], c: list[int], low: float |
     return flows
 
 
-def _work(rows: list[list], stratum: str, low: float | None, high: float | None, ratio: int) -> Iterator[tuple]:
-    """Flows of a stratum in a range, and its nodes where it goes on in another range."""
+def _work(rows: list[list], stratum: str, beyond: tuple | None, ratio: int) -> Iterator[tuple]:
+    """Flows of a stratum in a range, and its nodes where it goes on in another range (`beyond` is given)."""
     scores, t_all, t, c, used, turns = map(list, rows)
-    cut, turn = low is not None or high is not None, turns[0]
+    cut, turn = beyond is not None, turns[0]
     while True:
         given = [n - left for n, left in zip(t_all, t)]  # treated rows of each node that have been served in this turn
-        for a, b, m in closest_first(scores, t, c, low, high):
+        for a, b, m in closest_first(scores, t, c, beyond or (None,) * 4):
             yield True, stratum, scores[a], 0, 0, 0, 0, turn, given[a], scores[b], used[b], m
             given[a] += m
             used[b] += m
@@ -110,19 +113,16 @@ def _work(rows: list[list], stratum: str, low: float | None, high: float | None,
         turn, t = turn + 1, list(t_all)
 
 
-def _matched_ranges(nodes: DataFrame, borders: dict[int, tuple], ratio: int) -> DataFrame:
+def _matched_ranges(nodes: DataFrame, borders: dict[tuple, tuple], ratio: int) -> DataFrame:
     """`_work` for all strata of all ranges; nodes come sorted by range, stratum and score."""
-    shared = nodes.sparkSession.sparkContext.broadcast(borders)  # a row per range
+    shared = nodes.sparkSession.sparkContext.broadcast(borders)  # two entries per range, at most
     schema = pa.schema([(x.split()[0], _KINDS[x.split()[1]]) for x in _OUT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, out = None, [], []
 
         def finish():
-            part, stratum = now
-            first, low, last, high = shared.value[part]
-            out.extend(_work(list(zip(*rows)), stratum, low if stratum == first else None,
-                             high if stratum == last else None, ratio))
+            out.extend(_work(list(zip(*rows)), now[1], shared.value.get(now), ratio))
 
         def flushed():
             batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], schema=schema)
@@ -146,27 +146,44 @@ def _matched_ranges(nodes: DataFrame, borders: dict[int, tuple], ratio: int) ->
     return nodes.select("__part", "stratum", "score", "t_all", "t", "c", "c_used", "turn").mapInArrow(run, _OUT)
 
 
-def _borders(ranged: DataFrame) -> dict[int, tuple]:
-    """Per range: its first stratum and the score before it, its last stratum and the score after it, where these go on."""
-    place = F.struct("stratum", "score")
-    ends = ranged.groupBy("__part").agg(F.min(place).alias("a"), F.max(place).alias("b")).orderBy("__part").collect()
+def _borders(ranged: DataFrame) -> tuple[int, dict[tuple, tuple]]:
+    """Number of ranges, and per (range, stratum that goes on in another range) the nearest free scores beyond the range."""
+    ends = ranged.groupBy("__part").agg(F.min("stratum").alias("a"), F.max("stratum").alias("b")).collect()
+    parts_of: dict[str, set[int]] = {}
+    for part, a, b in ends:
+        for stratum in {a, b}:
+            parts_of.setdefault(stratum, set()).add(part)
+    cut = [(part, stratum) for stratum, parts in parts_of.items() if len(parts) > 1 for part in parts]
+    if not cut:
+        return len(ends), {}
+    edges = F.broadcast(ranged.sparkSession.createDataFrame(cut, "__part int, stratum string"))  # two rows per range, at most
+    free = {side: F.when(F.col(side) > 0, F.col("score")) for side in "tc"}
+    found = ranged.join(edges, ["__part", "stratum"]).groupBy("stratum", "__part").agg(
+        *[f(free[side]).alias(f"{side}_{name}") for side in "tc" for name, f in (("first", F.min), ("last", F.max))])
+    rows: dict[str, list] = {}
+    for r in found.collect():
+        rows.setdefault(r["stratum"], []).append(r)
     out = {}
-    for k, (part, a, b) in enumerate(ends):
-        back = ends[k - 1]["b"] if k and ends[k - 1]["b"]["stratum"] == a["stratum"] else None
-        on = ends[k + 1]["a"] if k + 1 < len(ends) and ends[k + 1]["a"]["stratum"] == b["stratum"] else None
-        out[part] = a["stratum"], back and back["score"], b["stratum"], on and on["score"]
-    return out
+    for stratum, own in rows.items():
+        own.sort(key=lambda r: r["__part"])
+        for k, r in enumerate(own):
+            def known(some, name):
+                return [x[name] for x in some if x[name] is not None]
+
+            out[r["__part"], stratum] = (*(max(known(own[:k], f"{side}_last"), default=None) for side in "tc"),
+                                         *(min(known(own[k + 1:], f"{side}_first"), default=None) for side in "tc"))
+    return len(ends), out
 
 
 def _flows(nodes: DataFrame, ratio: int, ranges: int | None) -> DataFrame:
     """All matches as (stratum, turn, treated score and first rank, control score and first rank, rows)."""
     state = nodes.select("stratum", "score", F.col("t").alias("t_all"), "t", "c", F.lit(0).cast("long").alias("c_used"),
                          F.lit(1).cast("long").alias("turn"))
-    by, found, first = ["stratum", "score"], None, ranges
+    by, found, first, tried = ["stratum", "score"], None, ranges, 0
     while True:
         ranged = state.repartitionByRange(ranges, *by) if ranges else state.repartitionByRange(*by)
         ranged = materialize(ranged.withColumn("__part", F.spark_partition_id()))
-        borders = _borders(ranged)
+        count, borders = _borders(ranged)
         some = materialize(_matched_ranges(
             ranged.repartition("__part").sortWithinPartitions("__part", *by), borders, ratio))
         flows = some.where("flow").select("stratum", "turn", F.col("score").alias("t_score"), "t_from", "c_score", "c_from", "m")
@@ -182,10 +199,11 @@ def _flows(nodes: DataFrame, ratio: int, ranges: int | None) -> DataFrame:
         state = left.join(F.broadcast(going), "stratum").withColumns({
             "t": F.when(again, F.col("t_all")).otherwise(F.col("t")), "turn": F.col("turn") + again.cast("long"),
         }).where("t_all > 0 OR c > 0").select(*state.columns)
-        # Fewer ranges and so other borders in each round of a turn: two or three rounds settle what lies near the
-        # borders of the first; only a chain of ever closer rows over many ranges goes on to few of them.
-        first = first or len(borders)
-        ranges = first if served == 0 else max(1, len(borders) * 2 // 3)
+        # Other borders in each round: two or three rounds settle what lies near the borders of the first. Fewer
+        # ranges after some rounds of a turn, so that a chain of ever closer rows over many ranges ends, too.
+        first = first or count
+        tried = 0 if served == 0 else tried + 1
+        ranges = first + 1 + tried if tried < 4 else max(1, (first + 1) >> (tried - 3))
 
 
 def nearest_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str, score: str, ratio: int = 1,

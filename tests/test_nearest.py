@@ -52,12 +52,13 @@ def in_ranges(x, t, c, cuts):
     """One turn over ranges between the cuts, with other cuts in each round."""
     flows, r = [], random.Random(1)
     while any(t) and any(c):
-        edges = [0, *sorted(cuts), len(x)]
+        edges, free = [0, *sorted(cuts), len(x)], (list(t), list(c))  # all ranges see the state before the round
         for a, b in zip(edges[:-1], edges[1:]):
             if a < b:
                 tt, cc = t[a:b], c[a:b]
-                low, high = x[a - 1] if a else None, x[b] if b < len(x) else None
-                flows += [(i + a, j + a, m) for i, j, m in closest_first(x[a:b], tt, cc, low, high)]
+                beyond = (*(max((x[k] for k in range(a) if side[k]), default=None) for side in free),
+                          *(min((x[k] for k in range(b, len(x)) if side[k]), default=None) for side in free))
+                flows += [(i + a, j + a, m) for i, j, m in closest_first(x[a:b], tt, cc, beyond)]
                 t[a:b], c[a:b] = tt, cc
         cuts = r.sample(range(len(x)), len(cuts) * 2 // 3)
     return flows
@@ -98,9 +99,9 @@ def test_equals_greedy_over_all_pairs(spark, case, ranges):
 def test_a_range_leaves_pairs_that_others_may_take():
     t, c = [0, 1, 0, 1], [1, 0, 1, 0]
     scores = [0.0, 1.0, 1.4, 5.0]
-    assert closest_first(scores, list(t), list(c), low=0.8) == []  # the treated row at 1.0 may have a nearer control at 0.8
-    assert closest_first(scores, list(t), list(c), low=-9.0) == [(1, 2, 1), (3, 0, 1)]
-    assert closest_first(scores, list(t), list(c), high=5.1) == [(1, 2, 1)]
+    assert closest_first(scores, list(t), list(c), (None, 0.8, None, None)) == []  # the treated row at 1.0 may have a nearer control at 0.8
+    assert closest_first(scores, list(t), list(c), (None, -9.0, None, None)) == [(1, 2, 1), (3, 0, 1)]
+    assert closest_first(scores, list(t), list(c), (None, None, None, 5.1)) == [(1, 2, 1)]
 
 
 def test_missing_keys_and_scores(spark):

@@ -9,11 +9,11 @@ segment; blocks return components of links, not pairs. Of each component of line
 occurrence, by document id and place, stays.
 
 Shorter lines are allowed fewer edits: two from 24 code points on, one from 12 on, none below; of
-two lines the shorter one counts. Lines one edit apart meet at the line without one code point: two
-of a size hold the same rest around the same place, else the rest of the longer one is the shorter.
-Equal lines need no meeting, they share their hash. Blank lines below 24 code points part
-paragraphs and stay. With a `least_chars` of the caller, lines below it are left alone instead.
-Lines are told apart by 64-bit hashes.
+two lines the shorter one counts. Lines of 12 to 23 code points are cut into two segments, and go
+the same way. Equal lines need no meeting, they share their name. Blank lines below 24 code points
+part paragraphs and stay. With a `least_chars` of the caller, lines below it are left alone instead.
+Lines are named by 64 bits of a cryptographic digest of the whole line, so no two different lines
+can be made to share a name. The polynomial hashes of segments only bring lines together.
 Defined results: a null or empty text has no lines to remove and stays as it is; null ids come
 after all others; rows that repeat id and text count as one row; an empty table gives an empty
 table; columns other than id and text are passed through or not read.
@@ -22,6 +22,7 @@ table; columns other than id and text are passed through or not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -88,18 +89,19 @@ def _lines(texts, least: int, short: bool = False) -> Iterator[tuple[np.ndarray,
         yield found(some, first)
 
 
-def _line_ids(hashes: LineHashes, sums, start, size) -> np.ndarray:
-    return mixed(hashes.between(sums, start, size) + size.astype(np.uint64)).view(np.int64)
+def _line_ids(codes, start, size) -> np.ndarray:
+    raw = codes.tobytes()
+    digests = [blake2b(raw[a:b], digest_size=8).digest() for a, b in zip((4 * start).tolist(), (4 * (start + size)).tolist())]
+    return np.frombuffer(b"".join(digests), dtype="<i8")
 
 
 def occurrences(docs: DataFrame, least: int, short: bool = False) -> DataFrame:
     """The lines of each row of `doc`, `digest`, `text`: doc, digest, `line_no`, `line`."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = LineHashes()
         for batch in batches:
             for codes, text, number, start, size in _lines(batch["text"], least, short):
                 yield pd.DataFrame({"doc": batch["doc"].to_numpy()[text], "digest": batch["digest"].to_numpy()[text],
-                                    "line_no": number, "line": _line_ids(hashes, hashes.of(codes), start, size)})
+                                    "line_no": number, "line": _line_ids(codes, start, size)})
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.mapInPandas(work, f"doc {kind}, digest long, line_no int, line long")
@@ -112,104 +114,53 @@ def segment(size: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarra
     return i * short + np.maximum(0, i - late), short + (i >= late)
 
 
-def segment_keys(hashes: LineHashes, sums, start, size, edits: int, least: int):
-    """Pieces of (key, probe or not, number of the line): the filed segments and the probed substrings of each line."""
+def segment_keys(hashes: LineHashes, sums, start, size, edits: int, least: int, most: int | None = None):
+    """Pieces of (key, probe or not, number of the line): the filed segments and the probed substrings of each line.
+
+    Lines of `least` to `most` code points file; longer ones only probe for lines that do.
+    """
     line = np.arange(len(start))
     for i in range(edits + 1):
         for shorter in range(edits + 1):
             own = size - shorter
+            files = (own >= least) & (own <= most) if most else own >= least
             at, n = segment(own, i, edits)
-            name = mixed(own.astype(np.uint64) * np.uint64(64) + np.uint64(i))
+            name = mixed(own.astype(np.uint64) * np.uint64(64) + np.uint64(16 * edits + i))
             if not shorter:
-                yield mixed(hashes.between(sums, start + at, n) + name).view(np.int64), False, line
+                yield mixed(hashes.between(sums, (start + at)[files], n[files]) + name[files]).view(np.int64), False, line[files]
             # A segment moves by at most the edits before it, and by what the edits after it leave.
             for move in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
-                fits = (own >= least) & (at + move >= 0) & (at + move + n <= size)
+                fits = files & (at + move >= 0) & (at + move + n <= size)
                 a, m = (start + at + move)[fits], n[fits]
                 yield mixed(hashes.between(sums, a, m) + name[fits]).view(np.int64), True, line[fits]
 
 
-def _keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
+def _keys(docs: DataFrame, edits: int, least: int, short: bool) -> DataFrame:
+    """Filed and probed keys of the lines from `least` code points on; with `short` also those of shorter lines."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = LineHashes()
         for batch in batches:
             seen: set[int] = set()
-            for codes, _, _, start, size in _lines(batch["text"], least):
-                sums = hashes.of(codes)
-                ids, first = np.unique(_line_ids(hashes, sums, start, size), return_index=True)
+            for codes, _, _, start, size in _lines(batch["text"], least, short):
+                some = size >= (ONE_EDIT_CHARS if short else least)
+                ids, first = np.unique(_line_ids(codes, start[some], size[some]), return_index=True)
                 new = np.array([x not in seen for x in ids.tolist()], bool)
                 seen.update(ids.tolist())
-                ids, start, size = ids[new], start[first][new], size[first][new]
-                parts = list(segment_keys(hashes, sums, start, size, edits, least))
-                if parts:
+                ids, start, size = ids[new], start[some][first][new], size[some][first][new]
+                sums = hashes.of(codes)
+                kinds = [(size >= least, edits, least, None)]
+                if short:
+                    kinds.append((size <= least, min(edits, 1), ONE_EDIT_CHARS, least - 1))
+                for here, allowed, low, high in kinds:
+                    parts = list(segment_keys(hashes, sums, start[here], size[here], allowed, low, high))
                     yield pd.DataFrame({
                         "key": np.concatenate([k for k, _, _ in parts]),
                         "probe": np.concatenate([np.full(len(k), p) for k, p, _ in parts]),
-                        "line": np.concatenate([ids[x] for _, _, x in parts])})
+                        "line": np.concatenate([ids[here][x] for _, _, x in parts])})
 
     return docs.select("text").mapInPandas(work, "key long, probe boolean, line long")
 
 
-def one_edit_keys(hashes: LineHashes, codes, sums, start, size, least: int, most: int):
-    """Pieces of (key, centre or not, number of the line) of lines of `least` to `most` + 1 code points.
-
-    Lines at a key are one edit from its first centre: a rest with its place has only centres, a rest
-    without has the line that equals it.
-    """
-    line = np.arange(len(start))
-    whole = (size >= least) & (size <= most)
-    yield _line_ids(hashes, sums, start[whole], size[whole]), True, line[whole]
-    for i in range(most + 1):
-        here = (size > i) & (size >= least) & (size <= most + 1)
-        a, n = start[here], size[here]
-        rest = hashes.between(sums, a, i) + hashes.between(sums, a + i + 1, n - i - 1) * hashes.up[i]
-        rest = mixed(rest + (n - 1).astype(np.uint64))
-        same = n <= most
-        yield mixed(rest[same] + np.uint64(i + 1) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64), True, line[here][same]
-        shorter = n > least
-        if i:
-            shorter &= codes[a + i] != codes[a + i - 1]  # a run has one rest
-        yield rest[shorter].view(np.int64), False, line[here][shorter]
-
-
-def _one_edit_links(docs: DataFrame, least: int, most: int) -> DataFrame:
-    """Links `a`, `b` of lines of `least` to `most` code points, and to those of one more, that are one edit apart."""
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = LineHashes()
-        for batch in batches:
-            seen: set[int] = set()
-            for codes, _, _, start, size in _lines(batch["text"], least):
-                some = size <= most + 1
-                start, size = start[some], size[some]
-                sums = hashes.of(codes)
-                ids, first = np.unique(_line_ids(hashes, sums, start, size), return_index=True)
-                new = np.array([x not in seen for x in ids.tolist()], bool)
-                seen.update(ids.tolist())
-                ids, first = ids[new], first[new]
-                for key, centre, line in one_edit_keys(hashes, codes, sums, start[first], size[first], least, most):
-                    if len(key):
-                        yield pd.DataFrame({"key": key, "rest": not centre, "line": ids[line]})
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_key, open_centre, open_alive = None, 0, False
-        for batch in batches:
-            key, rest, line = (batch[c].to_numpy() for c in ("key", "rest", "line"))
-            if not len(key):
-                continue
-            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            size = np.diff(np.concatenate([begin, [len(key)]]))
-            centre, alive = line[begin].copy(), ~rest[begin].astype(bool)
-            if open_key is not None and key[0] == open_key:
-                centre[0], alive[0] = open_centre, open_alive
-            open_key, open_centre, open_alive = key[-1], centre[-1], bool(alive[-1])
-            to = np.repeat(centre, size)
-            linked = np.repeat(alive, size) & (line != to)
-            yield pd.DataFrame({"a": line[linked], "b": to[linked]})
-
-    filed = docs.select("text").mapInPandas(keys, "key long, rest boolean, line long")
-    return filed.repartition("key").sortWithinPartitions("key", "rest", "line").mapInPandas(work, "a long, b long").distinct()
-
-
 def _meetings(keys: DataFrame) -> DataFrame:
     """The rows of keys that are filed and at which at least two lines stand.
 
@@ -287,7 +238,8 @@ def banded_distances(one: list[np.ndarray], two: list[np.ndarray], edits: int) -
     return result
 
 
-def _linked(lines: np.ndarray, texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, edits: int) -> Iterator[pd.DataFrame]:
+def _linked(lines: np.ndarray, texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, edits: int,
+            short: bool) -> Iterator[pd.DataFrame]:
     """Verify the pairs a-b of positions, and return for each linked line the smallest line of its component here."""
     if not len(a):
         return
@@ -302,7 +254,8 @@ def _linked(lines: np.ndarray, texts: list[np.ndarray], a: np.ndarray, b: np.nda
         end = at + 1
         while end < len(order) and (end - at + 1) * size[longer[end]] <= _PAIR_CELLS:
             end += 1
-        good[at:end] = banded_distances([texts[x] for x in shorter[at:end]], [texts[x] for x in longer[at:end]], edits) <= edits
+        found = banded_distances([texts[x] for x in shorter[at:end]], [texts[x] for x in longer[at:end]], edits)
+        good[at:end] = found <= (np.where(size[shorter[at:end]] < LEAST_CHARS, min(edits, 1), edits) if short else edits)
         at = end
     x, y = shorter[good], longer[good]
     if len(x):
@@ -321,8 +274,8 @@ def _linked(lines: np.ndarray, texts: list[np.ndarray], a: np.ndarray, b: np.nda
         yield pd.DataFrame({"a": names[some], "b": names[label[some]]})
 
 
-def _verified(met: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """Links of lines that meet at a key, from blocks of the key."""
+def _verified(met: DataFrame, texts: DataFrame, edits: int, short: bool) -> DataFrame:
+    """Links of lines that meet at a key, from blocks of the key. With `short`, lines below LEAST_CHARS may differ by one edit."""
     sizes = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     own = F.pmod(F.xxhash64("line", "key"), F.col("blocks"))
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
@@ -358,10 +311,10 @@ def _verified(met: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
             b.append(y[near])
             waiting += int(near.sum())
             if waiting > 100_000:
-                yield from _linked(lines, texts, *_once(a, b, lines), edits)
+                yield from _linked(lines, texts, *_once(a, b, lines), edits, short)
                 a, b, waiting = [], [], 0
         if waiting:
-            yield from _linked(lines, texts, *_once(a, b, lines), edits)
+            yield from _linked(lines, texts, *_once(a, b, lines), edits, short)
 
     ordered = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "probe")
     return ordered.mapInPandas(work, "a long, b long").distinct()
@@ -377,7 +330,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None
     """Per row of `doc`, `digest`, `text` that loses lines: doc, digest, `gone`, the numbers of its lines to remove."""
     short, least_chars = least_chars is None, LEAST_CHARS if least_chars is None else least_chars
     seen = materialize(occurrences(docs, least_chars, short))
-    met = materialize(_meetings(_keys(docs, edits, least_chars)))
+    met = materialize(_meetings(_keys(docs, edits, least_chars, short)))
     place = F.struct(F.col("doc").isNull().alias("missing"), "doc", "digest", "line_no")
     wanted = (
         seen.join(met.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.min(place).alias("p"))
@@ -387,10 +340,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None
     texts = materialize(
         holding.select(F.split("d.text", "\n").alias("lines"), F.explode("w.wanted").alias("x"))
         .select("x.line", F.get("lines", F.col("x.line_no")).alias("text")).dropDuplicates(["line"]))
-    links = _verified(met, texts, edits)
-    if short and edits:
-        links = links.unionByName(_one_edit_links(docs, ONE_EDIT_CHARS, LEAST_CHARS - 1))
-    links = materialize(links)
+    links = materialize(_verified(met, texts, edits, short))
     groups = components(links).withColumnRenamed("node", "line")
     named = seen.join(groups, "line", "left").withColumn("class", F.coalesce("component", "line"))
     first = named.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 
 WIDTH = 5
+MOST_KNOWN = 1_000_000
 _TOGETHER = 2_000_000  # bytes of text that are hashed in one go; a longer text is hashed alone
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -29,29 +32,26 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _hashed(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
-    # One gap after each text keeps its last word apart from the next text.
-    data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    gap = (data == 32) | ((data >= 9) & (data <= 13))
-    change = np.flatnonzero(np.diff(np.concatenate([[True], gap])))
-    starts, stops = change[0::2], change[1::2]
-    # Word hash: a polynomial over random values of the bytes, from prefix sums, moved to power 0.
-    base = int(_constants(1, 1)[0])
-    values = _constants(256, 2)[data]
-    values *= _powers(base, len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-    back = _powers(pow(base, -1, 2**64), len(data))
-    word = mixed((sums[stops] - sums[starts]) * back[starts] + (stops - starts).astype(np.uint64))
-    del values, sums, back
+class WordHashes(dict):
+    """64-bit hashes of words as bytes, from a cryptographic digest, so that no two words are made to share one."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return found
+
+
+def _hashed(texts: list[bytes], width: int, known: WordHashes) -> Iterator[np.ndarray]:
+    if len(known) > MOST_KNOWN:  # known words are only a cache
+        known.clear()
+    words = [t.split() for t in texts]  # bytes are split at the gaps of the contract and nowhere else
+    ends = np.cumsum([len(w) for w in words])
+    word = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, ends[-1])
     factors = _constants(width, 3)
-    first = np.searchsorted(starts, np.concatenate([[0], ends[:-1]]))
-    last = np.searchsorted(starts, ends)
     windows = np.zeros(max(0, len(word) - width + 1), np.uint64)
     for k in range(width):
         windows += word[k:len(word) - width + 1 + k] * factors[k]
     windows = mixed(windows)
-    for a, b in zip(first, last):
+    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
         if b - a >= width:
             yield np.unique(windows[a:b - width + 1])
         elif b > a:
@@ -65,13 +65,14 @@ def shingle_sets(texts: Iterable[str], width: int = WIDTH) -> Iterator[np.ndarra
 
     A text with fewer words has one, of all its words; a text without words has none.
     """
+    known = WordHashes()
     some, size = [], 0
     for text in texts:
         raw = text.encode().translate(_LOWER)
         if some and size + len(raw) > _TOGETHER:
-            yield from _hashed(some, width)
+            yield from _hashed(some, width, known)
             some, size = [], 0
         some.append(raw)
         size += len(raw) + 1
     if some:
-        yield from _hashed(some, width)
+        yield from _hashed(some, width, known)

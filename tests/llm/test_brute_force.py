@@ -246,3 +246,13 @@ def test_candidates_are_dropped_only_for_base_spans_that_overlap_them():
         assert [c[:3] for c in pii.candidate_spans(text, taken)] == want
     found = pii.candidate_spans(texts[0], [("email", 16, 25)])
     assert ("social", 4, 15) in [c[:3] for c in found]
+
+
+def test_words_that_collide_under_polynomial_hashes_do_not_link(spark):
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, two), (3, one.upper()), (4, f"{one} {two}"), (5, f"{two} {one}")]
+    found = minhash.near_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}

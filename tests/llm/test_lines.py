@@ -162,3 +162,37 @@ def test_stage_keeps_columns_and_drops_only_emptied_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.without_repeated_lines(df).count() == 0
+
+
+def thue_morse(doublings):
+    """Two texts that differ in every place and that polynomial hashes modulo 2^64 cannot tell apart."""
+    text = "a"
+    for _ in range(doublings):
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+def test_lines_that_collide_under_polynomial_hashes_stay(spark):
+    one, two = thue_morse(10)
+    df = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    got = {x["doc_id"]: x["text"] for x in L.without_repeated_lines(df).collect()}
+    assert got == {1: one, 2: two, 3: ""}
+
+
+def test_segments_of_short_lines_meet_within_one_edit():
+    r = random.Random(5)
+    hashes = L.LineHashes()
+
+    def keys(text):
+        codes = np.array(list(map(ord, text)), np.uint32)
+        parts = list(L.segment_keys(hashes, hashes.of(codes), np.array([0]), np.array([len(codes)]), 1, 12, 23))
+        return ({int(x) for k, p, _ in parts if not p for x in k}, {int(x) for k, p, _ in parts if p for x in k})
+
+    for _ in range(500):
+        a = "".join(r.choice("ab") for _ in range(r.randint(12, 23)))
+        b = changed(r, a, 1)
+        if len(b) < 12:
+            continue
+        a, b = sorted((a, b), key=len)
+        assert keys(a)[0] & keys(b)[1]
+        assert len(keys(a)[0]) <= 2 and len(keys(b)[1]) <= 4

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import n_words, words
+from .text import let, n_words, unused, words
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -111,7 +111,9 @@ def drawn_slots(sources: DataFrame, seed: int, block_words: int) -> DataFrame:
         drawn.withColumn("first", first)
         .withColumn("kept", F.least(F.greatest(F.col("wanted") - F.col("first"), F.lit(0)), F.col("drawn")))
     )
-    kept = counts.where("kept > 0").select(
+    # The counts are few bytes, but every row stands for many slots: they are dealt over all tasks.
+    dealt = counts.where("kept > 0").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sid", "shard")
+    kept = dealt.select(
         "shard", "sid", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("kept") - 1)).alias("slot"))
 
     freed = counts.groupBy("shard").agg(F.sum(F.col("drawn") - F.col("kept")).alias("n")).where("n > 0")
@@ -189,19 +191,20 @@ def mix(docs: DataFrame, seed: int = 7, block_words: int = BLOCK_WORDS) -> DataF
     blanks. `n_chars` follows the text; all columns of the input are kept.
     """
     columns = docs.columns
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = mixture(rows, seed=seed, block_words=block_words, with_parts=True, row_col="__row")
+    row = unused("__row", columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = mixture(rows, seed=seed, block_words=block_words, with_parts=True, row_col=row)
     chosen = (
         found.where("taken > 0").select("__row", "size", F.explode("parts").alias("p"))
         .select("__row", "size", "p.from", "p.to", F.explode("p.passes").alias("__pass"))
     )
     ranges = F.sort_array(F.collect_list(F.struct("from", "to")))
     chosen = chosen.groupBy("__row", "size", "__pass").agg(ranges.alias("__ranges"))
-    wide = rows.alias("d").join(chosen.alias("c"), "__row")
-    covered = F.aggregate("__ranges", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
+    wide = rows.alias("d").join(chosen.alias("c"), F.col(f"d.{row}") == F.col("c.__row"))
+    covered = F.aggregate("c.__ranges", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
     whole = covered == F.col("c.size")
-    some = F.flatten(F.transform("__ranges", lambda r: F.slice(
-        words(F.col("d.text")), (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int"))))
+    some = let(words(F.col("d.text")), lambda w: F.flatten(F.transform("c.__ranges", lambda r: F.slice(
+        w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))))
     mixed = F.when(whole, F.col("d.text")).otherwise(F.array_join(some, " "))
     out = wide.select(*[F.col(f"d.`{c}`") for c in columns if c not in ("text", "n_chars")], mixed.alias("text"))
     if "n_chars" in columns:

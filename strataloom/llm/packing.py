@@ -14,6 +14,7 @@ the id and the text are not read. Only documents longer than a sequence are cut.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -39,6 +40,49 @@ _GAPS = re.compile(r"[\x20\x09-\x0D]+")
 _ODD = re.compile(r"[\x1c-\x1f]")  # gaps for str.split, but not for tokenizers
 
 
+# How a vocabulary file must treat text, so that its words can be encoded apart.
+WORD_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+WORD_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
+
+def words_stand_alone(vocabulary: str) -> bool:
+    """True if the file lowers letters, splits at gaps and punctuation, and closes every word, as `WordIds` presumes."""
+    file = json.loads(vocabulary)
+    normalizer, splitter = file.get("normalizer") or {}, file.get("pre_tokenizer") or {}
+    return (
+        normalizer.get("normalizers") == WORD_NORMALIZERS
+        and (splitter.get("pretokenizers") or [None])[0] == WORD_SPLIT
+        and file["model"].get("end_of_word_suffix") == "</w>"
+        and file.get("post_processor") is None
+        and not file.get("truncation")
+    )
+
+
+class TextIds:
+    """Token ids of whole texts as bytes, for any vocabulary file."""
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_str(vocabulary)
+        self.encoder.no_truncation()
+        self.encoder.no_padding()
+
+    def of(self, texts: list[str]) -> Iterator[bytes]:
+        for found in self.encoder.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(found.ids, dtype="<u4").tobytes()
+
+
 class WordIds:
     """Token ids of words as bytes. A word without its closing punctuation is encoded once, most of them in one go."""
 
@@ -46,6 +90,8 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
+        if not words_stand_alone(vocabulary):
+            raise ValueError("the tokenizer does not encode words apart, give its whole texts to TextIds")
         self.encoder = Tokenizer.from_str(vocabulary)
         entries = self.encoder.get_vocab()
         self.closes = np.zeros(max(entries.values(), default=0) + 1, bool)
@@ -53,6 +99,13 @@ class WordIds:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
+    def of(self, texts: list[str]) -> Iterator[bytes]:
+        words = [list(filter(None, _GAPS.split(t))) if _ODD.search(t) else t.split() for t in texts]
+        self.learn(set().union(*words))
+        look = self.words.__getitem__
+        for some in words:
+            yield b"".join(map(look, some))
+
     def learn(self, words: set[str]) -> None:
         if len(self.words) > MOST_KNOWN:  # bounds the memory of a task; known words are only a cache
             self.words.clear()
@@ -111,24 +164,23 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity:
     """Pieces of at most `capacity` token ids: id, `piece`, `start`, `length`, `ids_crc32` and, if wanted, `ids`.
 
     `tokenizer` is the path of a `tokenizers` file on the driver, whose content (a vocabulary, of
-    fixed size) is sent to the executors. Its words end at white space and before punctuation, so
-    parts of words are encoded once and put together.
+    fixed size) is sent to the executors. Where its words end at white space and before punctuation,
+    parts of words are encoded once and put together; with any other file whole texts are encoded.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())
+        content = f.read()
+    vocabulary, apart = spark.sparkContext.broadcast(content), words_stand_alone(content)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordIds(vocabulary.value)
+        text_ids = (WordIds if apart else TextIds)(vocabulary.value)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             keys, texts = batch["__id"].tolist(), batch["__text"].tolist()
             for a, b in _spans(texts):
-                words = [list(filter(None, _GAPS.split(t))) if _ODD.search(t) else t.split() for t in texts[a:b]]
-                known.learn(set().union(*words))
-                look, rows = known.words.__getitem__, []
-                for key, some in zip(keys[a:b], words):
-                    ids = b"".join(map(look, some)) + end
+                rows = []
+                for key, found in zip(keys[a:b], text_ids.of(texts[a:b])):
+                    ids = found + end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         body = ids[at:at + 4 * capacity]
                         row = (key, piece, at // 4, len(body) // 4, zlib.crc32(body))

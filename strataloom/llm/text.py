@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +30,11 @@ def without(text: Column, characters: str) -> Column:
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` worked out once per row."""
     return F.transform(F.array(value), lambda x: body(x))[0]
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """`name`, made longer until no column has it, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -144,3 +145,37 @@ def test_chat(spark):
 def test_escapes_are_reversible(text):
     hidden = chat.escape(text)
     assert chat.unescape(hidden) == text and not any(c in hidden for c in chat.CONTROLS)
+
+
+def test_packing_with_a_vocabulary_whose_words_cannot_be_encoded_apart(spark):
+    from tokenizers import Tokenizer
+
+    with open(BYTE, encoding="utf-8") as f:
+        content = f.read()
+    assert not packing.words_stand_alone(content)
+    with pytest.raises(ValueError):
+        packing.WordIds(content)
+    r = random.Random(2)
+    texts = ["".join(r.choice("aB é.,\n\t'1中") for _ in range(r.randint(0, 60))) for _ in range(300)]
+    plain = Tokenizer.from_file(BYTE)
+    rows = list(enumerate(texts))
+    for path, encoder in ((BYTE, plain), (WORD, Tokenizer.from_file(WORD))):
+        got = packing.tokenized_pieces(spark.createDataFrame(rows, "doc_id long, text string"), path)
+        found = {x["doc_id"]: list(x["ids"]) for x in got.collect()}
+        assert found == {i: encoder.encode(t, add_special_tokens=False).ids + [1] for i, t in rows}
+
+
+def test_mix_keeps_columns_named_like_helpers_and_takes_runs_of_words(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(r.randint(0, 40))), "abc"[i % 3], i + 5, "x", 7) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __row long, __ranges string, size long")
+    got = mixing.mix(df, block_words=4)
+    assert got.columns == df.columns
+    taken = {x["doc_id"]: x["taken"] for x in mixing.mixture(df, block_words=4).collect()}
+    words = dict.fromkeys(taken, 0)
+    for x in got.collect():
+        assert (x["__row"], x["__ranges"], x["size"]) == (x["doc_id"] + 5, "x", 7)
+        numbers = [int(w.split("x")[1]) for w in x["text"].split()]
+        assert numbers == sorted(set(numbers))
+        words[x["doc_id"]] += len(numbers)
+    assert words == taken

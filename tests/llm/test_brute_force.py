@@ -50,7 +50,7 @@ def brute_repeats(rows, length=50):
 
 @pytest.mark.parametrize("crowded", [1000, 2])
 def test_repeated_strings(spark, small_batches, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    monkeypatch.setattr(repeats, "PART_SEGMENTS", crowded)
     monkeypatch.setattr(repeats, "SORTED_TOGETHER", 60)
     r = random.Random(5)
     passages = ["".join(r.choice("abcdé ") for _ in range(n)) for n in (49, 50, 51, 60, 90, 140, 300)]

@@ -38,6 +38,8 @@ MOST_KNOWN = 1_000_000
 _TAIL = ".,!?;:&%$#*|"
 _GAPS = re.compile(r"[\x20\x09-\x0D]+")
 _ODD = re.compile(r"[\x1c-\x1f]")  # gaps for str.split, but not for tokenizers
+# The units of WORD_SPLIT in UTF-8, where all that is not ASCII consists of letters.
+_UNITS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
 
 
 # How a vocabulary file must treat text, so that its words can be encoded apart.
@@ -84,7 +86,11 @@ class TextIds:
 
 
 class WordIds:
-    """Token ids of words as bytes. A word without its closing punctuation is encoded once, most of them in one go."""
+    """Token ids of whole texts as bytes, from units (words, digits, punctuation) that are encoded once, most of them in one go.
+
+    A text in which characters beyond ASCII are not letters in composed form is cut at gaps only, and
+    a word of it without its closing punctuation is encoded once.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -96,10 +102,40 @@ class WordIds:
         entries = self.encoder.get_vocab()
         self.closes = np.zeros(max(entries.values(), default=0) + 1, bool)
         self.closes[[i for token, i in entries.items() if token.endswith("</w>")]] = True
+        self.units: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
+        units = [_UNITS.findall(t.encode().lower()) for t in texts]
+        odd = self.learn_units(set().union(*units))
+        apart = [not odd or odd.isdisjoint(u) for u in units]
+        others = self.of_words([t for t, plain in zip(texts, apart) if not plain])
+        look = self.units.__getitem__
+        for some, plain in zip(units, apart):
+            yield b"".join(map(look, some)) if plain else next(others)
+
+    def learn_units(self, units: set[bytes]) -> set[bytes]:
+        """Encode new units; those that are no unit of the tokenizer for certain are returned."""
+        if len(self.units) > MOST_KNOWN:  # bounds the memory of a task; known units are only a cache
+            self.units.clear()
+        letters, signs, odd = {}, {}, set()
+        for unit in units.difference(self.units):
+            if unit.isalpha():
+                letters[unit.decode()] = unit
+            elif unit.isascii():
+                signs[unit.decode()] = unit
+            else:
+                text = unit.decode()
+                if text.isalpha() and text.lower().isalpha() and is_normalized("NFC", text):
+                    letters[text] = unit
+                else:
+                    odd.add(unit)
+        for named, found in ((letters, self._letters(sorted(letters))), (signs, self._apart(list(signs)))):
+            self.units.update((named[text], ids) for text, ids in found)
+        return odd
+
+    def of_words(self, texts: list[str]) -> Iterator[bytes]:
         words = [list(filter(None, _GAPS.split(t))) if _ODD.search(t) else t.split() for t in texts]
         self.learn(set().union(*words))
         look = self.words.__getitem__
@@ -124,27 +160,31 @@ class WordIds:
             self.words[word] = parts[part] + parts[tail] if tail else parts[part]
 
     def _encode(self, parts: set[str]) -> None:
-        # Words of letters are one unit of the tokenizer each, which ends with a closing token.
-        letters = sorted(x for x in parts if x.isalpha() and is_normalized("NFC", x))
-        for at in range(0, len(letters), 20_000):
-            some = letters[at:at + 20_000]
-            ids = np.array(self.encoder.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+        letters = sorted(x for x in parts if x.isalpha() and x.lower().isalpha() and is_normalized("NFC", x))
+        self.parts.update(self._letters(letters))
+        self.parts.update(self._apart([x for x in parts if x not in self.parts]))
+
+    def _letters(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters are one unit of the tokenizer each, which ends with a closing token."""
+        for at in range(0, len(words), 20_000):
+            some = words[at:at + 20_000]
+            lines = [" ".join(some[k:k + 50]) for k in range(0, len(some), 50)]
+            ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in self.encoder.encode_batch_fast(lines, add_special_tokens=False)])
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(some):
-                self._one_by_one(some)
+                yield from self._apart(some)
                 continue
             raw = ids.tobytes()
             start = 0
-            for word, end in zip(some, ends.tolist()):
-                self.parts[word] = raw[4 * start:4 * end]
+            for word, end in zip(some, (4 * ends).tolist()):
+                yield word, raw[start:end]
                 start = end
-        self._one_by_one([x for x in parts if x not in self.parts])
 
-    def _one_by_one(self, parts: list[str]) -> None:
+    def _apart(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         for at in range(0, len(parts), 10_000):
             some = parts[at:at + 10_000]
-            for word, found in zip(some, self.encoder.encode_batch_fast(some, add_special_tokens=False)):
-                self.parts[word] = np.array(found.ids, dtype="<u4").tobytes()
+            for part, found in zip(some, self.encoder.encode_batch_fast(some, add_special_tokens=False)):
+                yield part, np.array(found.ids, dtype="<u4").tobytes()
 
 
 def _spans(texts, most: int = 2_000_000) -> Iterator[tuple[int, int]]:

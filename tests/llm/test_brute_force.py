@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from strataloom.llm import embeddings, graph, minhash, mixing, packing, pii, repeats
@@ -256,3 +257,15 @@ def test_words_that_collide_under_polynomial_hashes_do_not_link(spark):
     rows = [(1, one), (2, two), (3, one.upper()), (4, f"{one} {two}"), (5, f"{two} {one}")]
     found = minhash.near_documents(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_units_of_words_give_the_ids_of_whole_texts():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocabulary = f.read()
+    r = random.Random(8)
+    signs = "abcdeSTRZ019'.,!-_  \n\t\x0b\x1c\x85\xa0éÉßİΣσẞ²Ⅷ—\u0301\u200d中文가각\u1100\u1161ªʰ😀٣"
+    plain = "abcdestrvmlST'' .,5 \n"
+    texts = ["".join(r.choice(r.choice([signs, plain])) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    texts += ["".join(r.choice(plain) for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    texts += ["don't 'STREET we'll I'd y'all 'T 'lled", "a" * 5000, "a1" * 3000, "'" * 2000 + "s", "", " \n "]
+    assert list(packing.WordIds(vocabulary).of(texts)) == list(packing.TextIds(vocabulary).of(texts))

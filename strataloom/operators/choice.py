@@ -15,6 +15,7 @@ from .joins import null_safe_join
 from .running import running_totals
 
 WIDE = 8  # candidates of one category that one part of the draw range may hold
+TASK_ROWS = 100_000  # candidates that one task folds, so that its memory does not grow with the table
 
 
 def choice_intervals(candidates: DataFrame, category: Sequence[str], code: str, weight: str,
@@ -93,8 +94,13 @@ def fill_settings(candidates: DataFrame, setting: str, category: Sequence[str],
     the candidates of all settings taken together; `open_setting` is filled throughout. So a
     choice by (setting, category) does the setting's own round and the residual round in one
     join. Adds `round`: 1 for a setting's own candidates, 2 for filled ones.
+
+    The candidates are written first and read by each of the three uses. Nearly every one is a group
+    of its own when the settings are taken together, so they are dealt over as many tasks as their
+    number needs before they are grouped, and no task collects groups of a whole input split.
     """
-    base = candidates.select(setting, *category, *code, weight)
+    base = materialize(candidates.select(setting, *category, *code, weight))
+    tasks = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // TASK_ROWS))
     key = [setting, *category]
     usable = (
         base.groupBy(*key)
@@ -103,7 +109,8 @@ def fill_settings(candidates: DataFrame, setting: str, category: Sequence[str],
         .select(*key)
     )
     own = null_safe_join(base, usable, key, "left_semi").withColumn("round", F.lit(1))
-    combined = base.groupBy(*category, *code).agg(strict_sum(weight).alias(weight))
+    dealt = base.repartition(tasks, *category, *code)
+    combined = dealt.groupBy(*category, *code).agg(strict_sum(weight).alias(weight))
     wanted = combined.withColumn(
         setting, F.explode(F.array(*[F.lit(s) for s in [*settings, open_setting]]))
     )

@@ -63,7 +63,16 @@ def candidate_codes(frequencies: DataFrame, crosswalk: DataFrame) -> DataFrame:
         recode("year", CROSSWALK_OF_YEAR).alias("version"),
     )
     names = crosswalk.select("version", "ICD10CM", "ICD10_DSC", *CATEGORY[1:])
-    return plain.join(names, ["version", "ICD10CM"])
+    return plain.join(_by_sorting(names), ["version", "ICD10CM"])
+
+
+def _by_sorting(codes: DataFrame) -> DataFrame:
+    """A table of codes that is merged and not copied to every task.
+
+    Spark measures a table by its compressed files: lists of codes that seem to fit its limit for
+    broadcasts take a hundred times as much in the memory of each task.
+    """
+    return codes.hint("merge")
 
 
 def complete_codes(conditions: DataFrame, candidates: DataFrame, seed: int | str, keep_open: bool = True) -> DataFrame:
@@ -95,9 +104,8 @@ def diagnosis_detail(completed: DataFrame, crosswalk: DataFrame, chronic: DataFr
     names = crosswalk.select("version", "ICD10CM", "ICD10_DSC", *CATEGORY[1:],
                              *[F.col(f"{c}_DSC") for c in CATEGORY[1:]])
     known = completed.where(F.col("ICD10CM").isNotNull()).withColumn("version", recode("year", CROSSWALK_OF_YEAR))
-    # One code may stand for a large share of all conditions: Spark broadcasts lookups within its
-    # limit, and else splits the skewed side.
-    described = natural_join(natural_join(known, names), chronic, "left")
+    # One code may stand for a large share of all conditions: Spark splits the skewed side.
+    described = natural_join(natural_join(known, _by_sorting(names)), _by_sorting(chronic), "left")
     texts = [F.coalesce(f"{c}_DSC", F.lit("")) for c in CATEGORY[1:]]
     return described.select(
         F.concat(F.col("DUPERSID"), F.col("year").cast("string")).alias("DUPERSID"),

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from strataloom.plans import diagnoses, drugs, people, profiles, risk
@@ -239,6 +240,22 @@ def test_diagnosis_detail(completed):
     assert any(r.Age_Diag == "Unknown" for r in got.values())
 
 
+def test_code_lists_are_not_copied_to_every_task(spark):
+    frequencies = spark.createDataFrame([("ED", 2021, "E11.9", 3)], "setting string, year int, ICDCMCode string, TotalDiag long")
+    crosswalk = spark.createDataFrame(
+        [(2021, "E119", "plain", "X1", None, None, "Diabetes", None, None)],
+        "version int, ICD10CM string, ICD10_DSC string, CCSR1X string, CCSR2X string, CCSR3X string, "
+        "CCSR1X_DSC string, CCSR2X_DSC string, CCSR3X_DSC string")
+    done = spark.createDataFrame(
+        [("u", 2021, 44, "E119", "E11.9", "plain", "X1", None, None)],
+        "DUPERSID string, year int, AGEDIAG int, ICD10CM string, ICDCMCode string, ICD10_DSC string, CCSR1X string, CCSR2X string, CCSR3X string")
+    chronic = spark.createDataFrame([("E119", "Chronic")], "ICD10CM string, CHRONIC_IND string")
+    candidates = diagnoses.candidate_codes(frequencies, crosswalk)
+    detail = diagnoses.diagnosis_detail(done, crosswalk, chronic)
+    for table in (candidates, detail):
+        assert table.count() == 1 and "Broadcast" not in plan_of(table)
+
+
 def test_comorbidities(spark):
     dx = spark.createDataFrame(
         [("p", "E1165"), ("p", "I10"), ("p", "I110"), ("q", "Z00"), ("r", "I426"), ("r", "C50911"), ("r", "C7800")],

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw32
+from ..session import materialize
+from .hot import PARTS, hot_groups
+from .joins import null_safe_join
 from .running import running_totals
 
 
@@ -22,10 +25,14 @@ COPIES = 10_000  # equal rows that are written out together
 def parts(df: DataFrame, keys: Sequence[str], draw: str, ties: Sequence[str], rows: int, to: str = "part") -> DataFrame:
     """Number the rows of each group, in the order of a draw, in parts of `rows` rows; the last part may be shorter.
 
-    One rule for groups of every size, and no task holds a whole group.
+    One rule for groups of every size, and no task holds a whole group. The rows are written once;
+    groups of one part are known by their size, so only the rows of longer ones are sorted.
     """
-    counted = running_totals(df, keys, draw, ties, {"__row": F.lit(1).cast("long")})
-    return counted.withColumn(to, F.floor(F.col("__row_before") / rows)).drop("__row", "__row_before", "__row_total")
+    df = materialize(df)
+    long = hot_groups(df, keys, rows).drop(PARTS)
+    counted = running_totals(null_safe_join(df, long, keys, "left_semi"), keys, draw, ties, {"__row": F.lit(1).cast("long")})
+    numbered = counted.withColumn(to, F.floor(F.col("__row_before") / rows)).drop("__row", "__row_before", "__row_total")
+    return null_safe_join(df, long, keys, "left_anti").withColumn(to, F.lit(0).cast("long")).unionByName(numbered)
 
 
 def nest(df: DataFrame, keys: Sequence[str], items: Sequence[str], target_rows: int = 100_000) -> DataFrame:

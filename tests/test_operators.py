@@ -467,3 +467,21 @@ def test_heavy_keys_are_spread_over_tasks(spark):
 def test_a_match_without_partners_is_empty(spark):
     df = spark.createDataFrame([("a", 1, 1), ("b", 0, 2)], "g string, t int, id int")
     assert matching.stratum_match(df, ["g"], "t", "id", 2).collect() == []
+
+
+def test_settings_are_folded_in_many_tasks(spark, monkeypatch):
+    rows = [(s, "E", f"E{i}", i + 1) for i in range(60) for s in ("ED", "IP")]
+    df = spark.createDataFrame(rows, "setting string, category string, code string, n long").repartition(1)
+    monkeypatch.setattr(choice, "TASK_ROWS", 10)
+    filled = choice.fill_settings(df, "setting", ["category"], ["code"], "n", ("ED", "IP", "OP"), "ANY")
+    assert "REPARTITION_BY_NUM" in plan_of(filled)
+    got = {(r.setting, r.code): (r.n, r["round"]) for r in filled.collect()}
+    assert len(got) == 240 and got["OP", "E5"] == got["ANY", "E5"] == (12, 2) and got["ED", "E5"] == (6, 1)
+
+
+def test_parts_number_long_groups_only(spark):
+    rows = spark.createDataFrame([("a", i) for i in range(25)] + [("b", 1), (None, 2)] + [(None, i) for i in range(11)], "k string, v long")
+    cut = reshape.parts(rows.withColumn("d", F.col("v") * 100_000_000), ["k"], "d", ["v"], 10)
+    sizes = collections.Counter((r.k, r.part) for r in cut.collect())
+    assert sizes == {("a", 0): 10, ("a", 1): 10, ("a", 2): 5, ("b", 0): 1, (None, 0): 10, (None, 1): 2}
+    assert "LeftAnti" in plan_of(cut)

@@ -240,7 +240,8 @@ def nearest_match(df: DataFrame, strata: Sequence[str], treated: str, unit: str,
         pairs.join(served, partner).select(*partner, "controls", F.lit(0).cast("long").alias("flag"),
                                            F.col("c_score").alias("score"), F.col("c_rank").alias("rank")))
     sides = sides.withColumnsRenamed({c: f"__m_{c}" for c in sides.columns})
-    scale = pairs.agg(F.count(F.lit(1)) / F.nullif(F.count_if(F.col("turn") == 1), F.lit(0))).scalar()
+    controls, first = pairs.agg(F.count(F.lit(1)), F.count_if(F.col("turn") == 1)).first()
+    scale = F.lit(controls / first if first else None).cast("double")
     joined = places.join(sides, reduce(and_, [F.col(f"__{c}") == F.col(f"__m_{c}") for c in ("stratum", "score", "flag", "rank")]))
     return joined.select(
         *kept, F.col("__score").alias("distance"),

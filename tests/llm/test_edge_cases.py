@@ -179,3 +179,17 @@ def test_mix_keeps_columns_named_like_helpers_and_takes_runs_of_words(spark):
         assert numbers == sorted(set(numbers))
         words[x["doc_id"]] += len(numbers)
     assert words == taken
+
+
+def test_repeats_are_worked_on_in_small_pieces():
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from strataloom.llm import repeats
+
+    frame = pd.DataFrame({"doc": range(4_500)})
+    for batch in (frame, pa.RecordBatch.from_pandas(frame)):
+        assert [len(x) for x in repeats._pieces(iter([batch]))] == [2_000, 2_000, 500]
+    order, same = repeats.equal_strings(np.zeros(10, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), repeats.Prefixes())
+    assert not len(order) and not len(same)

@@ -210,10 +210,14 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity:
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
-    vocabulary, apart = spark.sparkContext.broadcast(content), words_stand_alone(content)
+    apart = words_stand_alone(content)
+    shared = spark.sparkContext.broadcast({"vocabulary": content})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        text_ids = (WordIds if apart else TextIds)(vocabulary.value)
+        kept = shared.value  # stays in the worker's process: the next task there finds the encoder and the words it knows
+        if "encoder" not in kept:
+            kept["encoder"] = (WordIds if apart else TextIds)(kept["vocabulary"])
+        text_ids = kept["encoder"]
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             keys, texts = batch["__id"].tolist(), batch["__text"].tolist()

@@ -193,3 +193,24 @@ def test_repeats_are_worked_on_in_small_pieces():
         assert [len(x) for x in repeats._pieces(iter([batch]))] == [2_000, 2_000, 500]
     order, same = repeats.equal_strings(np.zeros(10, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), repeats.Prefixes())
     assert not len(order) and not len(same)
+
+
+def test_a_worker_builds_its_encoder_once(spark, tmp_path):
+    import public_tokenizers
+
+    marks = tmp_path / "made"
+    marks.mkdir()
+
+    class Counted(packing.WordIds):
+        def __init__(self, content):
+            super().__init__(content)
+            open(f"{marks}/{id(self)}-{time.time_ns()}", "w").close()
+
+    import time
+    was, packing.WordIds = packing.WordIds, Counted
+    try:
+        docs = spark.createDataFrame([(i, f"Some words, {i} of them") for i in range(40)], "doc_id long, text string").repartition(40)
+        rows = packing.tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False).collect()
+    finally:
+        packing.WordIds = was
+    assert len(rows) == 40 and 1 <= len(list(marks.iterdir())) <= 8  # workers, not tasks
